@@ -82,7 +82,12 @@ def rejects(df: DataFrame) -> DataFrame:
 
 def clean_ticks(df: DataFrame) -> DataFrame:
     """The whole cleaning chain, in the column order of the clean table."""
-    typed = coerce_measures(with_event_time(dedup_latest(df)))
+    return clean_ticks_of_unique(dedup_latest(df))
+
+
+def clean_ticks_of_unique(unique: DataFrame) -> DataFrame:
+    """Coerce, validate and complete ticks that have no copies left."""
+    typed = coerce_measures(with_event_time(unique))
     clean = with_calendar(validate(typed))
     return clean.select(*typed_or_null(clean, CLEAN_COLUMNS))
 

@@ -21,9 +21,9 @@ def raw_ticks(spark: SparkSession, path: str, since: dt.date | None = None,
     df = spark.read.schema(raw_schema()).option("basePath", path).json(path)
     day = dt.timedelta(days=1)
     if since is not None and "dt" in df.columns:
-        df = df.where(F.col("dt") >= F.lit(since - day))
+        df = df.where(F.col("dt").cast("string") >= str(since - day))
     if until is not None and "dt" in df.columns:
-        df = df.where(F.col("dt") <= F.lit(until + day))
+        df = df.where(F.col("dt").cast("string") <= str(until + day))
     return df.drop("dt", "hr")
 
 
