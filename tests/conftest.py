@@ -14,7 +14,7 @@ DATA = Path("/root/testdata")
 def spark(tmp_path_factory):
     session = builder(
         "tests", "local[8]", 4,
-        **{"spark.ui.enabled": "false", "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))},
+        **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))},
     ).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session

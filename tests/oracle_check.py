@@ -67,7 +67,7 @@ if __name__ == "__main__":
 
     scale = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     only = sys.argv[2:]
-    spark = builder("oracle-check", "local[8]", 8, **{"spark.ui.enabled": "false"}).getOrCreate()
+    spark = builder("oracle-check", "local[8]", 8, **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     folder = str(DATA / f"sf{scale}")
     con, sqls, bad = database(folder), entry.oracle_sql(), 0

@@ -130,7 +130,7 @@ def volume_spikes(alerts: DataFrame, limit: int = 100) -> DataFrame:
 
 def since(alerts: DataFrame, as_of, days: int = 7) -> DataFrame:
     """Alerts from the start of the calendar day ``days`` before ``as_of``."""
-    return alerts.where(F.to_date("detected_at") >= days_before(as_of, days))
+    return alerts.where(F.col("detected_at") >= days_before(as_of, days).cast("timestamp_ntz"))
 
 
 def alerts_total(alerts: DataFrame, as_of, days: int = 7) -> DataFrame:
@@ -145,13 +145,18 @@ def alerts_by(alerts: DataFrame, column: str, as_of, days: int = 7, size: int =
 
 
 def alerts_by_day(alerts: DataFrame, as_of, days: int = 7) -> DataFrame:
-    """Alerts per day from the first to the last day with one; days in between without any count 0."""
-    counts = since(alerts, as_of, days).groupBy(F.to_date("detected_at").alias("date")) \
-        .agg(F.count("*").alias("alerts"))
-    # One row per calendar day: the span is a single row that unfolds into its days.
-    span = counts.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
-    axis = span.where("lo IS NOT NULL").select(F.explode(F.sequence("lo", "hi")).alias("date"))
-    return axis.join(counts, "date", "left").select("date", F.coalesce("alerts", F.lit(0)).alias("alerts"))
+    """Alerts per day from the first to the last day with one; days in between without any count 0.
+
+    Each counted day unfolds into itself and the empty days up to the next one. The window runs over
+    the counted days, at most one row per calendar day.
+    """
+    counts = since(alerts, as_of, days).groupBy(F.to_date("detected_at").alias("day")) \
+        .agg(F.count("*").alias("n"))
+    following = F.lead("day").over(Window.orderBy("day"))
+    until = F.coalesce(F.date_sub(following, 1), F.col("day"))
+    return (counts.withColumn("until", until)
+            .select("n", F.posexplode(F.sequence("day", "until")).alias("offset", "date"))
+            .select("date", F.when(F.col("offset") == 0, F.col("n")).otherwise(0).alias("alerts")))
 
 
 def alert_counts(alerts: DataFrame) -> DataFrame:

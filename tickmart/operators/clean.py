@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window
 
 from tickmart.functions.calendar import as_column, calendar_parts, instant
 from tickmart.schemas import CLEAN_COLUMNS, MEASURES, typed_or_null
@@ -22,26 +21,28 @@ def tick_key(df: DataFrame) -> list[str]:
     return ["coin_id", "crawl_time" if "crawl_time" in df.columns else "crawl_ts"]
 
 
-def dedup_latest(df: DataFrame, keys: Sequence[str | Column] | None = None,
-                 latest_by: str = "last_updated") -> DataFrame:
-    """Keep one row per key, the most recently updated one.
+def collapse(df: DataFrame, keys: Sequence[str | Column], latest_by: str, *extra: Column) -> DataFrame:
+    """One row per key, the most recently updated one, with ``extra`` aggregates over the copies.
 
-    All other columns break ties, so a retried task picks the same row. Catalyst turns the
-    ``= 1`` filter into a per-partition group limit in front of the shuffle: of a key with
-    billions of copies only one row per map task travels.
+    The greatest struct wins: null update times lose, and all other columns break ties, so a retried
+    task picks the same row. It is an aggregate with a map-side step: of a key with billions of
+    copies only one row per map task is shuffled, and no task has to hold a key's copies.
     """
-    keys = list(keys or tick_key(df))
-    named = {k for k in keys if isinstance(k, str)} | {latest_by}
-    orderable = [f.name for f in df.schema.fields
-                 if f.name not in named and not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    order = [F.desc(latest_by), *[F.desc(c) for c in orderable]]
-    position = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_position", position).where("_position = 1").drop("_position")
+    grouped = {k for k in keys if isinstance(k, str)}
+    payload = [latest_by, *[c for c in df.columns if c not in grouped and c != latest_by]]
+    picked = df.groupBy(*keys).agg(F.max(F.struct(*payload)).alias("_row"), *extra)
+    return picked.select(*grouped, "_row.*", *[c for c in picked.columns if c not in df.columns and c != "_row"])
+
+
+def dedup_latest(df: DataFrame, keys: Sequence[str | Column] | None = None,
+                 latest_by: str = "last_updated") -> DataFrame:
+    """Keep the most recently updated row of each key."""
+    return collapse(df, list(keys or tick_key(df)), latest_by).select(*df.columns)
 
 
 def dedup_hourly(df: DataFrame) -> DataFrame:
     """Coarser rule: the last tick of each coin and hour."""
-    return dedup_latest(df, ["coin_id", F.date_trunc("hour", "crawl_ts")], latest_by="crawl_ts")
+    return dedup_latest(df, ["coin_id", F.date_trunc("hour", "crawl_ts").alias("_hour")], latest_by="crawl_ts")
 
 
 def coerce(column: str, source: T.DataType, target: str) -> Column:
@@ -104,10 +105,7 @@ def quality_report(df: DataFrame) -> DataFrame:
     Copies are counted while they are collapsed: the per-key row carries how many there were, so
     neither the scan nor the shuffle is repeated per counter.
     """
-    keys = tick_key(df)
-    payload = F.struct("last_updated", *[c for c in df.columns if c not in (*keys, "last_updated")])
-    kept = (df.groupBy(*keys).agg(F.max(payload).alias("row"), F.count("*").alias("copies"))
-            .select(*keys, "copies", "row.*"))
+    kept = collapse(df, tick_key(df), "last_updated", F.count("*").alias("copies"))
     typed = coerce_measures(with_event_time(kept)).withColumn("valid", F.coalesce(is_valid(), F.lit(False)))
     per_partition = (
         typed.groupBy(F.to_date("crawl_ts").alias("date"), F.hour("crawl_ts").alias("hour"))

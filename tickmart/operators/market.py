@@ -107,29 +107,31 @@ def rank_changes(daily: DataFrame) -> DataFrame:
         .withColumn("rank_move", F.col("previous_rank") - F.col("rank_close"))
 
 
-def change_over_days(daily: DataFrame, days: int = 30) -> DataFrame:
-    """Close against the close exactly ``days`` calendar days earlier, keyed by date."""
-    closes = daily.groupBy("coin_id", "date").agg(
-        F.max_by("close_price", F.struct("symbol", "name")).alias("close_price"))
-    then = closes.select("coin_id", F.date_add("date", days).alias("date"),
-                         F.col("close_price").alias("close_then"))
-    return closes.join(then, ["coin_id", "date"]).select(
-        "coin_id", "date", percent_of(F.col("close_price") - F.col("close_then"), F.col("close_then"))
-        .alias("change_pct"))
-
-
-def top_movers(clean: DataFrame, daily: DataFrame, limit: int = 10, long_days: int = 30) -> DataFrame:
+def change_over_days(close: str, days: int, latest: list[str]) -> Column:
+    """Close against the close exactly ``days`` calendar days earlier.
+
+    A range frame of that one day looks it up by date, so gaps do not shift it and no self-join is
+    needed. The window covers one coin's days; ``latest`` orders several rows of one day.
+    """
+    by_date = Window.partitionBy("coin_id").orderBy(F.unix_date("date")).rangeBetween(-days, -days)
+    then = F.max_by(close, F.struct(*latest)).over(by_date)
+    return percent_of(F.col(close) - then, then)
+
+
+def top_movers(clean: DataFrame, limit: int = 10, long_days: int = 30) -> DataFrame:
     """Strongest gainers and losers over 24 hours, 7 days and ``long_days`` days.
 
-    The rank filter becomes a group limit ahead of the shuffle, so of each list only ``limit`` rows
-    per map task reach the ranking task.
+    One pass over the ticks: closing figures per coin and day, the long change from those, the newest
+    day per coin. The rank filter becomes a group limit ahead of the shuffle, so of each list only
+    ``limit`` rows per map task reach the ranking task.
     """
-    latest = serving.latest_per_coin(clean)
-    newest_close = change_over_days(daily, long_days)
-    long = newest_close.groupBy("coin_id").agg(F.max_by(F.struct("date", "change_pct"), "date").alias("m"))
-    wide = latest.join(long, "coin_id", "left").withColumn(
-        "change_long", F.when(F.col("m.date") == F.to_date("crawl_ts"), F.col("m.change_pct")))
-    per_frame = wide.select(
+    figures = ["current_price", "total_volume", "price_change_percentage_24h", "price_change_percentage_7d"]
+    closes = clean.groupBy("coin_id", "symbol", "date").agg(
+        F.max("crawl_ts").alias("crawl_ts"), *[F.max_by(c, "crawl_ts").alias(c) for c in figures])
+    changes = closes.withColumn("change_long", change_over_days("current_price", long_days, ["crawl_ts", "symbol"]))
+    newest = changes.groupBy("coin_id").agg(
+        F.max(F.struct("crawl_ts", "symbol", *figures, "change_long")).alias("f")).select("coin_id", "f.*")
+    per_frame = newest.select(
         "coin_id", "symbol", F.col("current_price").alias("price"), F.col("total_volume").alias("volume"),
         F.stack(F.lit(3), F.lit(TIMEFRAMES[0]), "price_change_percentage_24h",
                 F.lit(TIMEFRAMES[1]), "price_change_percentage_7d",
@@ -141,11 +143,13 @@ def top_movers(clean: DataFrame, daily: DataFrame, limit: int = 10, long_days: i
     return listed.withColumn("position", F.row_number().over(order)).where(F.col("position") <= limit)
 
 
-def top_coin_trends(history: DataFrame, latest: DataFrame, as_of, days: int = 7, top: int = 10) -> DataFrame:
-    """Price trend of the largest coins. The broadcast side has ``top`` rows."""
-    largest = latest.orderBy(F.desc("market_cap"), "symbol").limit(top).select("symbol")
-    recent = history.where(F.col("date") >= days_before(as_of, days))
-    return serving.trend_by_symbol(recent.join(F.broadcast(largest), "symbol", "left_semi"), days)
+def top_coin_trends(history: DataFrame, as_of, days: int = 7, top: int = 10) -> DataFrame:
+    """Price trend of the coins that are largest by their newest capitalisation, in one aggregate."""
+    recent = F.col("date") >= days_before(as_of, days)
+    trends = serving.trend_columns(days, recent)
+    largest = (history.groupBy("symbol").agg(F.max_by("market_cap", "date").alias("cap"), *trends)
+               .orderBy(F.desc_nulls_last("cap"), "symbol").limit(top))
+    return serving.with_trend(largest.where("points > 0"))
 
 
 def price_heatmap(daily: DataFrame, dates: list | None = None) -> DataFrame:
@@ -156,17 +160,21 @@ def price_heatmap(daily: DataFrame, dates: list | None = None) -> DataFrame:
     return daily.groupBy("symbol").pivot(F.col("date").cast("string"), keys).agg(F.avg("return_pct_day"))
 
 
-def performance_compare(daily: DataFrame, weekly: DataFrame, monthly: DataFrame) -> DataFrame:
-    """Return of each coin's newest day beside the returns of that day's week and month."""
-    newest = daily.groupBy(*COIN).agg(
-        F.max_by(F.struct("date", "year", "month", "week_of_year", "return_pct_day"), "date").alias("d")
-    ).select(*COIN, "d.*")
-    return (newest
-            .join(weekly.select(*COIN, "year", "week_of_year", "return_pct_week"),
-                  [*COIN, "year", "week_of_year"], "left")
-            .join(monthly.select(*COIN, "year", "month", "return_pct_month"),
-                  [*COIN, "year", "month"], "left")
-            .select(*COIN, "date", "return_pct_day", "return_pct_week", "return_pct_month"))
+def performance_compare(daily: DataFrame) -> DataFrame:
+    """Return of each coin's newest day beside the returns so far of that day's week and month.
+
+    Weekly and monthly returns follow from the first open of the period and the newest close, so
+    the daily rows are laid out by coin once and everything else happens inside those partitions.
+    """
+    def since_open(*period: str) -> Column:
+        span = Window.partitionBy(*COIN, *period).orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+        opened, closed = (F.first("open_price", True).over(span), F.last("close_price", True).over(span))
+        return percent_of(closed - opened, opened)
+
+    by_coin = daily.repartition(*COIN).withColumns(
+        {"return_pct_week": since_open("year", "week_of_year"), "return_pct_month": since_open("year", "month")})
+    figures = F.struct("date", "return_pct_day", "return_pct_week", "return_pct_month")
+    return by_coin.groupBy(*COIN).agg(F.max_by(figures, "date").alias("f")).select(*COIN, "f.*")
 
 
 def most_volatile(daily: DataFrame, on, limit: int = 10) -> DataFrame:

@@ -44,13 +44,15 @@ def panel_price_trend(daily: DataFrame, symbols, as_of, days: int = 30) -> DataF
 def panel_volume_heatmap(daily: DataFrame, as_of, days: int = 30, top: int = 10) -> DataFrame:
     """Volume by day and symbol for the most traded symbols.
 
-    The totals are taken from the matrix itself; the broadcast side has ``top`` rows.
+    A symbol's days, at most ``days + 1``, travel with its total, so picking the top symbols and
+    listing their days is one pass without a join.
     """
     matrix = rolling_range(daily, as_of, days).groupBy("date", "symbol") \
         .agg(F.sum("volume_sum_day").alias("volume"))
-    busiest = matrix.groupBy("symbol").agg(F.sum("volume").alias("total")) \
-        .orderBy(F.desc("total"), "symbol").limit(top).select("symbol")
-    return matrix.join(F.broadcast(busiest), "symbol", "left_semi").select("date", "symbol", "volume")
+    busiest = (matrix.groupBy("symbol").agg(F.sum("volume").alias("total"),
+                                            F.collect_list(F.struct("date", "volume")).alias("days"))
+               .orderBy(F.desc_nulls_last("total"), "symbol").limit(top))
+    return busiest.select("symbol", F.inline("days")).select("date", "symbol", "volume")
 
 
 def panel_weekly_perf(weekly: DataFrame, as_of, days: int = 7, top: int = 10) -> DataFrame:
@@ -76,16 +78,17 @@ def panel_alert_types(alerts: DataFrame, size: int = 10) -> DataFrame:
 def panel_alert_coins(messages: DataFrame, size: int = 15) -> DataFrame:
     """Symbols with the newest alerts, one line per alert type.
 
-    One aggregate over the messages; the choice of symbols works on its small result.
+    One aggregate over the messages; a symbol then carries its lines, one per alert type.
     """
     per_type = messages.groupBy("symbol", "alert_type").agg(
         F.count("*").alias("alerts"), F.max_by("current_price", "alert_time").alias("latest_price"),
         F.max_by("change_1h", "alert_time").alias("change_1h"),
         F.max_by("change_24h", "alert_time").alias("change_24h"),
         F.max("alert_time").alias("alert_time"))
-    newest = per_type.groupBy("symbol").agg(F.max("alert_time").alias("newest")) \
-        .orderBy(F.desc("newest"), "symbol").limit(size).select("symbol")
-    return per_type.join(F.broadcast(newest), "symbol", "left_semi").withColumns(
+    lines = F.struct("alert_type", "alerts", "latest_price", "change_1h", "change_24h", "alert_time")
+    newest = (per_type.groupBy("symbol").agg(F.max("alert_time").alias("newest"), F.collect_list(lines).alias("lines"))
+              .orderBy(F.desc("newest"), "symbol").limit(size))
+    return newest.select("symbol", F.inline("lines")).withColumns(
         {"band_1h": move_band(F.col("change_1h"), PUMP_1H), "band_24h": move_band(F.col("change_24h"), PUMP_24H)})
 
 

@@ -51,17 +51,22 @@ def price_history(history: DataFrame, symbol: str, as_of, days: int = 7) -> Data
             .orderBy("date", "name").limit(HISTORY_MAX))
 
 
-def trend_columns(days: int) -> list[Column]:
-    """Trend figures over rows with ``date`` and ``price_usd``; a zero end point counts as 1."""
-    price = F.coalesce(F.col("price_usd"), F.lit(0.0))
+def trend_columns(days: int, among: Column | None = None) -> list[Column]:
+    """Trend figures over the rows with ``date`` and ``price_usd`` for which ``among`` holds.
+
+    A zero end point counts as 1, a missing price as 0.
+    """
+    among = F.lit(True) if among is None else among
+    price = F.when(among, F.coalesce("price_usd", F.lit(0.0)))
+    date = F.when(among, F.col("date"))
 
     def end_point(value: Column) -> Column:
         return F.when(value == 0, F.lit(1.0)).otherwise(value)
 
     return [
-        F.count("*").alias("points"), F.lit(days).alias("period_days"),
-        end_point(F.min_by(price, "date")).alias("first_price"),
-        end_point(F.max_by(price, "date")).alias("last_price"),
+        F.count_if(among).alias("points"), F.lit(days).alias("period_days"),
+        end_point(F.min_by(price, date)).alias("first_price"),
+        end_point(F.max_by(price, date)).alias("last_price"),
         F.avg(price).alias("avg_price"), F.min(price).alias("min_price"), F.max(price).alias("max_price"),
     ]
 
@@ -85,10 +90,6 @@ def price_trend(history: DataFrame, symbol: str, as_of, days: int = 7) -> DataFr
     return with_trend(rows.agg(*trend_columns(days)).withColumn("symbol", F.lit(symbol.upper())))
 
 
-def trend_by_symbol(history: DataFrame, days: int) -> DataFrame:
-    return with_trend(history.groupBy("symbol").agg(*trend_columns(days)))
-
-
 def history_interval(clean: DataFrame, coin_id: str, as_of, days: int = 7, interval: str = "daily") -> DataFrame:
     """Last price, volume and capitalisation of one coin per hour or day."""
     unit = {"hourly": "hour", "daily": "day"}[interval]
@@ -160,33 +161,36 @@ def search_coin(coins: DataFrame, keyword: str, limit: int = 20, name: str = "na
 
 # --- newest or chosen period of a metric table ------------------------------------------------
 
-def best_of(period: DataFrame, timeframe: str, limit: int) -> DataFrame:
-    ret = timeframes.columns(timeframe)["return"]
-    return period.orderBy(F.desc_nulls_last(ret), *COIN).limit(limit)
+def report(metrics: DataFrame, timeframe: str, period: list[str], newest_only: bool, limit: int) -> DataFrame:
+    """Best returns, of the newest period only or of whatever rows came in.
+
+    The newest period needs no second pass: ordered by period first, its best rows come first, and
+    what follows them in the ``limit`` rows belongs to older periods and is cut off.
+    """
+    order = [F.desc_nulls_last(timeframes.columns(timeframe)["return"]), *COIN]
+    if not newest_only:
+        return metrics.orderBy(*order).limit(limit)
+    top = metrics.orderBy(*[F.desc(p) for p in period], *order).limit(limit)
+    newest = F.max(F.struct(*period)).over(Window.partitionBy())
+    return top.withColumn("_newest", newest).where(F.struct(*period) == F.col("_newest")).drop("_newest")
 
 
 def daily_report(daily: DataFrame, limit: int = 100, date=None) -> DataFrame:
     """Coins of one day by return; the newest day unless one is given."""
-    wanted = as_column(date) if date is not None else daily.agg(F.max("date")).scalar()
-    chosen = daily.where(F.col("date") == wanted)
-    return best_of(chosen, "daily", limit).select(
+    chosen = daily if date is None else daily.where(F.col("date") == as_column(date))
+    return report(chosen, "daily", ["date"], date is None, limit).select(
         "date", *COIN, "open_price", "close_price", "high_price", "low_price", "return_pct_day",
         "volatility_day", "volume_sum_day", "market_cap_close", "rank_close")
 
 
 def period_report(metrics: DataFrame, timeframe: str, part: str, limit: int, year: int | None,
                   value: int | None) -> DataFrame:
-    if value is None and year is None:
-        newest = metrics.agg(F.max(F.struct("year", part))).scalar()
-        chosen = metrics.where(F.struct("year", part) == newest)
-    else:
-        chosen = metrics
-        if year is not None:
-            chosen = chosen.where(F.col("year") == year)
-        if value is not None:
-            chosen = chosen.where(F.col(part) == value)
+    if year is not None:
+        metrics = metrics.where(F.col("year") == year)
+    if value is not None:
+        metrics = metrics.where(F.col(part) == value)
     cols, suffix = timeframes.columns(timeframe), timeframes.SUFFIX[timeframe]
-    return best_of(chosen, timeframe, limit).select(
+    return report(metrics, timeframe, ["year", part], year is None and value is None, limit).select(
         "year", part, f"{suffix}_start_date", f"{suffix}_end_date", *COIN, cols["open"], cols["close"],
         cols["high"], cols["low"], cols["return"], cols["volatility"], cols["volume"])
 

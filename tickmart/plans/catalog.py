@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from tickmart.functions.calendar import calendar_parts, instant
 from tickmart.operators import alerts, clean, export, market, merge, panels, rollup, sentiment, serving
 from tickmart.schemas import ALERT_DDL
-from tickmart.session import pin_utc
+from tickmart.session import pin_utc, stored
 from tickmart.sources import payload, raw
 from tickmart.sources import tick_tables as tt
 
@@ -38,47 +39,52 @@ class Feed:
     def table(self, name: str) -> DataFrame:
         return tt.table(self.spark, self.folder, name)
 
-    @property
+    @cached_property
     def ticks(self) -> DataFrame:
         return tt.ticks(self.spark, self.folder)
 
-    @property
+    @cached_property
     def live(self) -> DataFrame:
         return tt.live_ticks(self.spark, self.folder)
 
-    @property
+    @cached_property
     def clean(self) -> DataFrame:
         return clean.clean_ticks(self.ticks)
 
-    @property
+    @cached_property
     def daily(self) -> DataFrame:
         return rollup.daily_metrics(self.clean)
 
-    @property
+    @cached_property
+    def daily_table(self) -> DataFrame:
+        """The daily metrics as a written table, for queries that read them twice."""
+        return stored(self.spark, self.daily, "daily_metrics")
+
+    @cached_property
     def weekly(self) -> DataFrame:
         return rollup.weekly_metrics(self.daily)
 
-    @property
+    @cached_property
     def monthly(self) -> DataFrame:
         return rollup.monthly_metrics(self.daily)
 
-    @property
+    @cached_property
     def latest(self) -> DataFrame:
         return serving.latest_snapshot(self.clean)
 
-    @property
+    @cached_property
     def history(self) -> DataFrame:
         return serving.history_table(self.daily)
 
-    @property
+    @cached_property
     def alert_store(self) -> DataFrame:
         return alerts.price_alert_records(self.live).unionByName(alerts.whale_alert_records(self.daily))
 
-    @property
+    @cached_property
     def messages(self) -> DataFrame:
         return alerts.alert_messages(alerts.price_alerts(self.live), alert_time=F.col("crawl_ts"))
 
-    @property
+    @cached_property
     def as_of(self) -> Column:
         """The newest event time; stands in for the clock, so results repeat."""
         return self.table("events").agg(F.max("ts")).scalar()
@@ -251,18 +257,18 @@ def monthly_metrics(f: Feed) -> DataFrame:
 
 def touched_days(f: Feed) -> DataFrame:
     """Daily rows that arrived in the last three days."""
-    return f.daily.where(F.col("date") >= F.date_sub(F.to_date(f.as_of), 3))
+    return f.daily_table.where(F.col("date") >= F.date_sub(F.to_date(f.as_of), 3))
 
 
 @query
 def affected_weeks(f: Feed) -> DataFrame:
-    days = rollup.rows_of_periods(f.daily, touched_days(f), ["year", "week_of_year"])
+    days = rollup.rows_of_periods(f.daily_table, touched_days(f), ["year", "week_of_year"])
     return rounded(rollup.weekly_metrics(days), 6, "avg_volatility_week", "avg_rank_week")
 
 
 @query
 def affected_months(f: Feed) -> DataFrame:
-    days = rollup.rows_of_periods(f.daily, touched_days(f), ["year", "month"])
+    days = rollup.rows_of_periods(f.daily_table, touched_days(f), ["year", "month"])
     return rounded(rollup.monthly_metrics(days), 6, "avg_volatility_month", "avg_rank_month")
 
 
@@ -458,7 +464,7 @@ def hourly_volume(f: Feed) -> DataFrame:
 
 @query
 def base_correlation(f: Feed) -> DataFrame:
-    return rounded(market.base_correlation(f.daily, BASE), 6, "correlation")
+    return rounded(market.base_correlation(f.daily_table, BASE), 6, "correlation")
 
 
 @query
@@ -474,12 +480,12 @@ def rank_changes(f: Feed) -> DataFrame:
 @query
 def top_movers(f: Feed) -> DataFrame:
     """The test feed spans 30 days, so the long timeframe is taken over 20."""
-    return market.top_movers(f.clean, f.daily, long_days=20)
+    return market.top_movers(f.clean, long_days=20)
 
 
 @query
 def top_coin_trends(f: Feed) -> DataFrame:
-    return rounded(market.top_coin_trends(f.history, f.latest, f.as_of), 6, "avg_price")
+    return rounded(market.top_coin_trends(f.history, f.as_of), 6, "avg_price")
 
 
 @query
@@ -489,7 +495,7 @@ def price_heatmap(f: Feed) -> DataFrame:
 
 @query
 def performance_compare(f: Feed) -> DataFrame:
-    return market.performance_compare(f.daily, f.weekly, f.monthly)
+    return market.performance_compare(f.daily)
 
 
 @query
@@ -692,5 +698,5 @@ def retention_filter(f: Feed) -> DataFrame:
 @query
 def unprocessed_dates(f: Feed) -> DataFrame:
     """The ledger holds every day up to a week before the newest tick."""
-    dates = f.clean.select("date")
-    return merge.unprocessed_dates(dates, dates.distinct().where(F.col("date") < F.date_sub(F.to_date(f.as_of), 7)))
+    arrived = f.ticks.select(F.to_date("crawl_ts").alias("date")).distinct()
+    return merge.unprocessed_dates(f.clean, arrived.where(F.col("date") < F.date_sub(F.to_date(f.as_of), 7)))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tickmart.functions.calendar import days_before
 from tickmart.operators import clean, export, rollup
 from tickmart.plans import ranges
+from tickmart.schemas import METRIC_DDL, clean_schema
 from tickmart.sinks.state import load_mark, read_or_none, save_mark
 from tickmart.sinks.stores import TableSink
 from tickmart.sinks.tables import overwrite_partitions
@@ -84,18 +85,15 @@ def clean_job(spark: SparkSession, layout: Layout, now: dt.datetime, lateness: d
 # --- aggregation ------------------------------------------------------------------------------
 
 def clean_table(spark: SparkSession, layout: Layout) -> DataFrame | None:
-    return read_or_none(lambda: spark.read.parquet(layout.clean))
+    return read_or_none(spark, layout.clean, spark.read.schema(clean_schema()).parquet)
 
 
-def daily_table(spark: SparkSession, layout: Layout) -> DataFrame:
-    return spark.read.parquet(layout.metrics("daily_metrics"))
+def metric_table(spark: SparkSession, layout: Layout, table: str) -> DataFrame | None:
+    return read_or_none(spark, layout.metrics(table), spark.read.schema(METRIC_DDL[table]).parquet)
 
 
-def date_range(spark: SparkSession, layout: Layout) -> tuple[dt.date, dt.date] | None:
-    """Days to process. With a mark, only partitions from that day on are listed and opened."""
-    table = clean_table(spark, layout)
-    if table is None:
-        return None
+def date_range(spark: SparkSession, layout: Layout, table: DataFrame) -> tuple[dt.date, dt.date] | None:
+    """Days to process. With a mark, only partitions from that day on are opened."""
     mark = load_mark(spark, layout.mark("aggregate"))
     last = dt.date.fromisoformat(mark) if mark else None
     if last is not None:
@@ -109,16 +107,17 @@ def aggregate_job(spark: SparkSession, layout: Layout) -> tuple[dt.date, dt.date
 
     Weeks and months are rebuilt from all of their daily rows, read back from the daily table.
     """
-    span = date_range(spark, layout)
+    table = clean_table(spark, layout)
+    span = None if table is None else date_range(spark, layout, table)
     if span is None:
         return None
     start, end = span
-    ticks = clean_table(spark, layout).where(F.col("date").between(F.lit(start), F.lit(end)))
+    ticks = table.where(F.col("date").between(F.lit(start), F.lit(end)))
     daily = rollup.daily_metrics(ticks).withColumn("day", F.dayofmonth("date"))
     overwrite_partitions(daily, layout.metrics("daily_metrics"), ["year", "month", "day"])
 
     weeks, months = ranges.touched_weeks(start, end), ranges.touched_months(start, end)
-    days = daily_table(spark, layout)
+    days = metric_table(spark, layout, "daily_metrics")
     of_weeks = days.where(ranges.in_pairs("year", "month", ranges.months_of_weeks(weeks))
                           & ranges.in_pairs("year", "week_of_year", weeks))
     overwrite_partitions(rollup.weekly_metrics(of_weeks), layout.metrics("weekly_metrics"), ["year", "week_of_year"])
@@ -135,7 +134,7 @@ def export_job(spark: SparkSession, layout: Layout, relational: TableSink | None
                document: TableSink | None = None) -> None:
     """Send the three metric tables to the serving stores."""
     for table in export.DATE_COLUMNS:
-        metrics = read_or_none(lambda t=table: spark.read.parquet(layout.metrics(t)))
+        metrics = metric_table(spark, layout, table)
         if metrics is None:
             continue
         if relational:
@@ -151,7 +150,7 @@ def expired_dates(table: DataFrame, as_of, days: int) -> DataFrame:
 
 def retain_job(spark: SparkSession, source: str, target: str, as_of, days: int = 30) -> None:
     """Copy the part of the clean table that is young enough to a new place."""
-    kept = spark.read.parquet(source).where(F.col("date") >= days_before(as_of, days))
+    kept = spark.read.schema(clean_schema()).parquet(source).where(F.col("date") >= days_before(as_of, days))
     overwrite_partitions(kept, target, ["date", "hour"])
 
 

@@ -80,6 +80,34 @@ SENTIMENT_DDL = """
 """
 
 
+#: Metric tables as they are stored.
+DAILY_DDL = """
+    date date, week_of_year int, day_of_week int, coin_id string, symbol string, name string,
+    open_price double, close_price double, high_price double, low_price double,
+    return_pct_day double, volatility_day double, price_range_day double,
+    volume_sum_day bigint, market_cap_close bigint, market_cap_rank_close int,
+    rank_open int, rank_close int, rank_change int, record_count bigint,
+    year int, month int, day int
+"""
+
+
+def period_ddl(suffix: str, part: str) -> str:
+    prices = ", ".join(f"{side}_price_{suffix} double" for side in ("open", "close", "high", "low"))
+    return f"""
+        {suffix}_start_date date, {suffix}_end_date date, coin_id string, symbol string, name string, {prices},
+        return_pct_{suffix} double, volatility_{suffix} double, avg_volatility_{suffix} double,
+        volume_sum_{suffix} bigint, avg_rank_{suffix} double, days_in_{suffix} bigint, year int, {part} int
+    """
+
+
+METRIC_DDL = {"daily_metrics": DAILY_DDL, "weekly_metrics": period_ddl("week", "week_of_year"),
+              "monthly_metrics": period_ddl("month", "month")}
+
+
+def clean_schema() -> T.StructType:
+    return T.StructType.fromDDL(", ".join(f"{c} {t}" for c, t in CLEAN_COLUMNS.items()))
+
+
 def raw_schema() -> T.StructType:
     return T.StructType.fromDDL(RAW_DDL)
 

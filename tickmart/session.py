@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Timestamps in the raw feed carry no zone and mean UTC; every calendar column depends on this.
 SESSION_DEFAULTS = {
@@ -43,3 +46,16 @@ def shared_dir(spark: SparkSession, name: str, fallback: str | None = None) -> s
     if not root:
         raise ValueError("spark.checkpoint.dir is not set and no folder was given")
     return f"{root.rstrip('/')}/{name}"
+
+
+def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write a derived table that a query reads more than once, and read it back.
+
+    It goes to the cluster's shared folder, so the work behind it is done once and outlives the
+    executors that did it. A machine-local folder serves only a local session without that setting.
+    """
+    local = spark.sparkContext.master.startswith("local") and not spark.conf.get("spark.checkpoint.dir", None)
+    root = shared_dir(spark, "derived", fallback=tempfile.mkdtemp(prefix="derived-") if local else None)
+    path = f"{root}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

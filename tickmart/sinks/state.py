@@ -6,25 +6,26 @@ saving leaves the previous mark in place.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _DDL = "seq bigint, value string"
 
 
-def read_or_none(load) -> DataFrame | None:
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def read_or_none(spark: SparkSession, path: str, load: Callable[[str], DataFrame]) -> DataFrame | None:
     """The loaded table, or nothing where the path does not exist yet."""
-    try:
-        return load()
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    return load(path) if exists(spark, path) else None
 
 
 def _newest(spark: SparkSession, path: str):
-    marks = read_or_none(lambda: spark.read.schema(_DDL).json(path))
+    marks = read_or_none(spark, path, spark.read.schema(_DDL).json)
     return None if marks is None else marks.orderBy(F.desc("seq")).first()
 
 

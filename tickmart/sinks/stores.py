@@ -46,7 +46,7 @@ class DocumentStore:
         df.write.mode("overwrite").parquet(f"{self.root}/log/batch_id={int(batch_id)}")
 
     def _load(self, path: str) -> DataFrame | None:
-        return read_or_none(lambda: self.spark.read.parquet(path))
+        return read_or_none(self.spark, path, self.spark.read.parquet)
 
     def _rows(self) -> DataFrame | None:
         folded = load_mark(self.spark, f"{self.root}/state")
