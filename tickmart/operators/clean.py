@@ -81,18 +81,26 @@ def rejects(df: DataFrame) -> DataFrame:
     return df.where(~F.coalesce(is_valid(), F.lit(False)))
 
 
-def clean_ticks(df: DataFrame) -> DataFrame:
-    """The whole cleaning chain, in the column order of the clean table."""
-    return clean_ticks_of_unique(dedup_latest(df))
+def slim(df: DataFrame) -> DataFrame:
+    """Typed measures and only the columns that cleaning uses: what the deduplication has to shuffle.
+
+    Typing first does not change which copy wins, only its width on the wire.
+    """
+    typed = coerce_measures(with_event_time(df))
+    return typed.select(*[c for c in typed.columns if c in CLEAN_COLUMNS or c == "crawl_time"])
 
 
-def clean_ticks_of_unique(unique: DataFrame) -> DataFrame:
-    """Coerce, validate and complete ticks that have no copies left."""
-    typed = coerce_measures(with_event_time(unique))
-    clean = with_calendar(validate(typed))
+def clean_unique(unique: DataFrame) -> DataFrame:
+    """Validate and complete ticks that have no copies left, in the column order of the clean table."""
+    clean = with_calendar(validate(unique))
     return clean.select(*typed_or_null(clean, CLEAN_COLUMNS))
 
 
+def clean_ticks(df: DataFrame) -> DataFrame:
+    """The whole cleaning chain. Duplicates go before validation: a newer invalid copy hides an older one."""
+    return clean_unique(dedup_latest(slim(df)))
+
+
 def incremental_window(df: DataFrame, after, until, column: str = "crawl_ts") -> DataFrame:
     """Rows of the half-open event-time interval ``(after, until]``."""
     ts = F.col(column)
@@ -105,8 +113,9 @@ def quality_report(df: DataFrame) -> DataFrame:
     Copies are counted while they are collapsed: the per-key row carries how many there were, so
     neither the scan nor the shuffle is repeated per counter.
     """
+    df = slim(df)
     kept = collapse(df, tick_key(df), "last_updated", F.count("*").alias("copies"))
-    typed = coerce_measures(with_event_time(kept)).withColumn("valid", F.coalesce(is_valid(), F.lit(False)))
+    typed = kept.withColumn("valid", F.coalesce(is_valid(), F.lit(False)))
     per_partition = (
         typed.groupBy(F.to_date("crawl_ts").alias("date"), F.hour("crawl_ts").alias("hour"))
         .agg(F.sum("copies").alias("raw"), F.count("*").alias("unique"),

@@ -157,7 +157,8 @@ def price_heatmap(daily: DataFrame, dates: list | None = None) -> DataFrame:
     if dates is None:
         return daily.groupBy("symbol", "date").agg(F.avg("return_pct_day").alias("return_pct"))
     keys = [str(d) for d in dates]
-    return daily.groupBy("symbol").pivot(F.col("date").cast("string"), keys).agg(F.avg("return_pct_day"))
+    text = daily.withColumn("date", F.col("date").cast("string"))
+    return text.groupBy("symbol").pivot("date", keys).agg(F.avg("return_pct_day"))
 
 
 def performance_compare(daily: DataFrame) -> DataFrame:

@@ -100,8 +100,15 @@ def query(fn: Callable[[Feed], DataFrame]) -> Query:
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
-    """Sums of doubles depend on the order of addition; compare them to a fixed number of digits."""
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+    """Sums of doubles depend on the order of addition; compare them to a fixed number of digits.
+
+    A sum that cancels out may round to minus zero, which is zero.
+    """
+    def fixed(c: str) -> Column:
+        r = F.round(c, digits)
+        return F.when(r == 0, F.lit(0.0)).otherwise(r)
+
+    return df.withColumns({c: fixed(c) for c in columns})
 
 
 def ntz(df: DataFrame, *columns: str) -> DataFrame:

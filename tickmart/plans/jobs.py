@@ -69,8 +69,8 @@ def clean_job(spark: SparkSession, layout: Layout, now: dt.datetime, lateness: d
 
     seen, unique, kept = Observation("raw"), Observation("unique"), Observation("clean")
     counted = raw.observe(seen, F.count("*").alias("rows"), F.max(F.unix_micros("crawl_ts")).alias("newest"))
-    deduped = clean.dedup_latest(counted).observe(unique, F.count("*").alias("rows"))
-    result = clean.clean_ticks_of_unique(deduped).observe(kept, F.count("*").alias("rows"))
+    deduped = clean.dedup_latest(clean.slim(counted)).observe(unique, F.count("*").alias("rows"))
+    result = clean.clean_unique(deduped).observe(kept, F.count("*").alias("rows"))
     overwrite_partitions(result, layout.clean, ["date", "hour"])
 
     save_mark(spark, layout.mark("clean"), from_micros(seen.get["newest"]))

@@ -147,7 +147,7 @@ def mood(source: str, bucket: str, name: str, change: str, average: str) -> str:
                      count(*) FILTER (WHERE {change} = 0) AS neutral_count,
                      round(count(*) FILTER (WHERE {change} > 0) / count(*) * 100, 2) AS bullish_pct,
                      round(count(*) FILTER (WHERE {change} < 0) / count(*) * 100, 2) AS bearish_pct,
-                     round(avg({change}), 6) AS {average}
+                     CASE WHEN round(avg({change}), 6) = 0 THEN 0 ELSE round(avg({change}), 6) END AS {average}
               FROM {source} GROUP BY ALL)"""
 
 
