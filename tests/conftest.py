@@ -13,7 +13,7 @@ DATA = Path("/root/testdata")
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = builder(
-        "tests", "local[8]", 4,
+        "tests", "local[8]", 2,
         **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))},
     ).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")

@@ -74,7 +74,7 @@ def test_clean_job_counters_mark_and_no_op(spark, layout):
     land(layout, [tick("a", "2024-01-01T10:00:00", 1.0), tick("a", "2024-01-01T10:00:00", 2.0, "2024-01-01T10:00:01"),
                   tick("b", "2024-01-01T10:00:00", -1.0)], "one")
     got = jobs.clean_job(spark, layout, at("2024-01-01T10:05:00"))
-    assert got == {"raw": 3, "duplicates": 1, "invalid": 1, "clean": 1, "quality_pct": 33.33}
+    assert got == {"raw": 3, "duplicates": 1, "invalid": 1, "clean": 1, "quality_pct": 33.33, "partitions": 1}
     assert load_mark(spark, layout.mark("clean")) == "2024-01-01T10:00:00+00:00"
     assert jobs.clean_job(spark, layout, at("2024-01-01T10:06:00"), lateness=dt.timedelta(0)) is None
     before = clean_rows(spark, layout)
@@ -140,8 +140,8 @@ def test_raw_scan_prunes_folders(spark, layout):
     df = raw_ticks(spark, layout.raw, since=dt.date(2024, 5, 5))
     assert rows(df.select(F.substring("crawl_time", 1, 10).alias("d")).distinct()) == \
         [("2024-05-04",), ("2024-05-05",), ("2024-05-06",)]
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(dt" in plan
+    assert len(df.inputFiles()) == 9
+    assert raw_ticks(spark, layout.raw, since=dt.date(2025, 1, 1)).isEmpty()
 
 
 def test_snapshot_file(spark, tmp_path):

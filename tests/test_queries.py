@@ -23,5 +23,9 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, small, con, name):
-    _, difference = compare(entry.queries()[name](spark, small), con, entry.oracle_sql()[name])
+    df = entry.queries()[name](spark, small)
+    _, difference = compare(df, con, entry.oracle_sql()[name])
     assert not difference
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "NestedLoopJoin", "Python", "Pandas"):
+        assert bad not in plan

@@ -238,8 +238,12 @@ def test_payload_with_missing_and_odd_fields(spark):
 
 def test_heatmap_pivot(spark, small):
     daily = Feed(spark, small).daily_table
-    wide = market.price_heatmap(daily, [D(2024, 1, 2), D(2024, 1, 3)])
-    assert wide.columns == ["symbol", "2024-01-02", "2024-01-03"] and wide.count() == 20
+    days = [D(2024, 1, 2), D(2024, 1, 3)]
+    wide = market.price_heatmap(daily, days)
+    assert wide.columns == ["symbol", "2024-01-02", "2024-01-03"]
+    back = wide.selectExpr("symbol", "stack(2, '2024-01-02', `2024-01-02`, '2024-01-03', `2024-01-03`) AS (date, r)")
+    long = market.price_heatmap(daily).where(F.col("date").isin(days))
+    assert rows(back.where("r IS NOT NULL")) == rows(long.select("symbol", F.col("date").cast("string"), "return_pct"))
 
 
 def test_filters(spark, small):

@@ -65,10 +65,10 @@ def test_clean_rejects_and_alerts_streams(spark, tmp_path):
 
 def test_update_mode_sentiment_equals_batch(spark, small, tmp_path):
     """Time-ordered files through the upsert sink end in the batch result, open window included."""
-    ticks = tt.live_ticks(spark, small)
+    ticks = tt.live_ticks(spark, small).withColumn("crawl_ts", F.col("crawl_ts").cast("timestamp"))
     src = str(tmp_path / "ticks")
-    (ticks.withColumn("crawl_ts", F.col("crawl_ts").cast("timestamp")).repartitionByRange(4, "crawl_ts")
-     .sortWithinPartitions("crawl_ts").write.parquet(src))
+    for week in range(5):  # the feed takes files by age, so each is written after the one before
+        ticks.where(F.floor((F.dayofmonth("crawl_ts") - 1) / 7) == week).coalesce(1).write.mode("append").parquet(src)
     stream = spark.readStream.schema(spark.read.parquet(src).schema).option("maxFilesPerTrigger", 1).parquet(src)
     store = str(tmp_path / "store")
     q = feeds.upsert_sink(store)(stages.sentiment_stream(stream), "s", "update", str(tmp_path / "cp"), ONCE)

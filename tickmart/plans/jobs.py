@@ -15,6 +15,7 @@ from tickmart.schemas import METRIC_DDL, clean_schema
 from tickmart.sinks.state import load_mark, read_or_none, save_mark
 from tickmart.sinks.stores import TableSink
 from tickmart.sinks.tables import overwrite_partitions
+from tickmart.sources.partitions import partition_values, read_folders
 from tickmart.sources.raw import raw_ticks
 
 RESET_DATE = dt.date(2025, 10, 1)
@@ -70,7 +71,8 @@ def clean_job(spark: SparkSession, layout: Layout, now: dt.datetime, lateness: d
     seen, unique, kept = Observation("raw"), Observation("unique"), Observation("clean")
     counted = raw.observe(seen, F.count("*").alias("rows"), F.max(F.unix_micros("crawl_ts")).alias("newest"))
     deduped = clean.dedup_latest(clean.slim(counted)).observe(unique, F.count("*").alias("rows"))
-    result = clean.clean_unique(deduped).observe(kept, F.count("*").alias("rows"))
+    result = clean.clean_unique(deduped).observe(
+        kept, F.count("*").alias("rows"), F.collect_set(F.date_trunc("hour", "crawl_ts")).alias("hours"))
     overwrite_partitions(result, layout.clean, ["date", "hour"])
 
     save_mark(spark, layout.mark("clean"), from_micros(seen.get["newest"]))
@@ -79,27 +81,27 @@ def clean_job(spark: SparkSession, layout: Layout, now: dt.datetime, lateness: d
     raw_rows, clean_rows = seen.get["rows"], kept.get["rows"]
     return {"raw": raw_rows, "duplicates": raw_rows - unique.get["rows"],
             "invalid": unique.get["rows"] - clean_rows, "clean": clean_rows,
-            "quality_pct": round(clean_rows / raw_rows * 100, 2)}
+            "quality_pct": round(clean_rows / raw_rows * 100, 2), "partitions": len(kept.get["hours"])}
 
 
 # --- aggregation ------------------------------------------------------------------------------
 
-def clean_table(spark: SparkSession, layout: Layout) -> DataFrame | None:
-    return read_or_none(spark, layout.clean, spark.read.schema(clean_schema()).parquet)
+def clean_table(spark: SparkSession, layout: Layout, start: dt.date, end: dt.date) -> DataFrame:
+    """Clean ticks of the days from ``start`` to ``end``."""
+    days = [f"date={d}" for d in partition_values(spark, layout.clean, "date") if str(start) <= d <= str(end)]
+    return read_folders(spark, layout.clean, days, clean_schema(), "parquet")
 
 
 def metric_table(spark: SparkSession, layout: Layout, table: str) -> DataFrame | None:
     return read_or_none(spark, layout.metrics(table), spark.read.schema(METRIC_DDL[table]).parquet)
 
 
-def date_range(spark: SparkSession, layout: Layout, table: DataFrame) -> tuple[dt.date, dt.date] | None:
-    """Days to process. With a mark, only partitions from that day on are opened."""
+def date_range(spark: SparkSession, layout: Layout) -> tuple[dt.date, dt.date] | None:
+    """Days to process: the mark against the first and last day of the clean table's folders."""
     mark = load_mark(spark, layout.mark("aggregate"))
-    last = dt.date.fromisoformat(mark) if mark else None
-    if last is not None:
-        table = table.where(F.col("date") >= F.lit(last))
-    bounds = rollup.date_bounds(table).first()
-    return ranges.plan_range(last, bounds.min_date, bounds.max_date)
+    days = [dt.date.fromisoformat(d) for d in partition_values(spark, layout.clean, "date")]
+    return ranges.plan_range(dt.date.fromisoformat(mark) if mark else None,
+                             min(days, default=None), max(days, default=None))
 
 
 def aggregate_job(spark: SparkSession, layout: Layout) -> tuple[dt.date, dt.date] | None:
@@ -107,13 +109,11 @@ def aggregate_job(spark: SparkSession, layout: Layout) -> tuple[dt.date, dt.date
 
     Weeks and months are rebuilt from all of their daily rows, read back from the daily table.
     """
-    table = clean_table(spark, layout)
-    span = None if table is None else date_range(spark, layout, table)
+    span = date_range(spark, layout)
     if span is None:
         return None
     start, end = span
-    ticks = table.where(F.col("date").between(F.lit(start), F.lit(end)))
-    daily = rollup.daily_metrics(ticks).withColumn("day", F.dayofmonth("date"))
+    daily = rollup.daily_metrics(clean_table(spark, layout, start, end)).withColumn("day", F.dayofmonth("date"))
     overwrite_partitions(daily, layout.metrics("daily_metrics"), ["year", "month", "day"])
 
     weeks, months = ranges.touched_weeks(start, end), ranges.touched_months(start, end)

@@ -11,12 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_DDL = "seq bigint, value string"
-
+from tickmart.sources.partitions import exists
 
-def exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+_DDL = "seq bigint, value string"
 
 
 def read_or_none(spark: SparkSession, path: str, load: Callable[[str], DataFrame]) -> DataFrame | None:

@@ -9,22 +9,21 @@ from pyspark.sql import functions as F
 
 from tickmart.functions.calendar import instant
 from tickmart.schemas import raw_schema
+from tickmart.sources.partitions import partition_values, read_folders
 
 
 def raw_ticks(spark: SparkSession, path: str, since: dt.date | None = None,
               until: dt.date | None = None) -> DataFrame:
     """Line-delimited JSON below ``dt=/hr=`` folders, with a fixed schema.
 
-    ``since``/``until`` prune folders. They are widened by a day, because a folder is named after
-    the date as written in the message while event time is UTC.
+    ``since``/``until`` choose the ``dt`` folders to open. They are widened by a day, because a
+    folder is named after the date as written in the message while event time is UTC.
     """
-    df = spark.read.schema(raw_schema()).option("basePath", path).json(path)
     day = dt.timedelta(days=1)
-    if since is not None and "dt" in df.columns:
-        df = df.where(F.col("dt").cast("string") >= str(since - day))
-    if until is not None and "dt" in df.columns:
-        df = df.where(F.col("dt").cast("string") <= str(until + day))
-    return df.drop("dt", "hr")
+    low = str(since - day) if since else ""
+    high = str(until + day) if until else "~"
+    days = [f"dt={d}" for d in partition_values(spark, path, "dt") if low <= d <= high]
+    return read_folders(spark, path, days, raw_schema(), "json").drop("dt", "hr")
 
 
 def snapshot_file(spark: SparkSession, path: str) -> DataFrame:
