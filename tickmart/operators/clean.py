@@ -28,7 +28,7 @@ def collapse(df: DataFrame, keys: Sequence[str | Column], latest_by: str, *extra
     task picks the same row. It is an aggregate with a map-side step: of a key with billions of
     copies only one row per map task is shuffled, and no task has to hold a key's copies.
     """
-    grouped = {k for k in keys if isinstance(k, str)}
+    grouped = [k for k in keys if isinstance(k, str)]
     payload = [latest_by, *[c for c in df.columns if c not in grouped and c != latest_by]]
     picked = df.groupBy(*keys).agg(F.max(F.struct(*payload)).alias("_row"), *extra)
     return picked.select(*grouped, "_row.*", *[c for c in picked.columns if c not in df.columns and c != "_row"])

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from tickmart.functions.calendar import days_before
 from tickmart.operators import clean, export, rollup
 from tickmart.plans import ranges
-from tickmart.schemas import METRIC_DDL, clean_schema
-from tickmart.sinks.state import load_mark, read_or_none, save_mark
+from tickmart.schemas import clean_schema
+from tickmart.sinks.state import load_mark, save_mark
 from tickmart.sinks.stores import TableSink
 from tickmart.sinks.tables import overwrite_partitions
-from tickmart.sources.partitions import partition_values, read_folders
+from tickmart.sources import metric_tables
+from tickmart.sources.partitions import exists, partition_values, read_folders
 from tickmart.sources.raw import raw_ticks
 
 RESET_DATE = dt.date(2025, 10, 1)
@@ -26,15 +27,21 @@ class Layout:
     """Folders of one installation. Marks live beside the data, on storage all executors share."""
 
     root: str
-    raw: str = field(init=False)
-    clean: str = field(init=False)
 
-    def __post_init__(self):
-        object.__setattr__(self, "raw", f"{self.root}/raw")
-        object.__setattr__(self, "clean", f"{self.root}/clean")
+    @property
+    def raw(self) -> str:
+        return f"{self.root}/raw"
+
+    @property
+    def clean(self) -> str:
+        return f"{self.root}/clean"
+
+    @property
+    def aggregated(self) -> str:
+        return f"{self.root}/aggregated"
 
     def metrics(self, table: str) -> str:
-        return f"{self.root}/aggregated/{table}"
+        return f"{self.aggregated}/{table}"
 
     def mark(self, job: str) -> str:
         return f"{self.root}/checkpoints/{job}"
@@ -93,7 +100,7 @@ def clean_table(spark: SparkSession, layout: Layout, start: dt.date, end: dt.dat
 
 
 def metric_table(spark: SparkSession, layout: Layout, table: str) -> DataFrame | None:
-    return read_or_none(spark, layout.metrics(table), spark.read.schema(METRIC_DDL[table]).parquet)
+    return metric_tables.from_files(spark, layout.aggregated, table) if exists(spark, layout.metrics(table)) else None
 
 
 def date_range(spark: SparkSession, layout: Layout) -> tuple[dt.date, dt.date] | None:

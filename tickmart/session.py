@@ -52,10 +52,14 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write a derived table that a query reads more than once, and read it back.
 
     It goes to the cluster's shared folder, so the work behind it is done once and outlives the
-    executors that did it. A machine-local folder serves only a local session without that setting.
+    executors that did it. A machine-local folder serves only a local session without that setting;
+    a cluster without it gets the frame back as it is.
     """
-    local = spark.sparkContext.master.startswith("local") and not spark.conf.get("spark.checkpoint.dir", None)
-    root = shared_dir(spark, "derived", fallback=tempfile.mkdtemp(prefix="derived-") if local else None)
-    path = f"{root}/{name}-{uuid.uuid4().hex}"
+    scratch = None
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        if not spark.sparkContext.master.startswith("local"):
+            return df
+        scratch = tempfile.mkdtemp(prefix="derived-")
+    path = f"{shared_dir(spark, 'derived', fallback=scratch)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickmart.operators.merge import newest_by_id
-from tickmart.sinks.state import load_mark, read_or_none, save_mark
+from tickmart.sinks.state import load_mark, save_mark
+from tickmart.sources.partitions import exists, partition_values
 
 TableSink = Callable[[DataFrame, str], None]
 
@@ -43,20 +45,30 @@ class DocumentStore:
         self.spark, self.root, self.key = spark, root.rstrip("/"), key
 
     def upsert(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.root}/log/batch_id={int(batch_id)}")
+        """Write one batch. The rebalance step keeps small batches from leaving many small files."""
+        df.hint("rebalance").write.mode("overwrite").parquet(f"{self.root}/log/batch_id={int(batch_id)}")
 
-    def _load(self, path: str) -> DataFrame | None:
-        return read_or_none(self.spark, path, self.spark.read.parquet)
+    def _folded(self) -> int:
+        """Last batch that the base table holds, -1 without a base."""
+        mark = load_mark(self.spark, f"{self.root}/state")
+        return -1 if mark is None else int(mark)
+
+    def _batches(self) -> list[int]:
+        """Finished batches; one that is still being written has no success marker yet."""
+        log = f"{self.root}/log"
+        return sorted(int(b) for b in partition_values(self.spark, log, "batch_id")
+                      if exists(self.spark, f"{log}/batch_id={b}/_SUCCESS"))
 
     def _rows(self) -> DataFrame | None:
-        folded = load_mark(self.spark, f"{self.root}/state")
-        log = self._load(f"{self.root}/log")
-        if folded is None:
-            return log
-        base = self.spark.read.parquet(f"{self.root}/base/upto={folded}").withColumn("batch_id", F.lit(int(folded)))
-        if log is None:
-            return base
-        return base.unionByName(log.where(F.col("batch_id") > int(folded)), allowMissingColumns=True)
+        """Base rows and the batches after them; batches already folded in are not opened."""
+        folded, parts = self._folded(), []
+        if folded >= 0:
+            base = self.spark.read.parquet(f"{self.root}/base/upto={folded}")
+            parts.append(base.withColumn("batch_id", F.lit(folded)))
+        newer = [f"{self.root}/log/batch_id={b}" for b in self._batches() if b > folded]
+        if newer:
+            parts.append(self.spark.read.option("basePath", f"{self.root}/log").parquet(*newer))
+        return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts) if parts else None
 
     def read(self) -> DataFrame:
         rows = self._rows()
@@ -66,9 +78,7 @@ class DocumentStore:
 
     def next_batch(self) -> int:
         """Number for a batch written outside a stream."""
-        rows = self._rows()
-        top = None if rows is None else rows.agg(F.max("batch_id")).first()[0]
-        return 0 if top is None else int(top) + 1
+        return max([self._folded(), *self._batches()]) + 1
 
     def compact(self) -> None:
         """Write the current state as the new base, then make it known."""
