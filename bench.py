@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tickmart.plans import jobs
 from tickmart.plans.catalog import QUERIES
-from tickmart.session import builder, shared_dir
+from tickmart.session import builder
 from tickmart.sources import tick_tables as tt
 
 HEADLINE = [
@@ -60,8 +60,11 @@ def size_mb(path: str) -> float:
 
 def batch_chain(spark, folder: str, copies: int) -> tuple[float, float]:
     """Raw JSON to clean, daily, weekly and monthly tables: seconds and megabytes of input."""
-    with tempfile.TemporaryDirectory(prefix="bench-") as root:
-        layout = jobs.Layout(shared_dir(spark, os.path.basename(root), fallback=root))
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        os.makedirs(shared, exist_ok=True)
+    with tempfile.TemporaryDirectory(prefix="bench-", dir=shared) as root:
+        layout = jobs.Layout(root)
         raw_lines(spark, folder, copies).repartition(32, "dt", "hr").write.partitionBy("dt", "hr").text(layout.raw)
 
         def run():

@@ -1,19 +1,32 @@
-from conftest import rows
-
 import pytest
+from conftest import rows
 
 from tickmart.session import shared_dir, stored
 
 
-def test_shared_folder_setting_wins(spark, tmp_path):
+SETTING = "spark.checkpoint.dir"
+
+
+@pytest.fixture
+def restored(spark):
+    before = spark.conf.get(SETTING, None)
+    yield
+    spark.conf.set(SETTING, before) if before else spark.conf.unset(SETTING)
+
+
+def test_shared_folder_setting_wins(spark, tmp_path, restored):
+    spark.conf.set(SETTING, str(tmp_path))
+    assert shared_dir(spark, "x", fallback="/tmp/f") == f"{tmp_path}/x"
+    df = stored(spark, spark.range(3).toDF("n"), "numbers")
+    assert rows(df) == [(0,), (1,), (2,)]
+    assert all(str(tmp_path) in f for f in df.inputFiles())
+
+
+def test_without_the_setting(spark, restored):
+    spark.conf.unset(SETTING)
+    if spark.conf.get(SETTING, None):
+        pytest.skip("set for the whole installation")
     with pytest.raises(ValueError):
         shared_dir(spark, "x")
     assert shared_dir(spark, "x", fallback="/tmp/f/") == "/tmp/f/x"
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        assert shared_dir(spark, "x", fallback="/tmp/f") == f"{tmp_path}/x"
-        df = stored(spark, spark.range(3).toDF("n"), "numbers")
-        assert rows(df) == [(0,), (1,), (2,)]
-        assert all(str(tmp_path) in f for f in df.inputFiles())
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+    assert rows(stored(spark, spark.range(2).toDF("n"), "numbers")) == [(0,), (1,)]
