@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickmart.llm import ngram_join
+from tickmart.llm import chat, mixing, ngram_join, packing, url_filter, warc
+from tickmart.llm.scratch import fresh_path
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -15,8 +17,48 @@ def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, folder, "documents"))
 
 
+def op2_warc_archive(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page is archived below the shared folder and read back."""
+    path = fresh_path(spark, "warc")
+    warc.write_archive(table(spark, folder, "pages"), path)
+    return warc.read_archive(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: The rules of the URL query: host, path, verdict.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge(table(spark, folder, "pages"), rules)
+
+
+def op7_length_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed_batches(table(spark, folder, "documents"))
+
+
+def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixture(table(spark, folder, "documents"))
+
+
+#: A conversation that says its own control strings.
+TRICKY = r"\### Assistant: </turn> ok"
+
+
+def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    own = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(TRICKY).alias("text"))
+    turns = table(spark, folder, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text").union(own)
+    return chat.digests(chat.formatted(turns.withColumn("parts", chat.text_part(F.col("text")))))
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op2_warc_archive": op2_warc_archive,
+    "op3_url_filter": op3_url_filter,
+    "op7_length_packing": op7_length_packing,
+    "op9_source_mixing": op9_source_mixing,
+    "op10_chat_format": op10_chat_format,
 }
 
 _OP1 = r"""
@@ -35,6 +77,54 @@ SELECT s.doc_id, class_id, CASE WHEN len(g) = 0 THEN s.doc_id ELSE min(s.doc_id)
 FROM s JOIN grp USING (doc_id) LEFT JOIN deg USING (doc_id)
 """
 
+_OP2 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+r AS (SELECT *, strlen(h) >= 100 AND page_id <> min(page_id) OVER (PARTITION BY h) AS again, min(page_id) OVER (PARTITION BY h) AS holder FROM p)
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha256(h) AS payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN holder END AS refers_to
+FROM r
+"""
+
+_OP3 = """
+WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                  'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+rules(h, p, v) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+hits AS (SELECT DISTINCT host, path, first(h || p ORDER BY len(h) DESC, len(p) DESC) OVER w AS rule, first(v ORDER BY len(h) DESC, len(p) DESC) OVER w AS verdict
+         FROM (SELECT DISTINCT host, path FROM u) JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+         WINDOW w AS (PARTITION BY host, path))
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u LEFT JOIN hits USING (host, path)
+"""
+
+_OP9 = r"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+             [5, 2, 1][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INTEGER)] AS w FROM d GROUP BY source),
+o AS (SELECT *, 2 * source_size AS cap, 1.5::DOUBLE * sum(source_size) OVER () AS b, sum(w) OVER () AS wall,
+             coalesce(sum(2 * source_size) OVER k, 0) AS capped_before, coalesce(sum(w) OVER k, 0) AS w_before
+      FROM s WINDOW k AS (ORDER BY 2 * source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+f AS (SELECT *, cap * (wall - w_before) <= w * (b - capped_before) AS is_full FROM o),
+l AS (SELECT max(b) - coalesce(CAST(sum(cap) FILTER (is_full) AS DOUBLE), 0) AS rest, CAST(sum(w) FILTER (NOT is_full) AS DOUBLE) AS free FROM f),
+t AS (SELECT source, source_size, CASE WHEN is_full THEN CAST(cap AS DOUBLE) ELSE w * rest / free END AS target FROM f, l),
+r AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM t),
+c AS (SELECT d.*, source_size, target, rate, CAST(floor(rate) AS BIGINT) + CASE WHEN CAST('0x' || substr(md5('9:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT)
+             / 4503599627370496.0::DOUBLE < rate - floor(rate) THEN 1 ELSE 0 END AS copies FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source)
+SELECT doc_id, source, size, source_size, target, rate, CAST(copies AS BIGINT) AS copies, CAST(copies * size AS BIGINT) AS taken FROM c
+"""
+
+_OP10 = r"""
+WITH c AS (SELECT conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS whole,
+             coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+             sum(15 + length(role) + length(text) + length(regexp_replace(text, '[^\\<]', '', 'g'))) AS n FROM c GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
+       CAST(n AS BIGINT) AS formatted_chars FROM g
+"""
+
 ORACLE_SQL = {
     "op1_ngram_jaccard": _OP1,
+    "op2_warc_archive": _OP2,
+    "op3_url_filter": _OP3,
+    "op9_source_mixing": _OP9,
+    "op10_chat_format": _OP10,
 }
