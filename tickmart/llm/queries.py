@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickmart.llm import chat, mixing, ngram_join, packing, url_filter, warc
+from tickmart.llm import chat, mixing, ngram_join, packing, toxicity, url_filter, warc
 from tickmart.llm.scratch import fresh_path
 
 
@@ -37,6 +37,11 @@ def op7_length_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_batches(table(spark, folder, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.scored(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
 def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixture(table(spark, folder, "documents"))
 
@@ -57,6 +62,7 @@ QUERIES = {
     "op2_warc_archive": op2_warc_archive,
     "op3_url_filter": op3_url_filter,
     "op7_length_packing": op7_length_packing,
+    "op8_toxicity": op8_toxicity,
     "op9_source_mixing": op9_source_mixing,
     "op10_chat_format": op10_chat_format,
 }
