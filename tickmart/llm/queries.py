@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickmart.llm import chat, fingerprint, mixing, ngram_join, packing, toxicity, url_filter, warc
+from tickmart.llm import ann, chat, fingerprint, mixing, ngram_join, packing, toxicity, url_filter, warc
 from tickmart.llm.scratch import fresh_path
 
 
@@ -33,6 +33,11 @@ def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(table(spark, folder, "pages"), rules)
 
 
+def op4_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint.edited_likeness(table(spark, folder, "documents"))
 
@@ -65,6 +70,7 @@ QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_warc_archive": op2_warc_archive,
     "op3_url_filter": op3_url_filter,
+    "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_fingerprints": op5_fingerprints,
     "op7_length_packing": op7_length_packing,
     "op8_toxicity": op8_toxicity,
