@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickmart.llm import ann, chat, fingerprint, mixing, ngram_join, packing, toxicity, url_filter, warc
+from tickmart.llm import ann, chat, fingerprint, mixing, ngram_join, packing, suffix_dedup, toxicity, url_filter, warc
 from tickmart.llm.scratch import fresh_path
 
 
@@ -42,6 +42,10 @@ def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint.edited_likeness(table(spark, folder, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.repeated_bytes(table(spark, folder, "documents"))
+
+
 def op7_length_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_batches(table(spark, folder, "documents"))
 
@@ -72,6 +76,7 @@ QUERIES = {
     "op3_url_filter": op3_url_filter,
     "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_fingerprints": op5_fingerprints,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_length_packing": op7_length_packing,
     "op8_toxicity": op8_toxicity,
     "op9_source_mixing": op9_source_mixing,
