@@ -53,7 +53,7 @@ class Queues:
             self.file = tempfile.TemporaryFile(dir=spill_folder())
         weight = [sum(p.nbytes + c.nbytes for p, c in w) for w in self.waiting]
         for bucket in sorted(range(len(weight)), key=weight.__getitem__, reverse=True):
-            if self.held <= self.limit // 2:
+            if self.held <= self.limit // 2 or not weight[bucket]:
                 break
             place = np.concatenate([p for p, _ in self.waiting[bucket]])
             prefix = np.concatenate([c for _, c in self.waiting[bucket]])
@@ -69,6 +69,7 @@ class Queues:
         spilled, waiting = self.spilled[bucket], self.waiting[bucket]
         self.spilled[bucket], self.waiting[bucket] = [], []
         self.size[bucket] = 0
+        self.held -= sum(p.nbytes + c.nbytes for p, c in waiting)
         for at, n in spilled:
             for a in range(0, n, STEP):
                 k = min(STEP, n - a)
@@ -76,7 +77,6 @@ class Queues:
                 place = np.frombuffer(self.file.read(8 * k), np.int64)
                 self.file.seek(at + 8 * n + a)
                 yield place, np.frombuffer(self.file.read(k), np.uint8)
-        self.held -= sum(p.nbytes + c.nbytes for p, c in waiting)
         group, n = [], 0
         for part in waiting:
             group.append(part)
