@@ -7,6 +7,7 @@ score is that of its most toxic window.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -338,12 +339,20 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample_rows: int, sample_c
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS, **settings) -> dict:
-    """A model from labelled documents outside fold 0; without both labels it is the base rate."""
-    rows = training_rows(docs, labels, sample_rows, sample_chars).toArrow()
-    text = rows.column("text").combine_chunks()
-    if isinstance(text, pa.ChunkedArray):
-        text = pa.concat_arrays(text.chunks) if text.num_chunks else pa.array([], pa.string())
-    return train(text, rows.column("toxic").to_numpy().astype(np.float64), **settings)
+    """A model from labelled documents outside fold 0; without both labels it is the base rate.
+
+    The bounded sample is trained on in one task, which a lost executor only repeats; the driver gets the model.
+    """
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = list(batches)
+        if parts:
+            rows = pa.Table.from_batches(parts)
+            text = pa.concat_arrays([c.cast(pa.large_string()) for c in rows.column("text").chunks])
+            model = train(text, rows.column("toxic").to_numpy().astype(np.float64), **settings)
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    made = training_rows(docs, labels, sample_rows, sample_chars).repartition(1).mapInArrow(fitted, "model binary").first()
+    return pickle.loads(made["model"]) if made else train(pa.array([], pa.string()), np.zeros(0))
 
 
 def scored(docs: DataFrame, model: dict) -> DataFrame:
