@@ -5,10 +5,12 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tickmart.operators import clean, rollup
+from tickmart import cli
+from tickmart.operators import clean, rollup, serving
 from tickmart.plans import jobs
 from tickmart.sinks.state import load_mark, save_mark
 from tickmart.sinks.stores import DocumentStore, document_sink, parquet_sink
+from tickmart.sources import metric_tables
 from tickmart.sources.raw import raw_ticks, snapshot_file
 
 UTC = dt.timezone.utc
@@ -62,29 +64,78 @@ def test_half_written_hour_is_completed(spark, layout):
     assert [r[2] for r in sorted(clean_rows(spark, layout), key=lambda r: r[1])] == [1.0, 2.0, 3.0, 4.0]
 
 
-def test_straggler_within_lateness_is_picked_up(spark, layout):
-    land(layout, [tick("a", "2024-01-01T10:50:00", 1.0)], "one")
-    jobs.clean_job(spark, layout, at("2024-01-01T11:00:00"))
-    land(layout, [tick("b", "2024-01-01T10:10:00", 9.0)], "late")
-    jobs.clean_job(spark, layout, at("2024-01-01T11:10:00"))
-    assert {r[0] for r in clean_rows(spark, layout)} == {"a", "b"}
+def test_late_day_reaches_every_table(spark, layout):
+    """A tick that comes days late is cleaned, and the days, weeks and months behind it follow."""
+    land(layout, days_of_ticks(dt.datetime(2024, 1, 1), 3), "one")
+    jobs.clean_job(spark, layout)
+    jobs.aggregate_job(spark, layout)
+    land(layout, [tick("a", "2024-01-01T23:55:00", 77.0)], "late")
+    assert jobs.clean_job(spark, layout)["raw"] == 1
+    assert jobs.aggregate_job(spark, layout) == (dt.date(2024, 1, 1), dt.date(2024, 1, 1))
+    day = spark.read.parquet(layout.metrics("daily_metrics")).where("coin_id = 'a' AND date = DATE'2024-01-01'").first()
+    assert (day.close_price, day.record_count) == (77.0, 4)
+    assert spark.read.parquet(layout.metrics("monthly_metrics")).where("coin_id = 'a'").first().high_price_month == 77.0
+
+
+def test_fake_date_folder_is_read(spark, layout):
+    """A folder is named after the fake date, far from the event time; its hour also has rows elsewhere."""
+    land(layout, [tick("a", "2024-01-02T10:00:00", 1.0)], "one")
+    jobs.clean_job(spark, layout)
+    folder = layout_path(layout.raw) / "dt=2023-12-25" / "hr=10"
+    folder.mkdir(parents=True)
+    (folder / "x.jsonl").write_text(json.dumps(tick("b", "2024-01-02T10:30:00", 2.0, fake_date="2023-12-25")) + "\n")
+    assert jobs.clean_job(spark, layout)["raw"] == 2
+    assert [r[0] for r in clean_rows(spark, layout)] == ["a", "b"]
+    land(layout, [tick("c", "2024-01-02T10:45:00", 3.0)], "three")
+    assert jobs.clean_job(spark, layout)["raw"] == 3
+
+
+def test_emptied_hour_goes(spark, layout):
+    """A newer invalid copy of an hour's only tick removes the hour, and the day behind it."""
+    land(layout, [tick("a", "2024-01-01T10:00:00", 1.0), tick("a", "2024-01-02T10:00:00", 1.0)], "one")
+    jobs.clean_job(spark, layout)
+    jobs.aggregate_job(spark, layout)
+    land(layout, [tick("a", "2024-01-01T10:00:00", -1.0, "2024-01-03T00:00:00"), tick("a", "2024-01-02T11:00:00", 2.0)], "two")
+    got = jobs.clean_job(spark, layout)
+    assert (got["invalid"], got["clean"], got["partitions"]) == (1, 1, 1)
+    assert [str(r[1]) for r in clean_rows(spark, layout)] == ["2024-01-02 10:00:00", "2024-01-02 11:00:00"]
+    jobs.aggregate_job(spark, layout)
+    assert rows(spark.read.parquet(layout.metrics("daily_metrics")), "date") == [(dt.date(2024, 1, 2),)]
+
+
+def test_all_rows_invalid(spark, layout):
+    land(layout, [tick("a", "2024-01-01T10:00:00", 1.0)], "one")
+    jobs.clean_job(spark, layout)
+    land(layout, [tick("a", "2024-01-01T10:00:00", -1.0, "2024-01-02T00:00:00")], "two")
+    assert jobs.clean_job(spark, layout) == {"raw": 2, "duplicates": 1, "invalid": 1, "clean": 0, "quality_pct": 0.0, "partitions": 0}
+    land(layout, [tick("a", "2024-01-01T12:00:00", 3.0), {"crawl_time": "junk"}], "three")
+    assert jobs.clean_job(spark, layout)["clean"] == 1
 
 
 def test_clean_job_counters_mark_and_no_op(spark, layout):
+    assert jobs.clean_job(spark, layout) is None
     land(layout, [tick("a", "2024-01-01T10:00:00", 1.0), tick("a", "2024-01-01T10:00:00", 2.0, "2024-01-01T10:00:01"),
                   tick("b", "2024-01-01T10:00:00", -1.0)], "one")
-    got = jobs.clean_job(spark, layout, at("2024-01-01T10:05:00"))
+    got = jobs.clean_job(spark, layout)
     assert got == {"raw": 3, "duplicates": 1, "invalid": 1, "clean": 1, "quality_pct": 33.33, "partitions": 1}
     assert load_mark(spark, layout.mark("clean")) == "2024-01-01T10:00:00+00:00"
-    assert jobs.clean_job(spark, layout, at("2024-01-01T10:06:00"), lateness=dt.timedelta(0)) is None
     before = clean_rows(spark, layout)
-    jobs.clean_job(spark, layout, at("2024-01-01T10:06:00"))
+    assert jobs.clean_job(spark, layout) is None
     assert clean_rows(spark, layout) == before
 
 
+def test_first_run_takes_everything(spark, layout):
+    land(layout, [tick("a", "2023-01-01T10:00:00", 1.0), tick("a", "2024-01-20T10:00:00", 2.0)], "one")
+    assert jobs.clean_job(spark, layout, at("2024-01-20T12:00:00"))["clean"] == 2
+
+
 def test_rows_after_now_wait(spark, layout):
-    land(layout, [tick("a", "2024-01-01T10:00:00", 1.0), tick("a", "2024-01-01T12:00:00", 1.0)], "one")
+    land(layout, [tick("a", "2024-01-01T10:00:00", 1.0), tick("a", "2024-01-01T11:30:00", 1.5), tick("a", "2024-01-01T12:00:00", 1.0)], "one")
     assert jobs.clean_job(spark, layout, at("2024-01-01T11:00:00"))["raw"] == 1
+    assert jobs.clean_job(spark, layout, at("2024-01-01T11:45:00"))["raw"] == 1
+    assert jobs.clean_job(spark, layout, at("2024-01-01T11:50:00")) is None
+    assert jobs.clean_job(spark, layout)["raw"] == 1
+    assert len(clean_rows(spark, layout)) == 3
 
 
 def days_of_ticks(first, count, price=1.0):
@@ -102,37 +153,63 @@ def tables(spark, layout):
             for t in ("daily_metrics", "weekly_metrics", "monthly_metrics")}
 
 
-def test_increments_equal_one_full_run(spark, tmp_path):
+def serving_rows(spark, layout):
+    return {t: rows(jobs.serving_table(spark, layout, t), *sorted(jobs.serving_table(spark, layout, t).columns))
+            for t in ("latest", "history", "alerts", "volume_baseline")}
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 0, 1)])
+def test_any_arrival_order_equals_one_full_run(spark, tmp_path, order):
     """Over a month and year boundary, in three steps and at once; and running again changes nothing."""
     ticks = days_of_ticks(dt.datetime(2024, 12, 25), 12)
+    for i, t in enumerate(ticks):
+        t["price_change_percentage_1h"], t["total_volume"] = (i % 5) * 3, 5 + 400 * (i % 17 == 0)
     split, whole = jobs.Layout(str(tmp_path / "split")), jobs.Layout(str(tmp_path / "whole"))
-    for i, (lo, hi, now) in enumerate([(0, 21, "2024-12-28T12:00:00"), (21, 45, "2025-01-01T12:00:00"),
-                                       (45, 72, "2025-01-06T12:00:00")]):
-        land(split, ticks[lo:hi], f"p{i}")
-        jobs.clean_job(spark, split, at(now), first_run=dt.timedelta(days=30))
+    cuts = [(0, 21), (21, 45), (45, 72)]
+    for i in order:
+        land(split, ticks[slice(*cuts[i])], f"p{i}")
+        jobs.clean_job(spark, split)
         jobs.aggregate_job(spark, split)
+        jobs.serve_job(spark, split)
     land(whole, ticks, "all")
-    jobs.clean_job(spark, whole, at("2025-01-06T12:00:00"), first_run=dt.timedelta(days=30))
+    jobs.clean_job(spark, whole)
     assert jobs.aggregate_job(spark, whole) == (dt.date(2024, 12, 25), dt.date(2025, 1, 5))
+    assert jobs.serve_job(spark, whole) == (dt.date(2024, 12, 25), dt.date(2025, 1, 5))
     assert tables(spark, split) == tables(spark, whole)
+    assert serving_rows(spark, split) == serving_rows(spark, whole)
     direct = rollup.daily_metrics(spark.read.parquet(whole.clean))
     assert tables(spark, whole)["daily_metrics"] == rows(direct, *sorted(direct.columns))
-    assert jobs.aggregate_job(spark, whole) == (dt.date(2025, 1, 5), dt.date(2025, 1, 5))
+    snapshot = serving.latest_snapshot(spark.read.parquet(whole.clean))
+    assert serving_rows(spark, whole)["latest"] == rows(snapshot, *sorted(snapshot.columns))
+    assert {a[3] for a in serving_rows(spark, whole)["alerts"]} or serving_rows(spark, whole)["alerts"]
+    assert jobs.aggregate_job(spark, whole) is None and jobs.serve_job(spark, whole) is None
     assert tables(spark, whole) == tables(spark, split)
 
 
+def test_newest_period_reads_one_folder(spark, layout):
+    land(layout, days_of_ticks(dt.datetime(2024, 9, 28), 14), "one")
+    jobs.clean_job(spark, layout)
+    jobs.aggregate_job(spark, layout)
+    for table, date in (("daily_metrics", "day=11"), ("weekly_metrics", "week_of_year=41"), ("monthly_metrics", "month=10")):
+        newest = metric_tables.newest_period(spark, layout.aggregated, table)
+        assert newest.count() == 2 and all(date in f for f in newest.inputFiles())
+    whole, newest = (serving.daily_report(f(spark, layout.aggregated, "daily_metrics")) for f in (metric_tables.from_files, metric_tables.newest_period))
+    assert rows(whole) == rows(newest)
+    assert metric_tables.newest_period(spark, str(layout.root) + "/none", "daily_metrics").isEmpty()
+
+
 def test_aggregate_without_data(spark, layout):
-    assert jobs.aggregate_job(spark, layout) is None
+    assert jobs.aggregate_job(spark, layout) is None and jobs.serve_job(spark, layout) is None
 
 
 def test_reset_starts_over(spark, layout):
     land(layout, days_of_ticks(dt.datetime(2024, 5, 1), 3), "one")
-    jobs.clean_job(spark, layout, at("2024-05-04T00:00:00"))
+    jobs.clean_job(spark, layout)
     jobs.aggregate_job(spark, layout)
     jobs.reset_job(spark, layout, dt.date(2024, 5, 2))
-    assert load_mark(spark, layout.mark("aggregate")) == "2024-05-02"
-    assert jobs.clean_job(spark, layout, at("2024-05-04T00:00:00"), lateness=dt.timedelta(0))["raw"] == 12
+    assert jobs.clean_job(spark, layout)["raw"] == 12
     assert jobs.aggregate_job(spark, layout) == (dt.date(2024, 5, 2), dt.date(2024, 5, 3))
+    assert jobs.clean_job(spark, layout) is None
 
 
 def test_raw_scan_prunes_folders(spark, layout):
@@ -153,7 +230,7 @@ def test_snapshot_file(spark, tmp_path):
 
 def test_export_to_both_stores(spark, layout, tmp_path):
     land(layout, days_of_ticks(dt.datetime(2024, 5, 1), 3), "one")
-    jobs.clean_job(spark, layout, at("2024-05-04T00:00:00"))
+    jobs.clean_job(spark, layout)
     jobs.aggregate_job(spark, layout)
     sql, docs = parquet_sink(str(tmp_path / "sql")), document_sink(spark, str(tmp_path / "docs"))
     for _ in range(2):
@@ -167,32 +244,80 @@ def test_export_to_both_stores(spark, layout, tmp_path):
     assert rows(weekly, "doc_id") == [("a_2024_18",), ("b_2024_18",)]
 
 
-def test_document_store_batches_repeats_and_compaction(spark, tmp_path):
-    store = DocumentStore(spark, str(tmp_path / "d"))
+def batch(spark, store, n, *docs, writer="direct"):
+    return store.upsert(spark.createDataFrame(docs, "doc_id string, v int"), n, writer)
 
-    def batch(n, *docs):
-        store.upsert(spark.createDataFrame(docs, "doc_id string, v int"), n)
 
+def test_document_store_batches_repeats_and_compaction(spark, tmp_path):
+    store = DocumentStore(spark, str(tmp_path / "d"), buckets=4)
     with pytest.raises(ValueError):
         store.read()
-    batch(0, ("a", 1), ("b", 1))
-    batch(1, ("b", 2), ("c", 2))
-    batch(1, ("b", 2), ("c", 2))
+    batch(spark, store, 0, ("a", 1), ("b", 1))
+    batch(spark, store, 1, ("b", 2), ("c", 2))
+    batch(spark, store, 1, ("b", 2), ("c", 2))
     assert rows(store.read()) == [("a", 1), ("b", 2), ("c", 2)]
-    store.compact()
+    assert store.compact(5) == 0 and store.compact() == 2
     assert rows(store.read()) == [("a", 1), ("b", 2), ("c", 2)]
-    assert store.next_batch() == 2
-    batch(2, ("a", 3))
+    batch(spark, store, 2, ("a", 3))
     assert rows(store.read()) == [("a", 3), ("b", 2), ("c", 2)]
-    store.compact()
+    assert store.compact() == 1 and store.compact() == 0
     assert rows(store.read()) == [("a", 3), ("b", 2), ("c", 2)]
+    assert len(list((tmp_path / "d" / "log").glob("batch=*"))) == 1  # folded ones go with the next compaction
+
+
+def test_document_store_keeps_batches_of_other_writers(spark, tmp_path):
+    """A restart with a fresh checkpoint counts from 0 again; so does a second stream or an export."""
+    store = DocumentStore(spark, str(tmp_path / "d"))
+    batch(spark, store, 0, ("a", 1), writer="first")
+    batch(spark, store, 1, ("b", 1), writer="first")
+    batch(spark, store, 0, ("c", 1), ("b", 2), writer="second")
+    assert rows(store.read()) == [("a", 1), ("b", 2), ("c", 1)]
+    store.compact()
+    batch(spark, store, 0, ("d", 1), ("a", 5), writer="third")
+    assert rows(store.read()) == [("a", 5), ("b", 2), ("c", 1), ("d", 1)]
+    batch(spark, store, 1, ("b", 1), writer="first")  # repeated after a newer writer, and after being folded
+    store.compact()
+    assert {r[0] for r in rows(store.read())} == {"a", "b", "c", "d"}
+
+
+def test_document_store_counts_rejects(spark, tmp_path):
+    store = DocumentStore(spark, str(tmp_path / "d"))
+    assert batch(spark, store, 0, ("a", 1), (None, 2), ("", 3)) == {"accepted": 1, "rejected": 2}
+    assert rows(store.counts()) == [("direct-0", 1, 2)]
+    assert rows(store.read()) == [("a", 1)]
 
 
-def test_retention_copy(spark, layout, tmp_path):
+def test_retention_removes_folders(spark, layout):
     land(layout, days_of_ticks(dt.datetime(2024, 5, 1), 5), "one")
-    jobs.clean_job(spark, layout, at("2024-05-06T00:00:00"))
-    target = str(tmp_path / "kept")
-    jobs.retain_job(spark, layout.clean, target, dt.date(2024, 5, 5), days=2)
-    table = spark.read.parquet(layout.clean)
-    assert rows(jobs.expired_dates(table, dt.date(2024, 5, 5), 2)) == [(dt.date(2024, 5, 1),), (dt.date(2024, 5, 2),)]
-    assert spark.read.parquet(target).agg(F.min("date")).first()[0] == dt.date(2024, 5, 3)
+    jobs.clean_job(spark, layout)
+    gone = [dt.date(2024, 5, 1), dt.date(2024, 5, 2)]
+    assert jobs.retain_job(spark, layout.clean, dt.date(2024, 5, 5), days=2) == gone
+    assert spark.read.parquet(layout.clean).agg(F.min("date")).first()[0] == gone[0]
+    assert jobs.retain_job(spark, layout.clean, dt.date(2024, 5, 5), days=2, dry_run=False) == gone
+    assert spark.read.parquet(layout.clean).agg(F.min("date")).first()[0] == dt.date(2024, 5, 3)
+    assert jobs.retain_job(spark, layout.clean, dt.date(2024, 5, 5), days=2) == []
+
+
+def test_commands(spark, layout, tmp_path):
+    """Every command on a small folder, streams with --once."""
+    messages = tmp_path / "messages"
+    messages.mkdir()
+    ticks = days_of_ticks(dt.datetime(2024, 5, 1), 3)
+    (messages / "a.txt").write_text("\n".join(json.dumps(t) for t in ticks) + "\n")
+    go = lambda *argv: cli.run(spark, ["--root", layout.root, *argv])
+    go("land", "--files", str(messages), "--once")
+    assert go("clean")["clean"] == 18 and go("clean") is None
+    assert go("aggregate") == go("serve") == (dt.date(2024, 5, 1), dt.date(2024, 5, 3))
+    go("export", "--documents", str(tmp_path / "docs"), "--tables", str(tmp_path / "tables"))
+    assert DocumentStore(spark, str(tmp_path / "docs/latest")).read().count() == 2
+    assert spark.read.parquet(str(tmp_path / "tables/daily_metrics")).count() == 6
+    (messages / "b.txt").write_text(json.dumps(tick("a", "2024-05-04T00:00:00", 5.0, total_volume=10**6)) + "\n")
+    go("stream", "--files", str(messages), "--once", "--output", "whale=store", "--output", "clean=json")
+    whales = DocumentStore(spark, str(tmp_path / "outputs/whale")).read()
+    assert rows(whales, "coin_id") == [("a",)]
+    assert spark.read.json(str(tmp_path / "outputs/clean")).count() == 19
+    assert go("retain", "--as-of", "2024-05-03", "--days", "1") == [dt.date(2024, 5, 1)]
+    go("reset", "--date", "2024-05-02")
+    assert go("clean")["raw"] == 12
+    with pytest.raises(SystemExit):
+        go("stream", "--files", str(messages), "--once", "--output", "nonsense=json")

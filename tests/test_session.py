@@ -1,9 +1,8 @@
 from types import SimpleNamespace
 
 import pytest
-from conftest import rows
 
-from tickmart.session import shared_dir, stored
+from tickmart.session import shared_dir
 
 
 def with_setting(value):
@@ -15,11 +14,3 @@ def test_shared_folder_setting_wins():
     assert shared_dir(with_setting(None), "x", fallback="/tmp/f/") == "/tmp/f/x"
     with pytest.raises(ValueError):
         shared_dir(with_setting(None), "x")
-
-
-def test_stored_table_reads_back(spark):
-    df = stored(spark, spark.range(3).toDF("n"), "numbers")
-    assert rows(df) == [(0,), (1,), (2,)]
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        assert all(folder in f for f in df.inputFiles())

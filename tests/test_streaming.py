@@ -24,6 +24,14 @@ def publish(folder, name, messages):
     (folder / name).write_text("\n".join(m if isinstance(m, str) else json.dumps(m) for m in messages) + "\n")
 
 
+def memory_sink():
+    """Output held in the driver, for tests only."""
+    def run(df, name, mode, checkpoint, trigger):
+        return feeds.start(df, name, mode, checkpoint, trigger, lambda w: w.format("memory"))
+
+    return run
+
+
 def finish(queries):
     for q in queries:
         q.processAllAvailable() if q.isActive else None
@@ -85,7 +93,7 @@ def test_append_mode_withholds_the_open_window(spark, small, tmp_path):
     (tt.live_ticks(spark, small).withColumn("crawl_ts", F.col("crawl_ts").cast("timestamp"))
      .repartitionByRange(4, "crawl_ts").write.parquet(src))
     stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
-    q = feeds.memory_sink()(stages.sentiment_stream(stream), "appended", "append", str(tmp_path / "cp"), ONCE)
+    q = memory_sink()(stages.sentiment_stream(stream), "appended", "append", str(tmp_path / "cp"), ONCE)
     finish([q])
     assert spark.table("appended").count() == 987
 
@@ -171,5 +179,25 @@ def test_whale_stream_join(spark, tmp_path):
     publish(feed, "a.txt", [message("a", total_volume=201), message("b", total_volume=200), message("c", total_volume=999)])
     baseline = spark.createDataFrame([("a", 100.0), ("b", 100.0)], "coin_id string, normal_volume double")
     stream = stages.whale_stream(stages.parse_ticks(feeds.file_feed(spark, str(feed))), baseline)
-    finish([feeds.memory_sink()(stream, "whales", "append", str(tmp_path / "cp"), ONCE)])
+    finish([memory_sink()(stream, "whales", "append", str(tmp_path / "cp"), ONCE)])
     assert [(r.coin_id, round(r.volume_spike_pct, 6)) for r in spark.table("whales").collect()] == [("a", 201.0)]
+
+
+def test_fresh_checkpoint_keeps_earlier_documents(spark, tmp_path):
+    """Batch numbers start at 0 again; nothing that an earlier run stored is lost."""
+    feed, store = tmp_path / "in", str(tmp_path / "store")
+    publish(feed, "a.txt", [message("a", h1=7.0)])
+    finish(app.run_outputs(feeds.file_feed(spark, str(feed)), {"alerts": feeds.upsert_sink(store)}, str(tmp_path / "cp1"), ONCE))
+    (feed / "a.txt").unlink()
+    publish(feed, "b.txt", [message("b", h1=7.0)])
+    finish(app.run_outputs(feeds.file_feed(spark, str(feed)), {"alerts": feeds.upsert_sink(store, 1)}, str(tmp_path / "cp2"), ONCE))
+    assert rows(DocumentStore(spark, store).read(), "coin_id") == [("a",), ("b",)]
+
+
+def test_whale_output_needs_a_baseline(spark, tmp_path):
+    publish(tmp_path / "in", "a.txt", [message("a", total_volume=500)])
+    sinks = {"whale": feeds.upsert_sink(str(tmp_path / "store"))}
+    with pytest.raises(ValueError):
+        run(spark, tmp_path / "in", tmp_path, sinks)
+    run(spark, tmp_path / "in", tmp_path, sinks, baseline=spark.createDataFrame([("a", 100.0)], "coin_id string, normal_volume double"))
+    assert rows(DocumentStore(spark, str(tmp_path / "store")).read(), "coin_id", "current_volume") == [("a", 500)]

@@ -10,8 +10,6 @@ from tickmart.functions.calendar import as_column, days_before
 from tickmart.functions.classify import WHALE_RATIO, alert_type, severity
 from tickmart.operators.rollup import COIN
 
-ALERT_LIST_MAX = 200
-
 
 def price_alerts(ticks: DataFrame) -> DataFrame:
     """Ticks that trip a threshold, with the rule's name. Stateless: the same for batch and stream."""
@@ -62,6 +60,12 @@ def with_volume_baseline(daily: DataFrame, days: int = 7) -> DataFrame:
     return daily.withColumn("normal_volume", F.avg("volume_sum_day").over(by_day))
 
 
+def usual_volume(daily: DataFrame, days: int = 7) -> DataFrame:
+    """Usual volume per coin as of its newest day, that day excluded."""
+    per_day = with_volume_baseline(daily, days)
+    return per_day.groupBy("coin_id").agg(F.max_by("normal_volume", F.struct("date", "symbol", "name")).alias("normal_volume"))
+
+
 def whale_detection(daily: DataFrame, ratio: float = WHALE_RATIO, days: int = 7) -> DataFrame:
     spike = F.try_divide(F.col("volume_sum_day").cast("double"), F.col("normal_volume")) * 100
     return (
@@ -115,7 +119,7 @@ def recent_alerts(alerts: DataFrame, kind: str | None = None, level: str | None
         alerts = alerts.where(F.col("alert_type") == kind.upper())
     if level:
         alerts = alerts.where(F.col("severity") == level.upper())
-    return newest(alerts, min(limit, ALERT_LIST_MAX))
+    return newest(alerts, limit)
 
 
 def newest(alerts: DataFrame, limit: int) -> DataFrame:

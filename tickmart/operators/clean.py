@@ -90,6 +90,12 @@ def slim(df: DataFrame) -> DataFrame:
     return typed.select(*[c for c in typed.columns if c in CLEAN_COLUMNS or c == "crawl_time"])
 
 
+def collapsed(df: DataFrame) -> DataFrame:
+    """Ticks without copies, as ``slim`` makes them, with the number of ``copies`` that each stands for."""
+    df = slim(df)
+    return collapse(df, tick_key(df), "last_updated", F.count("*").alias("copies"))
+
+
 def clean_unique(unique: DataFrame) -> DataFrame:
     """Validate and complete ticks that have no copies left, in the column order of the clean table."""
     clean = with_calendar(validate(unique))
@@ -113,9 +119,7 @@ def quality_report(df: DataFrame) -> DataFrame:
     Copies are counted while they are collapsed: the per-key row carries how many there were, so
     neither the scan nor the shuffle is repeated per counter.
     """
-    df = slim(df)
-    kept = collapse(df, tick_key(df), "last_updated", F.count("*").alias("copies"))
-    typed = kept.withColumn("valid", F.coalesce(is_valid(), F.lit(False)))
+    typed = collapsed(df).withColumn("valid", F.coalesce(is_valid(), F.lit(False)))
     per_partition = (
         typed.groupBy(F.to_date("crawl_ts").alias("date"), F.hour("crawl_ts").alias("hour"))
         .agg(F.sum("copies").alias("raw"), F.count("*").alias("unique"),

@@ -14,6 +14,15 @@ DATE_COLUMNS = {
     "monthly_metrics": ["month_start_date", "month_end_date"],
 }
 
+#: Per stored serving table: the columns that make a document's id.
+SERVING_KEYS = {"latest": ["symbol"], "history": ["symbol", "date"], "alerts": ["symbol", "alert_type", "detected_at"]}
+
+
+def serving_documents(rows: DataFrame, key: list[str]) -> DataFrame:
+    """Serving rows with a document id; times and dates as ISO text."""
+    text = {c: F.col(c).cast("string") for c, kind in rows.dtypes if kind.startswith(("date", "timestamp"))}
+    return rows.withColumns(text).withColumn("doc_id", F.concat_ws("_", *[F.col(k).cast("string") for k in key]))
+
 
 def relational_rows(metrics: DataFrame, table: str) -> DataFrame:
     """Dates as text; the partition helper ``day`` is left out."""

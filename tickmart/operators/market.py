@@ -13,7 +13,7 @@ from tickmart.operators import alerts as alerts_ops
 from tickmart.operators import serving
 from tickmart.operators.rollup import COIN, percent_of
 
-TIMEFRAMES = ("24h", "7d", "30d")
+SHORT_TIMEFRAMES = ("24h", "7d")
 
 
 def market_summary(latest: DataFrame) -> DataFrame:
@@ -81,12 +81,11 @@ def hourly_volume(clean: DataFrame) -> DataFrame:
 def base_correlation(daily: DataFrame, base: str, min_points: int = 3) -> DataFrame:
     """Pearson correlation of daily returns of every other coin with the base coin.
 
-    The base side is reduced to one row per date, so the broadcast is bounded by the calendar.
+    The base return of a day is taken by a window over that day's coins, the layout that the ranks already have.
     """
     is_base = F.col("coin_id") == base
-    base_days = daily.where(is_base).groupBy("date").agg(
-        F.max_by("return_pct_day", F.struct("symbol", "name")).alias("base_return"))
-    return (daily.where(~is_base).join(F.broadcast(base_days), "date")
+    base_row = F.max(F.when(is_base, F.struct("symbol", "name", "return_pct_day"))).over(Window.partitionBy("date"))
+    return (daily.withColumn("base_return", base_row["return_pct_day"]).where(~is_base)
             .where("return_pct_day IS NOT NULL AND base_return IS NOT NULL")
             .groupBy("coin_id").agg(F.corr("return_pct_day", "base_return").alias("correlation"),
                                     F.count("*").alias("days"))
@@ -119,7 +118,7 @@ def change_over_days(close: str, days: int, latest: list[str]) -> Column:
 
 
 def top_movers(clean: DataFrame, limit: int = 10, long_days: int = 30) -> DataFrame:
-    """Strongest gainers and losers over 24 hours, 7 days and ``long_days`` days.
+    """Strongest gainers and losers over 24 hours, 7 days and ``long_days`` days; the timeframe says which.
 
     One pass over the ticks: closing figures per coin and day, the long change from those, the newest
     day per coin. The rank filter becomes a group limit ahead of the shuffle, so of each list only
@@ -133,9 +132,9 @@ def top_movers(clean: DataFrame, limit: int = 10, long_days: int = 30) -> DataFr
         F.max(F.struct("crawl_ts", "symbol", *figures, "change_long")).alias("f")).select("coin_id", "f.*")
     per_frame = newest.select(
         "coin_id", "symbol", F.col("current_price").alias("price"), F.col("total_volume").alias("volume"),
-        F.stack(F.lit(3), F.lit(TIMEFRAMES[0]), "price_change_percentage_24h",
-                F.lit(TIMEFRAMES[1]), "price_change_percentage_7d",
-                F.lit(TIMEFRAMES[2]), "change_long").alias("timeframe", "price_change_pct"))
+        F.stack(F.lit(3), F.lit(SHORT_TIMEFRAMES[0]), "price_change_percentage_24h",
+                F.lit(SHORT_TIMEFRAMES[1]), "price_change_percentage_7d",
+                F.lit(f"{long_days}d"), "change_long").alias("timeframe", "price_change_pct"))
     move = F.col("price_change_pct")
     listed = per_frame.withColumn("type", F.when(move > 0, "gainers").when(move < 0, "losers")) \
         .where("type IS NOT NULL")

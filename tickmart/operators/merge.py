@@ -50,7 +50,7 @@ def lambda_merge(batch: DataFrame, realtime: DataFrame, keys: Sequence[str] = ("
 
 def forward_fill(ticks: DataFrame, column: str, key: str = "coin_id", ts: str = "crawl_ts",
                  chunk: str = "hour") -> DataFrame:
-    """Replace nulls by the key's previous value in time order.
+    """Replace nulls by the key's previous value in time order; of rows with one time the nulls come last.
 
     Done per chunk of time, so a key that dominates the table is spread over many tasks: the last
     value of each chunk is an aggregate, the value carried into a chunk comes from that small
@@ -58,10 +58,10 @@ def forward_fill(ticks: DataFrame, column: str, key: str = "coin_id", ts: str =
     """
     marked = ticks.withColumn("_chunk", F.date_trunc(chunk, ts))
     ends = marked.groupBy(key, "_chunk").agg(
-        F.expr(f"max_by({column}, {ts}) FILTER (WHERE {column} IS NOT NULL)").alias("_end"))
+        F.expr(f"max_by({column}, struct({ts}, {column})) FILTER (WHERE {column} IS NOT NULL)").alias("_end"))
     earlier = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select(key, "_chunk", F.last("_end", ignorenulls=True).over(earlier).alias("_carried"))
-    so_far = Window.partitionBy(key, "_chunk").orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
+    so_far = Window.partitionBy(key, "_chunk").orderBy(ts, F.asc_nulls_last(column)).rowsBetween(Window.unboundedPreceding, 0)
     filled = F.coalesce(F.last(column, ignorenulls=True).over(so_far), F.col("_carried"))
     return (marked.join(carried, [key, "_chunk"], "left").withColumn(column, filled)
             .select(*ticks.columns))

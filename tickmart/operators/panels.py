@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickmart.functions.calendar import as_column, days_before
@@ -17,23 +19,25 @@ def rolling_range(df: DataFrame, as_of, days: int = 30, column: str = "date") ->
     return df.where(F.col(column).between(days_before(as_of, days), F.to_date(as_column(as_of))))
 
 
-def metric_filter(daily: DataFrame, cap_above=None, volume_above=None, volatility_above=None,
-                  return_above=None, return_below=None, cap_between=None, symbols=None,
-                  without=None) -> DataFrame:
+def metric_condition(cap_above=None, volume_above=None, volatility_above=None, return_above=None, return_below=None,
+                     cap_between=None, symbols=None, without=None) -> Column:
     """The saved dashboard filters, combined with AND; comparisons are strict, the range is inclusive."""
-    for column, bound in (("market_cap_close", cap_above), ("volume_sum_day", volume_above),
-                          ("volatility_day", volatility_above), ("return_pct_day", return_above)):
-        if bound is not None:
-            daily = daily.where(F.col(column) > bound)
+    terms = [F.col(column) > bound for column, bound in (
+        ("market_cap_close", cap_above), ("volume_sum_day", volume_above), ("volatility_day", volatility_above),
+        ("return_pct_day", return_above)) if bound is not None]
     if return_below is not None:
-        daily = daily.where(F.col("return_pct_day") < return_below)
+        terms.append(F.col("return_pct_day") < return_below)
     if cap_between is not None:
-        daily = daily.where(F.col("market_cap_close").between(*cap_between))
+        terms.append(F.col("market_cap_close").between(*cap_between))
     if symbols:
-        daily = daily.where(F.col("symbol").isin(list(symbols)))
+        terms.append(F.col("symbol").isin(list(symbols)))
     if without:
-        daily = daily.where(~F.col("symbol").isin(list(without)))
-    return daily
+        terms.append(~F.col("symbol").isin(list(without)))
+    return reduce(lambda x, y: x & y, terms, F.lit(True))
+
+
+def metric_filter(daily: DataFrame, **bounds) -> DataFrame:
+    return daily.where(metric_condition(**bounds))
 
 
 def panel_price_trend(daily: DataFrame, symbols, as_of, days: int = 30) -> DataFrame:
@@ -81,10 +85,8 @@ def panel_alert_coins(messages: DataFrame, size: int = 15) -> DataFrame:
     One aggregate over the messages; a symbol then carries its lines, one per alert type.
     """
     per_type = messages.groupBy("symbol", "alert_type").agg(
-        F.count("*").alias("alerts"), F.max_by("current_price", "alert_time").alias("latest_price"),
-        F.max_by("change_1h", "alert_time").alias("change_1h"),
-        F.max_by("change_24h", "alert_time").alias("change_24h"),
-        F.max("alert_time").alias("alert_time"))
+        F.count("*").alias("alerts"), F.max(F.struct("alert_time", "current_price", "change_1h", "change_24h")).alias("r")) \
+        .select("symbol", "alert_type", "alerts", F.col("r.current_price").alias("latest_price"), "r.change_1h", "r.change_24h", "r.alert_time")
     lines = F.struct("alert_type", "alerts", "latest_price", "change_1h", "change_24h", "alert_time")
     newest = (per_type.groupBy("symbol").agg(F.max("alert_time").alias("newest"), F.collect_list(lines).alias("lines"))
               .orderBy(F.desc("newest"), "symbol").limit(size))

@@ -128,12 +128,14 @@ def period_averages(daily: DataFrame, period: Sequence[str]) -> DataFrame:
                       percent_of(F.col("_high") - F.col("_low"), o).alias("volatility"))
 
 
-def rows_of_periods(daily: DataFrame, touched: DataFrame, period: Sequence[str]) -> DataFrame:
-    """All daily rows of the periods that occur in ``touched``.
+def touched_periods(metrics: DataFrame, since, period: Sequence[str], end: str) -> DataFrame:
+    """Weekly or monthly rows of the periods that hold a day from ``since`` on.
 
-    The broadcast side is a list of distinct periods: at most 53 rows per year of history.
+    A period's newest day over all coins decides. It is a window over one period's coins, so the daily rows behind
+    the table are read once.
     """
-    return daily.join(F.broadcast(touched.select(*period).distinct()), list(period), "left_semi")
+    newest = F.max(end).over(Window.partitionBy(*period))
+    return metrics.withColumn("_newest", newest).where(F.col("_newest") >= since).drop("_newest")
 
 
 def date_bounds(df: DataFrame) -> DataFrame:

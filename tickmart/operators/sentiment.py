@@ -31,16 +31,14 @@ def sentiment_1m(ticks: DataFrame) -> DataFrame:
 
 
 def latest_prices_1m(ticks: DataFrame) -> DataFrame:
-    """Last price of every coin in each minute, with the minute's other closing figures."""
-    def at_end(column: str) -> Column:
-        return F.max_by(column, "crawl_ts")
-
-    return ticks.groupBy(F.window("crawl_ts", "1 minute"), *COIN).agg(
-        at_end("current_price").alias("latest_price"),
-        at_end("price_change_percentage_24h").alias("change_24h"),
-        at_end("market_cap_rank").alias("rank"), at_end("total_volume").alias("volume"),
-        F.max("crawl_ts").alias("last_update"),
-    ).drop("window")
+    """Last price of every coin in each minute, with the minute's other closing figures.
+
+    All figures are those of one tick; ticks of one time are ordered by the figures themselves.
+    """
+    last = F.max(F.struct("crawl_ts", "current_price", "price_change_percentage_24h", "market_cap_rank", "total_volume"))
+    return ticks.groupBy(F.window("crawl_ts", "1 minute"), *COIN).agg(last.alias("r")).select(
+        *COIN, F.col("r.current_price").alias("latest_price"), F.col("r.price_change_percentage_24h").alias("change_24h"),
+        F.col("r.market_cap_rank").alias("rank"), F.col("r.total_volume").alias("volume"), F.col("r.crawl_ts").alias("last_update"))
 
 
 def sentiment_daily(daily: DataFrame) -> DataFrame:

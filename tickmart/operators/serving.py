@@ -12,16 +12,16 @@ from tickmart.functions.formats import human_number
 from tickmart.functions.matching import word_distance
 from tickmart.operators.rollup import COIN
 
-HISTORY_MAX = 1000
 SNAPSHOT_MEASURES = ["current_price", "market_cap", "total_volume", "market_cap_rank",
                      "price_change_percentage_24h", "price_change_percentage_7d"]
 
 
 # --- builders of the serving tables -----------------------------------------------------------
 
-def latest_per_coin(clean: DataFrame) -> DataFrame:
-    """Newest tick of every coin. Only fixed-width buffers, so ticks fold in a hash aggregate."""
-    return clean.groupBy(*COIN).agg(F.max("crawl_ts").alias("crawl_ts"),
+def latest_per_coin(clean: DataFrame, *per: str) -> DataFrame:
+    """Newest tick of every coin, or of every coin and ``per``. Only fixed-width buffers, so ticks fold in a hash
+    aggregate."""
+    return clean.groupBy(*COIN, *per).agg(F.max("crawl_ts").alias("crawl_ts"),
                                     *[F.max_by(c, "crawl_ts").alias(c) for c in SNAPSHOT_MEASURES])
 
 
@@ -45,10 +45,14 @@ def history_table(daily: DataFrame) -> DataFrame:
 
 # --- price history and trend ------------------------------------------------------------------
 
-def price_history(history: DataFrame, symbol: str, as_of, days: int = 7) -> DataFrame:
-    """Daily prices of one symbol from ``days`` days before ``as_of``, oldest first."""
-    return (history.where((F.col("symbol") == symbol.upper()) & (F.col("date") >= days_before(as_of, days)))
-            .orderBy("date", "name").limit(HISTORY_MAX))
+def prices_since(history: DataFrame, symbol: str, as_of, days: int) -> DataFrame:
+    return history.where((F.col("symbol") == symbol.upper()) & (F.col("date") >= days_before(as_of, days)))
+
+
+def price_history(history: DataFrame, symbol: str, as_of, days: int = 7, limit: int | None = None) -> DataFrame:
+    """Daily prices of one symbol from ``days`` days before ``as_of``, oldest first; all of them, or the first ``limit``."""
+    found = prices_since(history, symbol, as_of, days).orderBy("date", "name")
+    return found if limit is None else found.limit(limit)
 
 
 def trend_columns(days: int, among: Column | None = None) -> list[Column]:
@@ -86,7 +90,7 @@ def with_trend(df: DataFrame) -> DataFrame:
 
 def price_trend(history: DataFrame, symbol: str, as_of, days: int = 7) -> DataFrame:
     """One row of trend figures; with fewer than two points only the error text is filled."""
-    rows = price_history(history, symbol, as_of, days)
+    rows = prices_since(history, symbol, as_of, days)
     return with_trend(rows.agg(*trend_columns(days)).withColumn("symbol", F.lit(symbol.upper())))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tickmart.functions.calendar import calendar_parts, instant
 from tickmart.operators import alerts, clean, export, market, merge, panels, rollup, sentiment, serving
 from tickmart.schemas import ALERT_DDL
-from tickmart.session import pin_utc, stored
+from tickmart.session import pin_utc
 from tickmart.sources import payload, raw
 from tickmart.sources import tick_tables as tt
 
@@ -47,6 +47,17 @@ class Feed:
     def live(self) -> DataFrame:
         return tt.live_ticks(self.spark, self.folder)
 
+    @cached_property
+    def spoiled(self) -> DataFrame:
+        """The ticks with cells broken in every way that validation knows."""
+        v = F.col("total_volume")
+        return self.ticks.withColumns({
+            "current_price": F.when(v % 13 == 0, F.lit(None)).when(v % 17 == 0, F.lit(-1.0)).when(v % 19 == 0, F.lit(0.0))
+            .otherwise(F.col("current_price")),
+            "market_cap": F.when(v % 23 == 0, F.lit(None)).when(v % 29 == 0, F.lit(0)).otherwise(F.col("market_cap")),
+            "total_volume": F.when(v % 31 == 0, F.lit(None)).when(v % 37 == 0, -v).otherwise(v),
+            "coin_id": F.when(v % 41 != 0, F.col("coin_id")), "symbol": F.when(v % 43 != 0, F.col("symbol"))})
+
     @cached_property
     def clean(self) -> DataFrame:
         return clean.clean_ticks(self.ticks)
@@ -55,11 +66,6 @@ class Feed:
     def daily(self) -> DataFrame:
         return rollup.daily_metrics(self.clean)
 
-    @cached_property
-    def daily_table(self) -> DataFrame:
-        """The daily metrics as a written table, for queries that read them twice."""
-        return stored(self.spark, self.daily, "daily_metrics")
-
     @cached_property
     def weekly(self) -> DataFrame:
         return rollup.weekly_metrics(self.daily)
@@ -140,17 +146,17 @@ def dedup_hourly(f: Feed) -> DataFrame:
 
 @query
 def clean_validate(f: Feed) -> DataFrame:
-    return clean.validate(f.ticks).select(*TICK_COLUMNS)
+    return clean.validate(f.spoiled).select(*TICK_COLUMNS)
 
 
 @query
 def clean_ticks(f: Feed) -> DataFrame:
-    return f.clean.select(*CLEAN_OUT)
+    return clean.clean_ticks(f.spoiled).select(*CLEAN_OUT)
 
 
 @query
 def quality_report(f: Feed) -> DataFrame:
-    return clean.quality_report(f.ticks)
+    return clean.quality_report(f.spoiled)
 
 
 @query
@@ -262,21 +268,21 @@ def monthly_metrics(f: Feed) -> DataFrame:
     return rounded(f.monthly, 6, "avg_volatility_month", "avg_rank_month")
 
 
-def touched_days(f: Feed) -> DataFrame:
-    """Daily rows that arrived in the last three days."""
-    return f.daily_table.where(F.col("date") >= F.date_sub(F.to_date(f.as_of), 3))
+def recent_day(f: Feed) -> Column:
+    """Daily rows from this day on have just arrived."""
+    return F.date_sub(F.to_date(f.as_of), 3)
 
 
 @query
 def affected_weeks(f: Feed) -> DataFrame:
-    days = rollup.rows_of_periods(f.daily_table, touched_days(f), ["year", "week_of_year"])
-    return rounded(rollup.weekly_metrics(days), 6, "avg_volatility_week", "avg_rank_week")
+    weeks = rollup.touched_periods(f.weekly, recent_day(f), ["year", "week_of_year"], "week_end_date")
+    return rounded(weeks, 6, "avg_volatility_week", "avg_rank_week")
 
 
 @query
 def affected_months(f: Feed) -> DataFrame:
-    days = rollup.rows_of_periods(f.daily_table, touched_days(f), ["year", "month"])
-    return rounded(rollup.monthly_metrics(days), 6, "avg_volatility_month", "avg_rank_month")
+    months = rollup.touched_periods(f.monthly, recent_day(f), ["year", "month"], "month_end_date")
+    return rounded(months, 6, "avg_volatility_month", "avg_rank_month")
 
 
 @query
@@ -383,8 +389,19 @@ def alerts_by_severity(f: Feed) -> DataFrame:
     return alerts.alerts_by(f.alert_store, "severity", f.as_of, size=10)
 
 
+@query
+def recent_alerts_all(f: Feed) -> DataFrame:
+    """A list longer than a page: no hidden cap."""
+    return alerts.recent_alerts(f.alert_store, limit=1000)
+
+
 @query
 def alerts_by_day(f: Feed) -> DataFrame:
+    return alerts.alerts_by_day(f.alert_store, f.as_of, days=30)
+
+
+@query
+def alerts_by_day_gaps(f: Feed) -> DataFrame:
     """Rare alerts only, so that days without one occur."""
     rare = f.alert_store.where("alert_type = 'WHALE_ALERT' AND severity = 'HIGH'")
     return alerts.alerts_by_day(rare, f.as_of, days=30)
@@ -471,7 +488,7 @@ def hourly_volume(f: Feed) -> DataFrame:
 
 @query
 def base_correlation(f: Feed) -> DataFrame:
-    return rounded(market.base_correlation(f.daily_table, BASE), 6, "correlation")
+    return rounded(market.base_correlation(f.daily, BASE), 6, "correlation")
 
 
 @query
@@ -490,6 +507,12 @@ def top_movers(f: Feed) -> DataFrame:
     return market.top_movers(f.clean, long_days=20)
 
 
+@query
+def orders_movers(f: Feed) -> DataFrame:
+    """The same over 30 days, on the feed of seven years."""
+    return market.top_movers(tt.order_moves(f.spark, f.folder))
+
+
 @query
 def top_coin_trends(f: Feed) -> DataFrame:
     return rounded(market.top_coin_trends(f.history, f.as_of), 6, "avg_price")
@@ -522,6 +545,14 @@ def price_trend(f: Feed) -> DataFrame:
     return rounded(serving.price_trend(f.history, "c0", f.as_of), 6, "avg_price")
 
 
+@query
+def price_trend_long(f: Feed) -> DataFrame:
+    """A trend over more than a thousand days of the orders feed."""
+    history = serving.history_table(order_days(f))
+    newest = f.table("orders").agg(F.max("o_orderdate")).scalar()
+    return rounded(serving.price_trend(history, "1-urgent", newest, days=4000), 6, "avg_price")
+
+
 @query
 def history_interval(f: Feed) -> DataFrame:
     hourly = serving.history_interval(f.clean, BASE, f.as_of, days=7, interval="hourly")
@@ -571,6 +602,21 @@ def kql_filters(f: Feed) -> DataFrame:
     return kept.select("symbol", "date", "market_cap_close", "volume_sum_day", "volatility_day", "return_pct_day")
 
 
+KQL_CASES = {
+    "cap_above": {"cap_above": 5_000_000}, "volume_above": {"volume_above": 500_000}, "volatility_above": {"volatility_above": 1000},
+    "return_above": {"return_above": 10}, "return_below": {"return_below": -10}, "cap_between": {"cap_between": (1_000_000, 50_000_000)},
+    "symbols": {"symbols": ["C0", "C3"]}, "without": {"without": ["C0", "C1"]},
+}
+
+
+@query
+def kql_filter_cases(f: Feed) -> DataFrame:
+    """Each saved filter by itself, over one pass: a row is listed under every filter that keeps it."""
+    kept = [F.when(panels.metric_condition(**case), F.lit(name)) for name, case in KQL_CASES.items()]
+    return (f.daily.withColumn("filter", F.explode(F.filter(F.array(*kept), lambda k: k.isNotNull())))
+            .select("filter", "symbol", "date", "market_cap_close", "volume_sum_day", "volatility_day", "return_pct_day"))
+
+
 @query
 def kql_alert_filters(f: Feed) -> DataFrame:
     return alerts.select_alerts(f.alert_store, ["PUMP_1H", "DUMP_24H"], ["C1", "C5"])
@@ -581,9 +627,21 @@ def movers_table(f: Feed) -> DataFrame:
     return serving.movers_table(f.daily.where(F.col("date") == F.date_sub(F.to_date(f.as_of), 1)), show="losers")
 
 
+@query
+def movers_gainers(f: Feed) -> DataFrame:
+    return serving.movers_table(f.daily.where(F.col("date") == F.date_sub(F.to_date(f.as_of), 1)), show="gainers")
+
+
 @query
 def summary_cards(f: Feed) -> DataFrame:
-    return serving.summary_cards(f.weekly.where("week_of_year = 3"), "weekly")
+    """Cards of one week, which is a year and a number."""
+    return serving.summary_cards(f.weekly.where("year = 2024 AND week_of_year = 3"), "weekly")
+
+
+@query
+def summary_cards_daily(f: Feed) -> DataFrame:
+    """Cards over all daily rows."""
+    return serving.summary_cards(f.daily, "daily")
 
 
 @query
@@ -613,7 +671,7 @@ def panel_weekly_perf(f: Feed) -> DataFrame:
 
 @query
 def panel_monthly_trend(f: Feed) -> DataFrame:
-    return rounded(panels.panel_monthly_trend(f.monthly, PANEL_SYMBOLS[:3], f.as_of), 6, "avg_close")
+    return rounded(panels.panel_monthly_trend(f.monthly, PANEL_SYMBOLS, f.as_of), 6, "avg_close")
 
 
 @query
@@ -634,7 +692,9 @@ def panel_sentiment_series(f: Feed) -> DataFrame:
 
 @query
 def panel_sentiment_now(f: Feed) -> DataFrame:
-    return rounded(panels.panel_sentiment_now(sentiment.sentiment_1m(f.ticks)), 6, "avg_change_24h")
+    """The filter on the newest minute reaches the scan, so no history is aggregated."""
+    newest = f.live.where(F.col("crawl_ts") >= F.date_trunc("minute", f.as_of).cast("timestamp_ntz"))
+    return rounded(panels.panel_sentiment_now(sentiment.sentiment_1m(newest)), 6, "avg_change_24h")
 
 
 # --- export and merge -------------------------------------------------------------------------

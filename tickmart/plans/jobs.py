@@ -1,23 +1,23 @@
-"""The batch jobs: clean, aggregate, export, retention and checkpoint reset."""
+"""The batch jobs: clean, aggregate, serve, export, retention and reset."""
 
 from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickmart.functions.calendar import days_before
-from tickmart.operators import clean, export, rollup
+from tickmart.operators import alerts, clean, export, rollup, serving
 from tickmart.plans import ranges
 from tickmart.schemas import clean_schema
-from tickmart.sinks.state import load_mark, save_mark
+from tickmart.sinks.state import append_rows, load_mark, read_rows, save_mark
 from tickmart.sinks.stores import TableSink
 from tickmart.sinks.tables import overwrite_partitions
 from tickmart.sources import metric_tables
-from tickmart.sources.partitions import exists, partition_values, read_folders
-from tickmart.sources.raw import raw_ticks
+from tickmart.sources.partitions import exists, partition_values, read_folders, remove_folder, remove_partition
+from tickmart.sources.raw import arriving_ticks, ticks_in_folders
 
 RESET_DATE = dt.date(2025, 10, 1)
 
@@ -40,6 +40,10 @@ class Layout:
     def aggregated(self) -> str:
         return f"{self.root}/aggregated"
 
+    @property
+    def serving(self) -> str:
+        return f"{self.root}/serving"
+
     def metrics(self, table: str) -> str:
         return f"{self.aggregated}/{table}"
 
@@ -58,88 +62,225 @@ def from_micros(micros: int) -> dt.datetime:
 
 # --- cleaning ---------------------------------------------------------------------------------
 
-def clean_job(spark: SparkSession, layout: Layout, now: dt.datetime, lateness: dt.timedelta = dt.timedelta(hours=1),
-              first_run: dt.timedelta = dt.timedelta(days=7)) -> dict | None:
+#: Which hours of event time each landing folder holds; at most one row per folder, hour and run.
+_LEDGER = "dt string, hour timestamp"
+#: Days whose clean ticks changed, by cleaning run.
+_TOUCHED = "run bigint, day date"
+
+
+def _folders(hour: dt.datetime) -> list[str]:
+    return [f"date={hour.date()}", f"hour={hour.hour}"]
+
+
+def _as_text(hours) -> str:
+    return ",".join(h.isoformat() for h in sorted(hours))
+
+
+def _as_hours(text: str | None) -> set[dt.datetime]:
+    return {dt.datetime.fromisoformat(h) for h in (text or "").split(",") if h}
+
+
+def clean_job(spark: SparkSession, layout: Layout, now: dt.datetime | None = None) -> dict | None:
     """Clean what arrived since the last run; ``None`` when there is nothing new.
 
-    Work is done in whole hours: every ``date, hour`` partition the increment touches is rebuilt from
-    all of its raw rows, so an hour that was half full last time ends up complete. The mark is the
-    newest event time seen, and the last ``lateness`` before it is looked at again for stragglers.
+    New means new files: a bounded stream over the landing area remembers the files it has seen, so a tick is
+    picked up however late it comes and in whatever folder. Work is done in whole hours: every ``date, hour``
+    partition that a new file touches is rebuilt from all raw rows that belong to it; a ledger says which folders
+    hold them. Hours that end up without valid ticks are removed. Rows after ``now``, if given, wait for a later
+    run. The mark keeps the newest event time seen. A run that dies is simply repeated.
     """
-    mark, now = load_mark(spark, layout.mark("clean")), utc(now)
-    since = utc(dt.datetime.fromisoformat(mark)) - lateness if mark else now - first_run
-    hour = since.replace(minute=0, second=0, microsecond=0)
-
-    raw = clean.with_event_time(raw_ticks(spark, layout.raw, since=hour.date(), until=now.date()))
-    raw = raw.where((F.col("crawl_ts") >= F.lit(hour)) & (F.col("crawl_ts") <= F.lit(now)))
-    if raw.where(F.col("crawl_ts") > F.lit(since)).isEmpty():
+    if not exists(spark, layout.raw):
         return None
 
-    seen, unique, kept = Observation("raw"), Observation("unique"), Observation("clean")
-    counted = raw.observe(seen, F.count("*").alias("rows"), F.max(F.unix_micros("crawl_ts")).alias("newest"))
-    deduped = clean.dedup_latest(clean.slim(counted)).observe(unique, F.count("*").alias("rows"))
-    result = clean.clean_unique(deduped).observe(
-        kept, F.count("*").alias("rows"), F.collect_set(F.date_trunc("hour", "crawl_ts")).alias("hours"))
-    overwrite_partitions(result, layout.clean, ["date", "hour"])
-
-    save_mark(spark, layout.mark("clean"), from_micros(seen.get["newest"]))
-    # Counters for the log. A map task repeated after an executor loss may be counted twice; the exact
-    # figures are quality_report's.
-    raw_rows, clean_rows = seen.get["rows"], kept.get["rows"]
-    return {"raw": raw_rows, "duplicates": raw_rows - unique.get["rows"],
-            "invalid": unique.get["rows"] - clean_rows, "clean": clean_rows,
-            "quality_pct": round(clean_rows / raw_rows * 100, 2), "partitions": len(kept.get["hours"])}
+    def note(batch: DataFrame, _: int) -> None:
+        """Hours of the new files, noted before the stream forgets the files; both lists are bounded by the calendar."""
+        here = batch.sparkSession
+        rows = clean.with_event_time(batch).where("crawl_ts IS NOT NULL")
+        found = rows.select("dt", F.date_trunc("hour", "crawl_ts").alias("hour")).distinct().collect()
+        append_rows(here, layout.mark("ledger"), [tuple(r) for r in found], _LEDGER)
+        save_mark(here, layout.mark("open_hours"), _as_text(_as_hours(load_mark(here, layout.mark("open_hours"))) | {r.hour for r in found}))
+
+    (arriving_ticks(spark, layout.raw).writeStream.foreachBatch(note).option("checkpointLocation", layout.mark("seen_files"))
+     .trigger(availableNow=True).start().awaitTermination())
+    hours, redo = _as_hours(load_mark(spark, layout.mark("open_hours"))), load_mark(spark, layout.mark("redo"))
+    ledger = read_rows(spark, layout.mark("ledger"), _LEDGER).distinct()
+    if redo:
+        hours |= {r.hour for r in ledger.where(F.col("hour") >= F.lit(redo).cast("timestamp")).select("hour").distinct().collect()}
+    limit = None if now is None else utc(now).astimezone(dt.timezone.utc).replace(tzinfo=None)
+    due = {h for h in hours if limit is None or h <= limit}
+    if not due:
+        return None
+    report, newest = _rebuild_hours(spark, layout, sorted(due), ledger, limit)
+    # An hour that has not ended by the limit may hold rows that still wait.
+    waiting = {h for h in hours if limit is not None and h + dt.timedelta(hours=1) > limit and (h not in due or newest[1])}
+    save_mark(spark, layout.mark("open_hours"), _as_text(waiting))
+    if redo:
+        save_mark(spark, layout.mark("redo"), "")
+    if newest[0] is not None:
+        before = load_mark(spark, layout.mark("clean"))
+        moment = from_micros(newest[0])
+        save_mark(spark, layout.mark("clean"), max(moment, utc(dt.datetime.fromisoformat(before))) if before else moment)
+    return report
+
+
+def _rebuild_hours(spark: SparkSession, layout: Layout, hours: list[dt.datetime], ledger: DataFrame,
+                   limit: dt.datetime | None) -> tuple[dict, tuple]:
+    """Rebuild the clean partitions of the hours; counters, and (newest event time, whether rows wait)."""
+    wanted = spark.createDataFrame([(h,) for h in hours], "hour timestamp")
+    folders = sorted({r.dt for r in ledger.join(wanted, "hour", "left_semi").select("dt").distinct().collect()})
+    raw = clean.with_event_time(ticks_in_folders(spark, layout.raw, folders)).where("crawl_ts IS NOT NULL")
+    raw = raw.withColumn("_hour", F.date_trunc("hour", "crawl_ts")).join(wanted, F.col("_hour") == F.col("hour"), "left_semi").drop("_hour")
+    held = raw if limit is None else raw.where(F.col("crawl_ts") <= F.lit(limit).cast("timestamp"))
+    # Collapsed once, then counted and written.
+    unique = clean.collapsed(held).persist(StorageLevel.DISK_ONLY)
+    try:
+        valid = F.coalesce(clean.is_valid(), F.lit(False))
+        counts = unique.agg(
+            F.sum("copies").alias("raw"), F.count("*").alias("unique"), F.count_if(valid).alias("clean"),
+            F.max(F.unix_micros("crawl_ts")).alias("newest"),
+            F.collect_set(F.when(valid, F.date_trunc("hour", "crawl_ts"))).alias("hours")).first()
+        overwrite_partitions(clean.clean_unique(unique.drop("copies")), layout.clean, ["date", "hour"])
+    finally:
+        unique.unpersist()
+    for hour in set(hours) - set(counts["hours"]):
+        remove_partition(spark, layout.clean, _folders(hour))
+    append_touched(spark, layout, {h.date() for h in hours})
+    raw_rows, clean_rows = counts["raw"] or 0, counts["clean"]
+    waits = limit is not None and not raw.where(F.col("crawl_ts") > F.lit(limit).cast("timestamp")).isEmpty()
+    return {"raw": raw_rows, "duplicates": raw_rows - counts["unique"], "invalid": counts["unique"] - clean_rows, "clean": clean_rows,
+            "quality_pct": round(clean_rows / raw_rows * 100, 2) if raw_rows else None,
+            "partitions": len(counts["hours"])}, (counts["newest"], waits)
+
+
+# --- touched days -----------------------------------------------------------------------------
+
+def append_touched(spark: SparkSession, layout: Layout, days: set[dt.date]) -> None:
+    """Note days for the jobs behind the clean table, each of which keeps its own mark."""
+    last = read_rows(spark, layout.mark("touched"), _TOUCHED).agg(F.max("run")).first()[0]
+    run = 0 if last is None else last + 1
+    append_rows(spark, layout.mark("touched"), [(run, d) for d in sorted(days)], _TOUCHED)
+
+
+def touched_days(spark: SparkSession, layout: Layout, job: str) -> tuple[list[dt.date], int | None]:
+    """Days touched since the job's last run, and the run to mark when they are done."""
+    mark = load_mark(spark, layout.mark(job))
+    rows = read_rows(spark, layout.mark("touched"), _TOUCHED).where(F.col("run") > (int(mark) if mark else -1))
+    found = rows.agg(F.collect_set("day").alias("days"), F.max("run").alias("run")).first()
+    return sorted(found["days"]), found["run"]
 
 
 # --- aggregation ------------------------------------------------------------------------------
 
-def clean_table(spark: SparkSession, layout: Layout, start: dt.date, end: dt.date) -> DataFrame:
-    """Clean ticks of the days from ``start`` to ``end``."""
-    days = [f"date={d}" for d in partition_values(spark, layout.clean, "date") if str(start) <= d <= str(end)]
-    return read_folders(spark, layout.clean, days, clean_schema(), "parquet")
+def clean_days(spark: SparkSession, layout: Layout, days) -> DataFrame:
+    """Clean ticks of the given days."""
+    there = set(partition_values(spark, layout.clean, "date"))
+    return read_folders(spark, layout.clean, [f"date={d}" for d in sorted(days) if str(d) in there], clean_schema(), "parquet")
 
 
 def metric_table(spark: SparkSession, layout: Layout, table: str) -> DataFrame | None:
     return metric_tables.from_files(spark, layout.aggregated, table) if exists(spark, layout.metrics(table)) else None
 
 
-def date_range(spark: SparkSession, layout: Layout) -> tuple[dt.date, dt.date] | None:
-    """Days to process: the mark against the first and last day of the clean table's folders."""
-    mark = load_mark(spark, layout.mark("aggregate"))
-    days = [dt.date.fromisoformat(d) for d in partition_values(spark, layout.clean, "date")]
-    return ranges.plan_range(dt.date.fromisoformat(mark) if mark else None,
-                             min(days, default=None), max(days, default=None))
+def _rewrite(spark: SparkSession, df: DataFrame, path: str, keys: list[str], emptied: list[tuple]) -> None:
+    """Replace the partitions in ``df`` and remove those that have nothing left."""
+    overwrite_partitions(df, path, keys)
+    for values in emptied:
+        remove_partition(spark, path, [f"{k}={v}" for k, v in zip(keys, values)])
 
 
 def aggregate_job(spark: SparkSession, layout: Layout) -> tuple[dt.date, dt.date] | None:
-    """Bring the daily, weekly and monthly tables up to date; ``None`` when there is nothing new.
+    """Rebuild the daily, weekly and monthly rows of the days touched since the last run; ``None`` without any.
 
-    Weeks and months are rebuilt from all of their daily rows, read back from the daily table.
+    Weeks and months are rebuilt from all of their daily rows, read back from the daily table. Returns the first and
+    last day.
     """
-    span = date_range(spark, layout)
-    if span is None:
+    touched, run = touched_days(spark, layout, "aggregate")
+    if not touched:
         return None
-    start, end = span
-    daily = rollup.daily_metrics(clean_table(spark, layout, start, end)).withColumn("day", F.dayofmonth("date"))
-    overwrite_partitions(daily, layout.metrics("daily_metrics"), ["year", "month", "day"])
+    existing = {dt.date.fromisoformat(d) for d in partition_values(spark, layout.clean, "date")}
+    daily = rollup.daily_metrics(clean_days(spark, layout, touched)).withColumn("day", F.dayofmonth("date"))
+    _rewrite(spark, daily, layout.metrics("daily_metrics"), ["year", "month", "day"],
+             [(d.year, d.month, d.day) for d in touched if d not in existing])
 
-    weeks, months = ranges.touched_weeks(start, end), ranges.touched_months(start, end)
+    weeks, months = sorted({ranges.week_key(d) for d in touched}), sorted({(d.year, d.month) for d in touched})
     days = metric_table(spark, layout, "daily_metrics")
-    of_weeks = days.where(ranges.in_pairs("year", "month", ranges.months_of_weeks(weeks))
-                          & ranges.in_pairs("year", "week_of_year", weeks))
-    overwrite_partitions(rollup.weekly_metrics(of_weeks), layout.metrics("weekly_metrics"), ["year", "week_of_year"])
-    of_months = days.where(ranges.in_pairs("year", "month", months))
-    overwrite_partitions(rollup.monthly_metrics(of_months), layout.metrics("monthly_metrics"), ["year", "month"])
+    if days is not None:
+        of_weeks = days.where(ranges.in_pairs("year", "month", ranges.months_of_weeks(weeks))
+                              & ranges.in_pairs("year", "week_of_year", weeks))
+        _rewrite(spark, rollup.weekly_metrics(of_weeks), layout.metrics("weekly_metrics"), ["year", "week_of_year"],
+                 sorted(set(weeks) - {ranges.week_key(d) for d in existing}))
+        of_months = days.where(ranges.in_pairs("year", "month", months))
+        _rewrite(spark, rollup.monthly_metrics(of_months), layout.metrics("monthly_metrics"), ["year", "month"],
+                 sorted(set(months) - {(d.year, d.month) for d in existing}))
+    save_mark(spark, layout.mark("aggregate"), run)
+    return touched[0], touched[-1]
+
+
+# --- serving tables ---------------------------------------------------------------------------
+
+def _current(spark: SparkSession, layout: Layout, table: str) -> DataFrame | None:
+    """The table's current version; versions are whole, so a reader never sees half of one."""
+    version = load_mark(spark, layout.mark(f"version_{table}"))
+    return None if version is None else spark.read.parquet(f"{layout.serving}/{table}/version={version}")
+
+
+def _replace(spark: SparkSession, layout: Layout, table: str, df: DataFrame) -> None:
+    """Write a new version and make it known; the one before the last is removed."""
+    before = load_mark(spark, layout.mark(f"version_{table}"))
+    version = int(before) + 1 if before else 0
+    df.write.mode("overwrite").parquet(f"{layout.serving}/{table}/version={version}")
+    save_mark(spark, layout.mark(f"version_{table}"), version)
+    remove_folder(spark, f"{layout.serving}/{table}/version={version - 2}")
 
-    save_mark(spark, layout.mark("aggregate"), end)
-    return span
+
+def serving_table(spark: SparkSession, layout: Layout, table: str) -> DataFrame | None:
+    """A stored serving table: ``latest``, ``volume_baseline``, ``history`` or ``alerts``."""
+    if table in ("latest", "volume_baseline"):
+        return _current(spark, layout, table)
+    path = f"{layout.serving}/{table}"
+    return spark.read.parquet(path).drop("day") if partition_values(spark, path, "day") else None
+
+
+def serve_job(spark: SparkSession, layout: Layout) -> tuple[dt.date, dt.date] | None:
+    """Bring the serving tables up to the days touched since the last run; ``None`` without any.
+
+    ``history`` and ``alerts`` are replaced by day. A day's volumes are the baseline of the seven days after it, so
+    whale alerts of these are done again too. ``latest`` folds one row per coin and day, and ``volume_baseline`` reads
+    the last days only; both are small and written whole. Run it after the aggregation.
+    """
+    touched, run = touched_days(spark, layout, "serve")
+    daily = metric_table(spark, layout, "daily_metrics")
+    if not touched or daily is None:
+        return None
+    existing = {dt.date.fromisoformat(d) for d in partition_values(spark, layout.clean, "date")}
+    days = sorted({d + n * ranges.DAY for d in touched for n in range(8)} & (existing | set(touched)))
+    of = lambda chosen: ranges.in_pairs("year", "month", sorted({(d.year, d.month) for d in chosen})) & F.col("date").isin(chosen)
+
+    history = serving.history_table(daily.where(of(touched))).withColumn("day", F.col("date"))
+    _rewrite(spark, history, f"{layout.serving}/history", ["day"], [(d,) for d in touched if d not in existing])
+
+    around = sorted({d - n * ranges.DAY for d in days for n in range(8)})
+    whales = alerts.whale_alert_records(daily.where(of(around))).where(F.to_date("detected_at").isin(days))
+    ticks = clean_days(spark, layout, days).withColumn("crawl_ts", F.col("crawl_ts").cast("timestamp_ntz"))
+    records = alerts.price_alert_records(ticks).unionByName(whales).withColumn("day", F.to_date("detected_at"))
+    had = set(partition_values(spark, f"{layout.serving}/alerts", "day"))
+    _rewrite(spark, records, f"{layout.serving}/alerts", ["day"], [(d,) for d in days if str(d) in had and d not in existing])
+
+    last_ticks = serving.latest_per_coin(clean_days(spark, layout, touched), "date")
+    _rewrite(spark, last_ticks, f"{layout.serving}/last_ticks", ["date"], [(d,) for d in touched if d not in existing])
+    if existing:
+        _replace(spark, layout, "latest", serving.latest_snapshot(spark.read.parquet(f"{layout.serving}/last_ticks")))
+        recent = [max(existing) - n * ranges.DAY for n in range(31)]
+        _replace(spark, layout, "volume_baseline", alerts.usual_volume(daily.where(of(recent))))
+    save_mark(spark, layout.mark("serve"), run)
+    return touched[0], touched[-1]
 
 
 # --- export, retention, reset -----------------------------------------------------------------
 
 def export_job(spark: SparkSession, layout: Layout, relational: TableSink | None = None,
                document: TableSink | None = None) -> None:
-    """Send the three metric tables to the serving stores."""
+    """Send the metric tables, and to the document store also the stored serving tables."""
     for table in export.DATE_COLUMNS:
         metrics = metric_table(spark, layout, table)
         if metrics is None:
@@ -148,20 +289,29 @@ def export_job(spark: SparkSession, layout: Layout, relational: TableSink | None
             relational(export.relational_rows(metrics, table), table)
         if document:
             document(export.documents(metrics, table), table)
+    for table, key in export.SERVING_KEYS.items():
+        rows = serving_table(spark, layout, table) if document else None
+        if rows is not None:
+            document(export.serving_documents(rows, key), table)
 
 
-def expired_dates(table: DataFrame, as_of, days: int) -> DataFrame:
-    """Partition dates older than the retention; at most one row per calendar day."""
-    return table.select("date").distinct().where(F.col("date") < days_before(as_of, days))
+def expired_dates(spark: SparkSession, table: str, as_of: dt.date, days: int = 30) -> list[dt.date]:
+    """Dates of a ``date``-partitioned table that are older than the retention, read off the folder names."""
+    names = (dt.date.fromisoformat(d) for d in partition_values(spark, table, "date"))
+    return [d for d in names if d < as_of - days * ranges.DAY]
 
 
-def retain_job(spark: SparkSession, source: str, target: str, as_of, days: int = 30) -> None:
-    """Copy the part of the clean table that is young enough to a new place."""
-    kept = spark.read.schema(clean_schema()).parquet(source).where(F.col("date") >= days_before(as_of, days))
-    overwrite_partitions(kept, target, ["date", "hour"])
+def retain_job(spark: SparkSession, table: str, as_of: dt.date, days: int = 30, dry_run: bool = True) -> list[dt.date]:
+    """Remove the folders of expired dates below ``table``, or only list them."""
+    gone = expired_dates(spark, table, as_of, days)
+    if not dry_run:
+        for date in gone:
+            remove_folder(spark, f"{table}/date={date}")
+    return gone
 
 
 def reset_job(spark: SparkSession, layout: Layout, date: dt.date = RESET_DATE) -> None:
-    """Make both jobs start over from the given day."""
-    save_mark(spark, layout.mark("clean"), utc(dt.datetime.combine(date, dt.time())))
-    save_mark(spark, layout.mark("aggregate"), date)
+    """Make the jobs do everything from the given day again: cleaning by its ledger, the others by the clean table."""
+    save_mark(spark, layout.mark("redo"), date)
+    days = {dt.date.fromisoformat(d) for d in partition_values(spark, layout.clean, "date")}
+    append_touched(spark, layout, {d for d in days if d >= date})

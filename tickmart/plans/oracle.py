@@ -20,6 +20,25 @@ VIEWS = {
                CAST((event_id * 53) % 551 - 250 AS DOUBLE) / 10 AS price_change_percentage_7d
         FROM ev""",
     "ticks": "SELECT * REPLACE (CAST(date_trunc('hour', crawl_ts) AS TIMESTAMP) AS crawl_ts) FROM live",
+    "spoiled": """
+        SELECT * REPLACE (
+            CASE WHEN total_volume % 13 = 0 THEN NULL WHEN total_volume % 17 = 0 THEN -1.0 WHEN total_volume % 19 = 0 THEN 0.0
+                 ELSE current_price END AS current_price,
+            CASE WHEN total_volume % 23 = 0 THEN NULL WHEN total_volume % 29 = 0 THEN 0 ELSE market_cap END AS market_cap,
+            CASE WHEN total_volume % 31 = 0 THEN NULL WHEN total_volume % 37 = 0 THEN -total_volume ELSE total_volume END AS total_volume,
+            CASE WHEN total_volume % 41 <> 0 THEN coin_id END AS coin_id, CASE WHEN total_volume % 43 <> 0 THEN symbol END AS symbol)
+        FROM ticks""",
+    "uniq_spoiled": """
+        SELECT * EXCLUDE (rn) FROM (
+            SELECT *, row_number() OVER (PARTITION BY coin_id, crawl_ts ORDER BY last_updated DESC) AS rn
+            FROM spoiled) WHERE rn = 1""",
+    "clean_spoiled": """
+        SELECT *, CAST(crawl_ts AS DATE) AS date, CAST(hour(crawl_ts) AS INT) AS hour,
+               CAST(dayofweek(crawl_ts) + 1 AS INT) AS day_of_week, CAST(week(crawl_ts) AS INT) AS week_of_year,
+               CAST(month(crawl_ts) AS INT) AS month, CAST(year(crawl_ts) AS INT) AS year
+        FROM uniq_spoiled
+        WHERE current_price > 0 AND market_cap > 0 AND total_volume >= 0
+          AND coin_id IS NOT NULL AND symbol IS NOT NULL""",
     "uniq": """
         SELECT * EXCLUDE (rn) FROM (
             SELECT *, row_number() OVER (PARTITION BY coin_id, crawl_ts ORDER BY last_updated DESC) AS rn
@@ -124,6 +143,9 @@ VIEWS.update({
                        WHEN price_change_percent IS NOT NULL THEN 'MINOR' END AS severity
         FROM alert_rows""",
     "recent_store": "SELECT * FROM alert_store WHERE CAST(detected_at AS DATE) >= (SELECT d FROM clock) - 7",
+    "all_days": """
+        SELECT CAST(detected_at AS DATE) AS date, count(*) AS n FROM alert_store
+        WHERE CAST(detected_at AS DATE) >= (SELECT d FROM clock) - 30 GROUP BY ALL""",
     "rare_days": """
         SELECT CAST(detected_at AS DATE) AS date, count(*) AS n FROM alert_store
         WHERE alert_type = 'WHALE_ALERT' AND severity = 'HIGH'
@@ -153,7 +175,6 @@ def mood(source: str, bucket: str, name: str, change: str, average: str) -> str:
 
 MINUTE = "CAST(date_trunc('minute', crawl_ts) AS TIMESTAMP)"
 VIEWS["mood_live"] = mood("live", MINUTE, "window_start", "price_change_percentage_24h", "avg_change_24h")
-VIEWS["mood_ticks"] = mood("ticks", MINUTE, "window_start", "price_change_percentage_24h", "avg_change_24h")
 
 
 def trend_sql(source: str) -> str:
@@ -168,6 +189,44 @@ def trend_sql(source: str) -> str:
                      min(price_usd) AS lo, max(price_usd) AS hi FROM {source} GROUP BY symbol)"""
 
 
+def movers_sql(newest: str, closes: str, days: int) -> str:
+    return f"""
+        SELECT coin_id, symbol, price, volume, timeframe, type, price_change_pct, CAST(rn AS INT) AS position FROM (
+            SELECT *, row_number() OVER (PARTITION BY timeframe, type ORDER BY abs(price_change_pct) DESC, coin_id) AS rn
+            FROM (SELECT *, CASE WHEN price_change_pct > 0 THEN 'gainers' WHEN price_change_pct < 0 THEN 'losers' END AS type
+                  FROM (SELECT coin_id, symbol, price, volume, '24h' AS timeframe, c24 AS price_change_pct FROM {newest}
+                        UNION ALL SELECT coin_id, symbol, price, volume, '7d', c7 FROM {newest}
+                        UNION ALL SELECT n.coin_id, n.symbol, n.price, n.volume, '{days}d',
+                                         (a.close_price - b.close_price) / b.close_price * 100
+                                  FROM {newest} n JOIN {closes} a ON a.coin_id = n.coin_id AND a.date = n.d
+                                  JOIN {closes} b ON b.coin_id = n.coin_id AND b.date = n.d - {days}))
+            WHERE type IS NOT NULL) WHERE rn <= 10"""
+
+
+def cards_sql(source: str, s: str) -> str:
+    return f"""
+        SELECT g.symbol AS top_gainer, g.return_pct_{s} AS top_gainer_change, l.symbol AS top_loser,
+               l.return_pct_{s} AS top_loser_change, v.symbol AS most_volatile, v.volatility_{s} AS most_volatile_value,
+               q.symbol AS highest_volume, q.volume_sum_{s} AS highest_volume_value,
+               CASE WHEN q.volume_sum_{s} >= 1e9 THEN printf('%.2fB', q.volume_sum_{s} / 1e9)
+                    WHEN q.volume_sum_{s} >= 1e6 THEN printf('%.2fM', q.volume_sum_{s} / 1e6)
+                    WHEN q.volume_sum_{s} >= 1e3 THEN printf('%.2fK', q.volume_sum_{s} / 1e3)
+                    ELSE printf('%.2f', CAST(q.volume_sum_{s} AS DOUBLE)) END AS highest_volume_label,
+               (SELECT count(*) FROM {source}) AS coins
+        FROM (SELECT * FROM {source} ORDER BY return_pct_{s} DESC, coin_id LIMIT 1) g,
+             (SELECT * FROM {source} ORDER BY return_pct_{s}, coin_id LIMIT 1) l,
+             (SELECT * FROM {source} ORDER BY volatility_{s} DESC, coin_id LIMIT 1) v,
+             (SELECT * FROM {source} ORDER BY volume_sum_{s} DESC, coin_id LIMIT 1) q"""
+
+
+KQL_WHERE = {
+    "cap_above": "market_cap_close > 5000000", "volume_above": "volume_sum_day > 500000", "volatility_above": "volatility_day > 1000",
+    "return_above": "return_pct_day > 10", "return_below": "return_pct_day < -10",
+    "cap_between": "market_cap_close BETWEEN 1000000 AND 50000000", "symbols": "symbol IN ('C0', 'C3')",
+    "without": "symbol NOT IN ('C0', 'C1')",
+}
+
+
 def money(value: str) -> str:
     return f"""CASE WHEN {value} >= 1e12 THEN printf('$%.2fT', {value} / 1e12)
         WHEN {value} >= 1e9 THEN printf('$%.2fB', {value} / 1e9) WHEN {value} >= 1e6 THEN printf('$%.2fM', {value} / 1e6)
@@ -204,13 +263,14 @@ SQL = {
         SELECT coin_id, max(crawl_ts) AS crawl_ts, arg_max(current_price, crawl_ts) AS current_price,
                arg_max(total_volume, crawl_ts) AS total_volume
         FROM live GROUP BY coin_id, date_trunc('hour', crawl_ts)""",
-    "clean_validate": f"SELECT {TICK_COLS} FROM ticks WHERE current_price > 0 AND market_cap > 0 AND total_volume >= 0",
-    "clean_ticks": "SELECT * FROM clean",
+    "clean_validate": f"""SELECT {TICK_COLS} FROM spoiled WHERE current_price > 0 AND market_cap > 0
+        AND total_volume >= 0 AND coin_id IS NOT NULL AND symbol IS NOT NULL""",
+    "clean_ticks": "SELECT * FROM clean_spoiled",
     "quality_report": """
         SELECT r.n AS raw_records, r.n - u.n AS duplicates_removed, u.n - c.n AS invalid_removed,
                c.n AS clean_records, round(c.n / r.n * 100, 2) AS quality_pct, c.p AS partitions
-        FROM (SELECT count(*) AS n FROM ticks) r, (SELECT count(*) AS n FROM uniq) u,
-             (SELECT count(*) AS n, count(DISTINCT (date, hour)) AS p FROM clean) c""",
+        FROM (SELECT count(*) AS n FROM spoiled) r, (SELECT count(*) AS n FROM uniq_spoiled) u,
+             (SELECT count(*) AS n, count(DISTINCT (date, hour)) AS p FROM clean_spoiled) c""",
     "incremental_window": f"""
         SELECT {TICK_COLS} FROM live, clock
         WHERE crawl_ts > t - INTERVAL 8 DAYS AND crawl_ts <= t - INTERVAL 1 DAY""",
@@ -308,10 +368,11 @@ SQL = {
     "alerts_by_severity": """
         SELECT severity, count(*) AS alerts FROM recent_store WHERE severity IS NOT NULL
         GROUP BY 1 ORDER BY alerts DESC, 1 LIMIT 10""",
-    "alerts_by_day": """
+    **{name: f"""
         SELECT CAST(a.date AS DATE) AS date, coalesce(r.n, 0) AS alerts
-        FROM (SELECT unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS date FROM rare_days) a
-        LEFT JOIN rare_days r ON CAST(a.date AS DATE) = r.date""",
+        FROM (SELECT unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS date FROM {days}) a
+        LEFT JOIN {days} r ON CAST(a.date AS DATE) = r.date""" for name, days in (("alerts_by_day", "all_days"), ("alerts_by_day_gaps", "rare_days"))},
+    "recent_alerts_all": "SELECT * FROM alert_store ORDER BY detected_at DESC, symbol, alert_type, name LIMIT 1000",
     "volume_spikes": """
         SELECT * FROM alert_store WHERE alert_type IN ('whale_alert', 'WHALE_ALERT') OR alert_type LIKE '%volume%'
         ORDER BY detected_at DESC, symbol LIMIT 100""",
@@ -373,17 +434,8 @@ SQL = {
     "rank_changes": """
         SELECT coin_id, symbol, date, rank_close, p AS previous_rank, p - rank_close AS rank_move
         FROM (SELECT *, lag(rank_close) OVER (PARTITION BY coin_id ORDER BY date) AS p FROM daily)""",
-    "top_movers": """
-        SELECT coin_id, symbol, price, volume, timeframe, type, price_change_pct, CAST(rn AS INT) AS position FROM (
-            SELECT *, row_number() OVER (PARTITION BY timeframe, type ORDER BY abs(price_change_pct) DESC, coin_id) AS rn
-            FROM (SELECT *, CASE WHEN price_change_pct > 0 THEN 'gainers' WHEN price_change_pct < 0 THEN 'losers' END AS type
-                  FROM (SELECT coin_id, symbol, price, volume, '24h' AS timeframe, c24 AS price_change_pct FROM newest
-                        UNION ALL SELECT coin_id, symbol, price, volume, '7d', c7 FROM newest
-                        UNION ALL SELECT n.coin_id, n.symbol, n.price, n.volume, '30d',
-                                         (a.close_price - b.close_price) / b.close_price * 100
-                                  FROM newest n JOIN daily a ON a.coin_id = n.coin_id AND a.date = n.d
-                                  JOIN daily b ON b.coin_id = n.coin_id AND b.date = n.d - 20))
-            WHERE type IS NOT NULL) WHERE rn <= 10""",
+    "top_movers": movers_sql("newest", "daily", 20),
+    "orders_movers": movers_sql("newest_orders", "orders_closes", 30),
     "top_coin_trends": trend_sql("""(
         SELECT h.* FROM history h, clock WHERE h.date >= d - 7
           AND h.symbol IN (SELECT symbol FROM latest ORDER BY market_cap DESC, symbol LIMIT 10))"""),
@@ -401,6 +453,8 @@ SQL = {
     # serving
     "price_history": "SELECT h.* FROM history h, clock WHERE symbol = 'C0' AND date >= d - 7 ORDER BY date LIMIT 1000",
     "price_trend": trend_sql("(SELECT h.* FROM history h, clock WHERE symbol = 'C0' AND date >= d - 7)"),
+    "price_trend_long": trend_sql("""(SELECT symbol, date, close_price AS price_usd FROM orders_daily
+        WHERE symbol = '1-URGENT' AND date >= (SELECT CAST(max(o_orderdate) AS DATE) FROM orders) - 4000)""").replace("7 AS period_days", "4000 AS period_days"),
     "history_interval": " UNION ALL ".join(f"""
         SELECT coin_id, CAST(date_trunc('{unit}', crawl_ts) AS TIMESTAMP) AS timestamp,
                arg_max(current_price, crawl_ts) AS price, arg_max(total_volume, crawl_ts) AS volume,
@@ -431,6 +485,9 @@ SQL = {
         SELECT symbol, date, market_cap_close, volume_sum_day, volatility_day, return_pct_day FROM daily
         WHERE volume_sum_day > 200000 AND volatility_day > 15 AND market_cap_close BETWEEN 1000000 AND 500000000
           AND symbol IN ('C0', 'C1', 'C3', 'C4', 'C5', 'C6')""",
+    "kql_filter_cases": " UNION ALL ".join(f"""
+        SELECT '{name}' AS filter, symbol, date, market_cap_close, volume_sum_day, volatility_day, return_pct_day FROM daily WHERE {where}
+        """ for name, where in KQL_WHERE.items()),
     "kql_alert_filters": """
         SELECT * FROM alert_store WHERE alert_type IN ('PUMP_1H', 'DUMP_24H') AND symbol IN ('C1', 'C5')""",
     "movers_table": """
@@ -438,19 +495,13 @@ SQL = {
                name, open_price, close_price, high_price, low_price, return_pct_day, volatility_day, volume_sum_day,
                'negative' AS direction
         FROM daily, clock WHERE date = d - 1 AND return_pct_day < 0 ORDER BY abs(return_pct_day) DESC, coin_id LIMIT 20""",
-    "summary_cards": """
-        SELECT g.symbol AS top_gainer, g.return_pct_week AS top_gainer_change, l.symbol AS top_loser,
-               l.return_pct_week AS top_loser_change, v.symbol AS most_volatile, v.volatility_week AS most_volatile_value,
-               q.symbol AS highest_volume, q.volume_sum_week AS highest_volume_value,
-               CASE WHEN q.volume_sum_week >= 1e9 THEN printf('%.2fB', q.volume_sum_week / 1e9)
-                    WHEN q.volume_sum_week >= 1e6 THEN printf('%.2fM', q.volume_sum_week / 1e6)
-                    WHEN q.volume_sum_week >= 1e3 THEN printf('%.2fK', q.volume_sum_week / 1e3)
-                    ELSE printf('%.2f', CAST(q.volume_sum_week AS DOUBLE)) END AS highest_volume_label,
-               (SELECT count(*) FROM week3) AS coins
-        FROM (SELECT * FROM week3 ORDER BY return_pct_week DESC, coin_id LIMIT 1) g,
-             (SELECT * FROM week3 ORDER BY return_pct_week, coin_id LIMIT 1) l,
-             (SELECT * FROM week3 ORDER BY volatility_week DESC, coin_id LIMIT 1) v,
-             (SELECT * FROM week3 ORDER BY volume_sum_week DESC, coin_id LIMIT 1) q""",
+    "movers_gainers": """
+        SELECT CAST(row_number() OVER (ORDER BY return_pct_day DESC, coin_id) AS INT) AS position, coin_id, symbol,
+               name, open_price, close_price, high_price, low_price, return_pct_day, volatility_day, volume_sum_day,
+               'positive' AS direction
+        FROM daily, clock WHERE date = d - 1 AND return_pct_day > 0 ORDER BY return_pct_day DESC, coin_id LIMIT 20""",
+    "summary_cards": cards_sql("week3", "week"),
+    "summary_cards_daily": cards_sql("daily", "day"),
     "chart_top_volume": """
         SELECT coin_id, symbol, name, return_pct_month, volume_sum_month FROM monthly
         ORDER BY volume_sum_month DESC, coin_id LIMIT 10""",
@@ -470,7 +521,7 @@ SQL = {
     "panel_monthly_trend": """
         SELECT CAST(date_trunc('month', month_start_date) AS DATE) AS month_start, symbol,
                round(avg(close_price_month), 6) AS avg_close
-        FROM monthly, clock WHERE month_start_date BETWEEN d - 365 AND d AND symbol IN ('C0', 'C1', 'C2') GROUP BY ALL""",
+        FROM monthly, clock WHERE month_start_date BETWEEN d - 365 AND d AND symbol IN ('C0', 'C1', 'C2', 'C3', 'C4') GROUP BY ALL""",
     "panel_alert_types": """
         SELECT alert_type, count(*) AS alerts FROM alerted GROUP BY 1 ORDER BY alerts DESC, 1 LIMIT 10""",
     "panel_alert_coins": """
@@ -492,7 +543,7 @@ SQL = {
                CASE WHEN bullish_pct < 30 THEN 'Strong Bearish' WHEN bullish_pct < 45 THEN 'Bearish'
                     WHEN bullish_pct < 55 THEN 'Neutral' WHEN bullish_pct < 70 THEN 'Bullish' ELSE 'Strong Bullish' END AS gauge,
                CASE WHEN bullish_pct < 40 THEN 'Red' WHEN bullish_pct <= 60 THEN 'Yellow' ELSE 'Green' END AS light
-        FROM mood_ticks ORDER BY window_start DESC LIMIT 1""",
+        FROM mood_live ORDER BY window_start DESC LIMIT 1""",
     # export and merge
     "export_daily": f"""
         SELECT strftime(date, {ISO}) AS "@timestamp", strftime(date, {ISO}) AS date,
@@ -535,7 +586,17 @@ VIEWS["newest"] = """
     SELECT coin_id, symbol, max(crawl_ts) AS ts, CAST(max(crawl_ts) AS DATE) AS d, arg_max(current_price, crawl_ts) AS price,
            arg_max(total_volume, crawl_ts) AS volume, arg_max(price_change_percentage_24h, crawl_ts) AS c24,
            arg_max(price_change_percentage_7d, crawl_ts) AS c7 FROM clean GROUP BY coin_id, symbol"""
-VIEWS["week3"] = "SELECT * FROM weekly WHERE week_of_year = 3"
+VIEWS["week3"] = "SELECT * FROM weekly WHERE year = 2024 AND week_of_year = 3"
+VIEWS["order_moves"] = """
+    SELECT o_orderpriority AS coin_id, o_orderpriority AS symbol, CAST(o_orderdate AS DATE) AS date,
+           o_orderdate + to_microseconds(o_orderkey) AS crawl_ts, o_totalprice AS current_price, o_custkey AS total_volume,
+           CAST((o_orderkey * 37) % 401 - 200 AS DOUBLE) / 10 AS price_change_percentage_24h,
+           CAST((o_orderkey * 53) % 551 - 250 AS DOUBLE) / 10 AS price_change_percentage_7d FROM orders"""
+VIEWS["orders_closes"] = "SELECT coin_id, date, arg_max(current_price, crawl_ts) AS close_price FROM order_moves GROUP BY ALL"
+VIEWS["newest_orders"] = """
+    SELECT coin_id, symbol, max(crawl_ts) AS ts, CAST(max(crawl_ts) AS DATE) AS d, arg_max(current_price, crawl_ts) AS price,
+           arg_max(total_volume, crawl_ts) AS volume, arg_max(price_change_percentage_24h, crawl_ts) AS c24,
+           arg_max(price_change_percentage_7d, crawl_ts) AS c7 FROM order_moves GROUP BY coin_id, symbol"""
 
 # Columns of a statement that only serve another column of it.
 HELPERS = {"weekly_avg": "o, c", "monthly_avg": "o, c"}

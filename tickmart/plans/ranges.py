@@ -12,16 +12,6 @@ from pyspark.sql import functions as F
 DAY = dt.timedelta(days=1)
 
 
-def plan_range(last: dt.date | None, lo: dt.date | None, hi: dt.date | None) -> tuple[dt.date, dt.date] | None:
-    """Days to aggregate: everything at first, later from the last processed day (again) to the
-    newest one; nothing when there is no data or none as new as the last processed day."""
-    if hi is None:
-        return None
-    if last is None:
-        return lo, hi
-    return (last, hi) if hi >= last else None
-
-
 def days_of(start: dt.date, end: dt.date) -> Iterable[dt.date]:
     return (start + i * DAY for i in range((end - start).days + 1))
 
@@ -31,14 +21,6 @@ def week_key(day: dt.date) -> tuple[int, int]:
     return day.year, day.isocalendar().week
 
 
-def touched_weeks(start: dt.date, end: dt.date) -> list[tuple[int, int]]:
-    return sorted({week_key(d) for d in days_of(start, end)})
-
-
-def touched_months(start: dt.date, end: dt.date) -> list[tuple[int, int]]:
-    return sorted({(d.year, d.month) for d in days_of(start, end)})
-
-
 def months_of_weeks(weeks: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Calendar months that hold any day of the given weeks."""
     wanted = set(weeks)

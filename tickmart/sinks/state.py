@@ -37,3 +37,14 @@ def save_mark(spark: SparkSession, path: str, value) -> None:
     seq = row.seq + 1 if row else 0
     text = value.isoformat() if hasattr(value, "isoformat") else str(value)
     spark.createDataFrame([(seq, text)], _DDL).coalesce(1).write.mode("append").json(path)
+
+
+def read_rows(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """Rows appended to a small state table; none where it does not exist yet."""
+    found = read_or_none(spark, path, spark.read.schema(ddl).json)
+    return spark.createDataFrame([], ddl) if found is None else found
+
+
+def append_rows(spark: SparkSession, path: str, rows: list[tuple], ddl: str) -> None:
+    if rows:
+        spark.createDataFrame(rows, ddl).coalesce(1).write.mode("append").json(path)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -9,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickmart.operators.merge import newest_by_id
-from tickmart.sinks.state import load_mark, save_mark
-from tickmart.sources.partitions import exists, partition_values
+from tickmart.sinks.state import append_rows, load_mark, read_rows, save_mark
+from tickmart.sources.partitions import exists, partition_values, remove_folder
 
 TableSink = Callable[[DataFrame, str], None]
 
@@ -33,66 +36,109 @@ def parquet_sink(root: str) -> TableSink:
     return write
 
 
+BUCKETS = 64
+
+
 class DocumentStore:
-    """Documents keyed by id, kept as a log of upsert batches.
+    """Documents keyed by id: a base table in buckets of the id, and a log of upsert batches after it.
 
-    A batch is one folder: writing it again replaces just that folder, so a batch repeated after a
-    failure changes nothing, and no batch has to rewrite data of earlier ones. Readers take the row
-    of the highest batch per id. ``compact`` folds old batches into one base table.
+    A batch is one folder, named after its writer and the writer's number: writing it again replaces just that
+    folder, and writers never meet. Every row carries the time at which its batch was first written; readers take the
+    latest row per id. ``compact`` folds the finished batches into the buckets they touch; folded batches are skipped
+    by readers and removed by the next compaction, so that a read under way is not disturbed.
     """
 
-    def __init__(self, spark: SparkSession, root: str, key: str = "doc_id"):
-        self.spark, self.root, self.key = spark, root.rstrip("/"), key
+    def __init__(self, spark: SparkSession, root: str, key: str = "doc_id", buckets: int = BUCKETS):
+        self.spark, self.root, self.key, self.buckets = spark, root.rstrip("/"), key, buckets
+
+    # batches ----------------------------------------------------------------------------------
+
+    def upsert(self, df: DataFrame, batch_id: int, writer: str = "direct") -> dict[str, int]:
+        """Write one batch; counts of accepted and rejected rows. Rows without an id go to ``rejected``.
+
+        The rebalance step keeps small batches from leaving many small files.
+        """
+        name = f"{writer}-{int(batch_id)}"
+        path = f"{self.root}/log/batch={name}"
+        again = self.spark.read.parquet(path).agg(F.min("_order")).first()[0] if self._finished(name) else None
+        order = again if again is not None else time.time_ns() // 1000
+        usable = F.length(F.col(self.key).cast("string")) > 0
+        marked = df.withColumn("_order", F.lit(order).cast("bigint"))
+        marked.where(usable).hint("rebalance").write.mode("overwrite").parquet(path)
+        bad = df.where(~F.coalesce(usable, F.lit(False)))
+        counts = {"accepted": self.spark.read.parquet(path).count(), "rejected": bad.count()}
+        if counts["rejected"]:
+            bad.write.mode("overwrite").parquet(f"{self.root}/rejected/batch={name}")
+        append_rows(self.spark, f"{self.root}/counts", [(name, counts["accepted"], counts["rejected"])], _COUNTS)
+        return counts
+
+    def counts(self) -> DataFrame:
+        """Accepted and rejected rows of every written batch; a repeated batch has a row per attempt."""
+        return read_rows(self.spark, f"{self.root}/counts", _COUNTS)
+
+    def _finished(self, name: str) -> bool:
+        """One that is still being written has no success marker yet."""
+        return exists(self.spark, f"{self.root}/log/batch={name}/_SUCCESS")
+
+    # state ------------------------------------------------------------------------------------
+
+    def _manifest(self) -> dict:
+        """Which version of each bucket counts, and the batches that are folded but not removed yet."""
+        mark = load_mark(self.spark, f"{self.root}/state")
+        return json.loads(mark) if mark else {"version": 0, "buckets": {}, "folded": []}
 
-    def upsert(self, df: DataFrame, batch_id: int) -> None:
-        """Write one batch. The rebalance step keeps small batches from leaving many small files."""
-        df.hint("rebalance").write.mode("overwrite").parquet(f"{self.root}/log/batch_id={int(batch_id)}")
+    def _open_batches(self, manifest: dict) -> list[str]:
+        folded = set(manifest["folded"])
+        return [b for b in partition_values(self.spark, f"{self.root}/log", "batch") if b not in folded and self._finished(b)]
 
-    def _folded(self) -> int:
-        """Last batch that the base table holds, -1 without a base."""
-        mark = load_mark(self.spark, f"{self.root}/state")
-        return -1 if mark is None else int(mark)
-
-    def _batches(self) -> list[int]:
-        """Finished batches; one that is still being written has no success marker yet."""
-        log = f"{self.root}/log"
-        return sorted(int(b) for b in partition_values(self.spark, log, "batch_id")
-                      if exists(self.spark, f"{log}/batch_id={b}/_SUCCESS"))
-
-    def _rows(self) -> DataFrame | None:
-        """Base rows and the batches after them; batches already folded in are not opened."""
-        folded, parts = self._folded(), []
-        if folded >= 0:
-            base = self.spark.read.parquet(f"{self.root}/base/upto={folded}")
-            parts.append(base.withColumn("batch_id", F.lit(folded)))
-        newer = [f"{self.root}/log/batch_id={b}" for b in self._batches() if b > folded]
-        if newer:
-            parts.append(self.spark.read.option("basePath", f"{self.root}/log").parquet(*newer))
-        return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts) if parts else None
+    def _base(self, manifest: dict, buckets: list[int] | None = None) -> DataFrame | None:
+        paths = [f"{self.root}/base/version={v}/bucket={b}" for b, v in manifest["buckets"].items() if buckets is None or int(b) in buckets]
+        return self.spark.read.option("mergeSchema", True).parquet(*paths) if paths else None
+
+    def _log(self, batches: list[str]) -> DataFrame | None:
+        paths = [f"{self.root}/log/batch={b}" for b in batches]
+        return self.spark.read.option("mergeSchema", True).parquet(*paths) if paths else None
+
+    def _newest(self, *parts: DataFrame | None) -> DataFrame | None:
+        there = [p for p in parts if p is not None]
+        if not there:
+            return None
+        return newest_by_id(reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), there), self.key, "_order")
 
     def read(self) -> DataFrame:
-        rows = self._rows()
+        manifest = self._manifest()
+        rows = self._newest(self._base(manifest), self._log(self._open_batches(manifest)))
         if rows is None:
             raise ValueError(f"nothing was written to {self.root} yet")
-        return newest_by_id(rows, self.key, "batch_id").drop("batch_id")
-
-    def next_batch(self) -> int:
-        """Number for a batch written outside a stream."""
-        return max([self._folded(), *self._batches()]) + 1
-
-    def compact(self) -> None:
-        """Write the current state as the new base, then make it known."""
-        upto = self.next_batch() - 1
-        if upto < 0:
-            return
-        self.read().write.mode("overwrite").parquet(f"{self.root}/base/upto={upto}")
-        save_mark(self.spark, f"{self.root}/state", upto)
+        return rows.drop("_order")
+
+    def compact(self, at_least: int = 1) -> int:
+        """Fold the finished batches if there are ``at_least`` so many; returns how many were folded."""
+        manifest = self._manifest()
+        batches = self._open_batches(manifest)
+        if not batches or len(batches) < at_least:
+            return 0
+        bucket = F.pmod(F.xxhash64(F.col(self.key).cast("string")), F.lit(self.buckets)).cast("int")
+        new = self._log(batches)
+        touched = [r[0] for r in new.select(bucket).distinct().collect()]  # at most one per bucket
+        version = manifest["version"] + 1
+        merged = self._newest(self._base(manifest, touched), new).withColumn("bucket", bucket)
+        merged.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/base/version={version}")
+        current = {**manifest["buckets"], **{str(b): version for b in touched}}
+        save_mark(self.spark, f"{self.root}/state", json.dumps({"version": version, "buckets": current, "folded": batches}))
+        for name in manifest["folded"]:
+            remove_folder(self.spark, f"{self.root}/log/batch={name}")
+        for old in {v for v in manifest["buckets"].values()} - set(current.values()) - {manifest["version"]}:
+            remove_folder(self.spark, f"{self.root}/base/version={old}")
+        return len(batches)
+
+
+_COUNTS = "batch string, accepted bigint, rejected bigint"
 
 
 def document_sink(spark: SparkSession, root: str) -> TableSink:
-    """Upsert into one document store per table."""
+    """Upsert into one document store per table; every call is a writer of its own."""
     def write(df: DataFrame, table: str) -> None:
-        store = DocumentStore(spark, f"{root.rstrip('/')}/{table}")
-        store.upsert(df, store.next_batch())
+        DocumentStore(spark, f"{root.rstrip('/')}/{table}").upsert(df, 0, uuid.uuid4().hex)
 
     return write

@@ -31,6 +31,22 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
 
 
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Remove one folder with its files; false where there is none."""
+    fs, folder = _file_system(spark, path)
+    return fs.delete(folder, True)
+
+
+def remove_partition(spark: SparkSession, root: str, parts: list[str]) -> None:
+    """Remove a partition folder below ``root``, and the folders above it that have no partition left."""
+    remove_folder(spark, "/".join([root, *parts]))
+    for depth in range(len(parts) - 1, 0, -1):
+        above = "/".join([root, *parts[:depth]])
+        if partition_values(spark, above, parts[depth].split("=", 1)[0]):
+            break
+        remove_folder(spark, above)
+
+
 def read_folders(spark: SparkSession, path: str, folders: Iterable[str], schema: T.StructType, fmt: str) -> DataFrame:
     """Read some folders below ``path``; their partition columns are kept. No folders give an empty frame."""
     paths = [f"{path}/{f}" for f in folders]

@@ -26,6 +26,26 @@ def raw_ticks(spark: SparkSession, path: str, since: dt.date | None = None,
     return read_folders(spark, path, days, raw_schema(), "json").drop("dt", "hr")
 
 
+def ticks_in_folders(spark: SparkSession, path: str, days: list[str]) -> DataFrame:
+    """Raw ticks of the named ``dt`` folders; names without a folder are skipped."""
+    there = set(partition_values(spark, path, "dt"))
+    return read_folders(spark, path, [f"dt={d}" for d in days if d in there], raw_schema(), "json").drop("dt", "hr")
+
+
+def arriving_ticks(spark: SparkSession, path: str) -> DataFrame:
+    """Raw ticks as a stream of files with ``dt``, the folder that a row was landed in.
+
+    The stream's checkpoint remembers the files; one that arrives late is new however old its folder is.
+    """
+    rows = spark.readStream.schema(raw_schema()).option("recursiveFileLookup", "true").json(path)
+    return rows.select("*", F.regexp_extract(F.col("_metadata.file_path"), "/dt=([^/]+)/", 1).alias("dt"))
+
+
+def write_snapshot(ticks: DataFrame, path: str) -> None:
+    """One snapshot as JSON lines, the form that ``raw_ticks`` and ``snapshot_file`` read."""
+    ticks.write.mode("overwrite").json(path)
+
+
 def snapshot_file(spark: SparkSession, path: str) -> DataFrame:
     """Pretty-printed JSON arrays of ticks, one array per file; each file is read by one task."""
     return spark.read.schema(raw_schema()).option("multiLine", True).json(path)

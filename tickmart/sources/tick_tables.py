@@ -42,3 +42,12 @@ def order_ticks(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderkey"), F.col("o_totalprice").alias("current_price"),
         F.col("o_custkey").alias("total_volume"), F.col("o_custkey").alias("market_cap"),
         F.lit(1).alias("market_cap_rank"))
+
+
+def order_moves(spark: SparkSession, folder: str) -> DataFrame:
+    """``orders`` as clean ticks with changes; the order key makes their times distinct."""
+    return table(spark, folder, "orders").selectExpr(
+        "o_orderpriority AS coin_id", "o_orderpriority AS symbol", "to_date(o_orderdate) AS date",
+        "timestampadd(MICROSECOND, o_orderkey, o_orderdate) AS crawl_ts", "o_totalprice AS current_price",
+        "o_custkey AS total_volume", "CAST((o_orderkey * 37) % 401 - 200 AS DOUBLE) / 10 AS price_change_percentage_24h",
+        "CAST((o_orderkey * 53) % 551 - 250 AS DOUBLE) / 10 AS price_change_percentage_7d")

@@ -17,19 +17,28 @@ OUTPUTS = {
     "sentiment": (lambda m: stages.sentiment_stream(stages.parse_ticks(m)), "update", "window_start"),
     "latest_prices": (lambda m: stages.latest_price_stream(stages.parse_ticks(m)), "update", "coin_id"),
     "monitor": (lambda m: stages.monitor_rows(stages.parse_ticks(m)), "append", None),
+    "whale": (None, "append", "coin_id"),  # needs the stored baseline, see run_outputs
 }
+LANDING_TRIGGER = {"processingTime": "1 minute"}
 
 
 def run_outputs(messages: DataFrame, sinks: dict[str, StreamSink], checkpoint_root: str,
-                trigger: dict | None = None, as_json: tuple[str, ...] = ()) -> list[StreamingQuery]:
+                trigger: dict | None = None, as_json: tuple[str, ...] = (),
+                baseline: DataFrame | None = None) -> list[StreamingQuery]:
     """Start one query per given sink, each with its own checkpoint.
 
-    Outputs named in ``as_json`` are sent as key and JSON value, the form a topic needs.
+    Outputs named in ``as_json`` are sent as key and JSON value, the form a topic needs. ``whale`` compares with
+    ``baseline``, the stored usual volume per coin.
     """
     queries = []
     for name, sink in sinks.items():
         transform, mode, key = OUTPUTS[name]
-        df = transform(messages)
+        if name == "whale":
+            if baseline is None:
+                raise ValueError("the whale output needs the stored volume baseline")
+            df = stages.whale_stream(stages.parse_ticks(messages), baseline)
+        else:
+            df = transform(messages)
         if name in as_json and key:
             df = as_keyed_json(df, key)
         queries.append(sink(df, name, mode, f"{checkpoint_root.rstrip('/')}/{name}", trigger or {}))
@@ -46,8 +55,9 @@ def serve_messages(alert_messages: DataFrame, sentiment_messages: DataFrame, sin
 
 
 def land_raw(messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Write messages as lines below ``dt=/hr=`` folders. ``availableNow`` gives the bounded form."""
-    return start(stages.landing_rows(messages), "land_raw", "append", checkpoint, trigger or {},
+    """Write messages as lines below ``dt=/hr=`` folders, by default once a minute, which bounds the number of files.
+    ``availableNow`` gives the bounded form."""
+    return start(stages.landing_rows(messages), "land_raw", "append", checkpoint, trigger or LANDING_TRIGGER,
                  lambda w: w.format("text").partitionBy("dt", "hr").option("path", path))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickmart.operators.merge import realtime_doc_id
+from tickmart.sinks.state import load_mark, save_mark
 from tickmart.sinks.stores import DocumentStore
 
 # Default topics.
@@ -19,10 +21,11 @@ StreamSink = Callable[[DataFrame, str, str, str, dict], StreamingQuery]
 
 
 def kafka_feed(spark: SparkSession, servers: str, topic: str = RAW_TOPIC, starting: str = "latest",
-               max_offsets: int | None = None) -> DataFrame:
-    """Messages of a topic. The connector package must be on the session's class path."""
+               max_offsets: int | None = None, fail_on_data_loss: bool = True) -> DataFrame:
+    """Messages of a topic. The connector package must be on the session's class path. Offsets that expired unread
+    end the query unless ``fail_on_data_loss`` is off."""
     reader = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-              .option("subscribe", topic).option("startingOffsets", starting).option("failOnDataLoss", "false"))
+              .option("subscribe", topic).option("startingOffsets", starting).option("failOnDataLoss", str(fail_on_data_loss).lower()))
     if max_offsets:
         reader = reader.option("maxOffsetsPerTrigger", max_offsets)
     return reader.load()
@@ -60,13 +63,6 @@ def console_sink(rows: int = 20) -> StreamSink:
     return run
 
 
-def memory_sink() -> StreamSink:
-    def run(df, name, mode, checkpoint, trigger):
-        return start(df, name, mode, checkpoint, trigger, lambda w: w.format("memory"))
-
-    return run
-
-
 def json_sink(path: str) -> StreamSink:
     """Append-only files with exactly-once delivery."""
     def run(df, name, mode, checkpoint, trigger):
@@ -75,15 +71,31 @@ def json_sink(path: str) -> StreamSink:
     return run
 
 
-def upsert_sink(root: str) -> StreamSink:
-    """Upsert every micro-batch into a document store; the batch number makes repeats harmless."""
+def writer_of(spark: SparkSession, checkpoint: str) -> str:
+    """A name for the query behind a checkpoint, kept inside it: a fresh checkpoint is another writer."""
+    mark = f"{checkpoint.rstrip('/')}/writer"
+    name = load_mark(spark, mark)
+    if name is None:
+        name = uuid.uuid4().hex
+        save_mark(spark, mark, name)
+    return name
+
+
+def upsert_sink(root: str, compact_every: int = 100) -> StreamSink:
+    """Upsert every micro-batch into a document store; a repeated batch replaces itself.
+
+    Once ``compact_every`` batches have gathered they are folded, so readers never open more than about that many.
+    """
     def run(df, name, mode, checkpoint, trigger):
+        writer = writer_of(df.sparkSession, checkpoint)
+
         def write(batch: DataFrame, batch_id: int) -> None:
             store = DocumentStore(batch.sparkSession, root)
             have = set(batch.columns)
             ids = batch.withColumns({c: F.lit(None).cast("string")
                                      for c in ("coin_id", "window_start", "alert_time", "crawl_time") if c not in have})
-            store.upsert(ids.withColumn("doc_id", realtime_doc_id()).select("doc_id", *batch.columns), batch_id)
+            store.upsert(ids.withColumn("doc_id", realtime_doc_id()).select("doc_id", *batch.columns), batch_id, writer)
+            store.compact(compact_every)
 
         return start(df, name, mode, checkpoint, trigger, lambda w: w.foreachBatch(write))
 

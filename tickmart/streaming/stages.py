@@ -80,12 +80,6 @@ def whale_stream(ticks: DataFrame, baseline: DataFrame, ratio: float = WHALE_RAT
                     F.col("total_volume").alias("current_volume"), "normal_volume", "volume_spike_pct", "crawl_ts"))
 
 
-def volume_baseline(daily: DataFrame, days: int = 7) -> DataFrame:
-    """Usual volume per coin as of its newest day, that day excluded."""
-    per_day = alerts.with_volume_baseline(daily, days)
-    return per_day.groupBy("coin_id").agg(F.max_by("normal_volume", "date").alias("normal_volume"))
-
-
 def read_alerts(messages: DataFrame) -> DataFrame:
     parsed = messages.select(F.from_json(F.col("value").cast("string"), ALERT_DDL).alias("m")).select("m.*")
     return valid_alerts(parsed)
