@@ -29,10 +29,6 @@ def pack_texts(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(rows, f"doc_id {kind}, packed binary")
 
 
-def unpack(packed: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(packed)
-
-
 def unpack_batches(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[tuple]:
     """The first ``columns`` columns as lists and the unpacked texts, at most about a piece at a time."""
     spread = zstandard.ZstdDecompressor()
