@@ -120,7 +120,7 @@ def test_history_range_includes_the_first_day(spark):
 
 def test_reports(spark, small):
     feed = Feed(spark, small)
-    daily = feed.daily_table
+    daily = feed.daily
     newest = daily.agg(F.max("date")).first()[0]
     report = serving.daily_report(daily).collect()
     assert {r.date for r in report} == {newest}
@@ -136,13 +136,13 @@ def test_reports(spark, small):
 
 
 def test_newest_report_with_more_rows_than_the_limit(spark, small):
-    daily = Feed(spark, small).daily_table
+    daily = Feed(spark, small).daily
     top = serving.daily_report(daily, limit=2).collect()
     assert [r.coin_id for r in top] == [r.coin_id for r in serving.daily_report(daily).collect()[:2]]
 
 
 def test_performance_equals_the_joined_tables(spark, small):
-    daily = Feed(spark, small).daily_table
+    daily = Feed(spark, small).daily
     weekly, monthly = rollup.weekly_metrics(daily), rollup.monthly_metrics(daily)
     newest = daily.groupBy("coin_id").agg(F.max("date").alias("date"))
     want = (daily.join(newest, ["coin_id", "date"]).join(weekly, ["coin_id", "year", "week_of_year"])
@@ -220,7 +220,7 @@ def test_upsert_is_idempotent(spark):
 
 
 def test_week_ids(spark, small):
-    weekly = rollup.weekly_metrics(Feed(spark, small).daily_table)
+    weekly = rollup.weekly_metrics(Feed(spark, small).daily)
     ids = {r.doc_id for r in export.documents(weekly, "weekly_metrics").collect()}
     legacy = {r.doc_id for r in export.documents(weekly, "weekly_metrics", legacy_week_id=True).collect()}
     assert "coin-0_2024_1" in ids and "coin-0_1" in legacy
@@ -237,7 +237,7 @@ def test_payload_with_missing_and_odd_fields(spark):
 
 
 def test_heatmap_pivot(spark, small):
-    daily = Feed(spark, small).daily_table
+    daily = Feed(spark, small).daily
     days = [D(2024, 1, 2), D(2024, 1, 3)]
     wide = market.price_heatmap(daily, days)
     assert wide.columns == ["symbol", "2024-01-02", "2024-01-03"]
@@ -247,7 +247,7 @@ def test_heatmap_pivot(spark, small):
 
 
 def test_filters(spark, small):
-    daily = Feed(spark, small).daily_table
+    daily = Feed(spark, small).daily
     assert panels.metric_filter(daily).count() == daily.count()
     up, down = panels.metric_filter(daily, return_above=0), panels.metric_filter(daily, return_below=0)
     flat = daily.where("return_pct_day = 0").count()

@@ -135,13 +135,31 @@ def top_movers(clean: DataFrame, limit: int = 10, long_days: int = 30) -> DataFr
         F.stack(F.lit(3), F.lit(SHORT_TIMEFRAMES[0]), "price_change_percentage_24h",
                 F.lit(SHORT_TIMEFRAMES[1]), "price_change_percentage_7d",
                 F.lit(f"{long_days}d"), "change_long").alias("timeframe", "price_change_pct"))
+    return _ranked_moves(per_frame, limit)
+
+
+def _ranked_moves(moves: DataFrame, limit: int) -> DataFrame:
     move = F.col("price_change_pct")
-    listed = per_frame.withColumn("type", F.when(move > 0, "gainers").when(move < 0, "losers")) \
+    listed = moves.withColumn("type", F.when(move > 0, "gainers").when(move < 0, "losers")) \
         .where("type IS NOT NULL")
     order = Window.partitionBy("timeframe", "type").orderBy(F.desc(F.abs(move)), "coin_id", "symbol")
     return listed.withColumn("position", F.row_number().over(order)).where(F.col("position") <= limit)
 
 
+def movers_of(latest: DataFrame, daily: DataFrame, limit: int = 10, long_days: int = 30) -> DataFrame:
+    """Gainers and losers from the stored tables: the day's change as the snapshot has it, the long one from the closes
+    of the daily table. A symbol stands for its coin."""
+    day = latest.select(F.col("symbol").alias("coin_id"), "symbol", F.col("price_usd").alias("price"), F.col("volume_24h").alias("volume"),
+                        F.lit(SHORT_TIMEFRAMES[0]).alias("timeframe"), F.col("percent_change_24h").alias("price_change_pct"))
+    changes = daily.select("coin_id", "symbol", "name", "date", "close_price", "volume_sum_day").withColumn(
+        "change", change_over_days("close_price", long_days, ["symbol", "name"]))
+    newest = changes.groupBy("symbol").agg(F.max(F.struct("date", "coin_id", "close_price", "volume_sum_day", "change")).alias("r"))
+    long_ = newest.select(F.col("symbol").alias("coin_id"), "symbol", F.col("r.close_price").alias("price"),
+                          F.col("r.volume_sum_day").alias("volume"), F.lit(f"{long_days}d").alias("timeframe"),
+                          F.col("r.change").alias("price_change_pct"))
+    return _ranked_moves(day.unionByName(long_), limit)
+
+
 def top_coin_trends(history: DataFrame, as_of, days: int = 7, top: int = 10) -> DataFrame:
     """Price trend of the coins that are largest by their newest capitalisation, in one aggregate."""
     recent = F.col("date") >= days_before(as_of, days)
