@@ -8,7 +8,7 @@ score is that of its most toxic window.
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,7 @@ GROUP, GROUPS, GROUP_VECTORS = 5, 1 << 17, 4096
 #: Training rows fall into so many parts; evidence on a row comes from the other parts.
 PARTS = 4
 #: At most so many labelled rows, of texts up to so many characters, are used for training.
-SAMPLE_ROWS, SAMPLE_CHARS = 3000, 40_000
+SAMPLE_ROWS, SAMPLE_CHARS = 4000, 20_000
 #: Words in fewer training documents have no embedding of their own.
 LEAST_DOCUMENTS = 3
 FOLDS = 5
@@ -187,16 +187,33 @@ def _evidence(toxic_docs: np.ndarray, docs: np.ndarray, rate: float) -> np.ndarr
     return np.where(docs >= LEAST_DOCUMENTS - 1, np.log1p(np.maximum(z, 0)) / 2, 0).astype(np.float32)
 
 
-def _counts(item: np.ndarray, owner: np.ndarray, toxic: np.ndarray, part: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Documents with an item, all and toxic ones: totals first, then without each part."""
-    pairs = np.unique(owner * np.int64(n) + item)
-    item, owner = pairs % n, pairs // n
-    docs = np.bincount(part[owner] * n + item, minlength=PARTS * n).reshape(PARTS, n)
-    found = np.bincount(part[owner] * n + item, weights=toxic[owner], minlength=PARTS * n).reshape(PARTS, n)
+def _counts(blocks: Iterable[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, part: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Documents with an item, all and toxic ones: totals first, then without each part.
+
+    Blocks are (item, document) pairs; no document is in two blocks.
+    """
+    docs, found = np.zeros(PARTS * n, np.int64), np.zeros(PARTS * n)
+    for item, owner in blocks:
+        pairs = np.unique(owner * np.int64(n) + item)
+        item, owner = pairs % n, pairs // n
+        at = part[owner] * np.int64(n) + item
+        docs += np.bincount(at, minlength=PARTS * n)
+        found += np.bincount(at, weights=toxic[owner], minlength=PARTS * n)
+    docs, found = docs.reshape(PARTS, n), found.reshape(PARTS, n)
     return (np.concatenate([docs.sum(axis=0)[None], docs.sum(axis=0) - docs]),
             np.concatenate([found.sum(axis=0)[None], found.sum(axis=0) - found]))
 
 
+def _group_blocks(word: np.ndarray, owner: np.ndarray, groups: np.ndarray, heads: np.ndarray, size: np.ndarray
+                  ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Letter groups of (word, document) pairs, some hundred documents at a time; documents ascend."""
+    for first in range(0, int(owner[-1]) + 1 if len(owner) else 0, 256):
+        a, b = np.searchsorted(owner, [first, first + 256])
+        w = word[a:b]
+        place = np.arange(int(size[w].sum())) - np.repeat(np.cumsum(size[w]) - size[w], size[w])
+        yield groups[np.repeat(heads[w], size[w]) + place], np.repeat(owner[a:b], size[w])
+
+
 def train(texts: pa.Array, toxic: np.ndarray, seed: int = 8, steps: int = 480, batch: int = 128, rounds: int = 4) -> dict:
     """Fit the network to whole texts and their labels.
 
@@ -217,7 +234,7 @@ def train(texts: pa.Array, toxic: np.ndarray, seed: int = 8, steps: int = 480, b
     row = np.repeat(np.arange(len(texts)), np.diff(first))
     part = rng.permutation(len(texts)) % PARTS
     n = len(distinct)
-    docs, found = _counts(inverse, row, toxic, part, n)
+    docs, found = _counts([(inverse, row)], toxic, part, n)
     own = docs[0] >= LEAST_DOCUMENTS
     ids = np.where(own, np.cumsum(own), 0)
     evidence = np.where(own, _evidence(found, docs, rate), 0)
@@ -225,8 +242,7 @@ def train(texts: pa.Array, toxic: np.ndarray, seed: int = 8, steps: int = 480, b
     size = np.diff(np.append(heads, len(groups)))
     pairs = np.unique(row * np.int64(n) + inverse)
     word, owner = pairs % n, pairs // n
-    spread = np.repeat(heads[word], size[word]) + np.arange(int(size[word].sum())) - np.repeat(np.cumsum(size[word]) - size[word], size[word])
-    group_docs, group_found = _counts(groups[spread], np.repeat(owner, size[word]), toxic, part, GROUPS)
+    group_docs, group_found = _counts(_group_blocks(word, owner, groups, heads, size), toxic, part, GROUPS)
     group_table = _evidence(group_found, group_docs, rate)
     group_evidence = np.stack([np.maximum.reduceat(table[groups], heads) for table in group_table])
     w = new_weights(int(own.sum()), seed)
