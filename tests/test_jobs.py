@@ -11,7 +11,7 @@ from tickmart.plans import jobs
 from tickmart.sinks.state import load_mark, save_mark
 from tickmart.sinks.stores import DocumentStore, document_sink, parquet_sink
 from tickmart.sources import metric_tables
-from tickmart.sources.raw import raw_ticks, snapshot_file
+from tickmart.sources.raw import raw_ticks, snapshot_file, write_snapshot
 
 UTC = dt.timezone.utc
 
@@ -226,6 +226,8 @@ def test_snapshot_file(spark, tmp_path):
                                                     tick("b", "2024-01-01T00:00:00", 2)], indent=2))
     df = snapshot_file(spark, str(tmp_path / "snap.json"))
     assert rows(clean.coerce_measures(df), "coin_id", "current_price") == [("a", 1.5), ("b", 2.0)]
+    write_snapshot(df, str(tmp_path / "lines"))
+    assert rows(spark.read.schema(df.schema).json(str(tmp_path / "lines")), "coin_id") == [("a",), ("b",)]
 
 
 def test_export_to_both_stores(spark, layout, tmp_path):

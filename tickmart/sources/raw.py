@@ -42,7 +42,7 @@ def arriving_ticks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_snapshot(ticks: DataFrame, path: str) -> None:
-    """One snapshot as JSON lines, the form that ``raw_ticks`` and ``snapshot_file`` read."""
+    """One snapshot as JSON lines, the form of the landing folders; ``snapshot_file`` reads arrays of other writers."""
     ticks.write.mode("overwrite").json(path)
 
 
