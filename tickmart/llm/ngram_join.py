@@ -286,7 +286,7 @@ def one_of_each_group(docs: DataFrame, **settings) -> DataFrame:
     """The documents with one of each near-duplicate group, the one with the smallest doc_id.
 
     All columns stay. Of rows that share the chosen doc_id one stays, the one with the smallest text. Rows without
-    doc_id stay unless a numbered document has the same shingles.
+    doc_id stay. The other columns must have an order.
     """
     judged = near_duplicates(docs, **settings).select("doc_id", "class_id")
     keep = judged.where("doc_id = class_id").select("doc_id").distinct()
