@@ -32,12 +32,15 @@ def ticks_in_folders(spark: SparkSession, path: str, days: list[str]) -> DataFra
     return read_folders(spark, path, [f"dt={d}" for d in days if d in there], raw_schema(), "json").drop("dt", "hr")
 
 
-def arriving_ticks(spark: SparkSession, path: str) -> DataFrame:
+def arriving_ticks(spark: SparkSession, path: str, max_age: str = "365d") -> DataFrame:
     """Raw ticks as a stream of files with ``dt``, the folder that a row was landed in.
 
-    The stream's checkpoint remembers the files; one that arrives late is new however old its folder is.
+    The stream's checkpoint remembers the files; one that arrives late is new however old its folder is. Only a file
+    whose own time of writing lies more than ``max_age`` behind the newest file's is passed over, which bounds what
+    has to be remembered.
     """
-    rows = spark.readStream.schema(raw_schema()).option("recursiveFileLookup", "true").json(path)
+    rows = (spark.readStream.schema(raw_schema()).option("recursiveFileLookup", "true").option("maxFileAge", max_age)
+            .json(path))
     return rows.select("*", F.regexp_extract(F.col("_metadata.file_path"), "/dt=([^/]+)/", 1).alias("dt"))
 
 
