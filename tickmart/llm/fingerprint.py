@@ -109,15 +109,16 @@ def _compare(pairs: list[tuple], width: int, scale: int) -> pa.RecordBatch:
     """Output rows of (doc_id, text, next text) triples."""
     texts = [p[1].decode() for p in pairs]
     edited = [t[:len(t) - len(t) // 2] + p[2].decode()[:len(t) // 2] for t, p in zip(texts, pairs)]
-    own = text_sketches(pa.array([p[1] for p in pairs] + [pairs[-1][2]], pa.large_binary()), width, scale)
-    after = [own[i + 1] if i + 1 < len(pairs) and pairs[i][2] is pairs[i + 1][1] else None for i in range(len(pairs))]
-    after = [s if s is not None else text_sketches(pa.array([p[2]], pa.large_binary()), width, scale)[0] for s, p in zip(after[:-1], pairs)] + [own[-1]]
+    sketched = lambda parts: text_sketches(pa.array(parts, pa.large_binary()), width, scale)
+    own = sketched([p[1] for p in pairs])
+    # Mostly the next text is the next pair's own.
+    after = [own[i + 1] if i + 1 < len(pairs) and pairs[i + 1][1] is p[2] else sketched([p[2]])[0] for i, p in enumerate(pairs)]
     changed_bytes = [e.encode() for e in edited]
-    changed = text_sketches(pa.array(changed_bytes, pa.large_binary()), width, scale)
+    changed = sketched(changed_bytes)
     return pa.RecordBatch.from_arrays([
         pa.array([p[0] for p in pairs], pa.int64()), pa.array([len(t) for t in texts], pa.int64()),
         pa.array([hashlib.sha256(e).hexdigest() for e in changed_bytes]),
-        pa.array([s.text(scale) for s in own[:-1]]), pa.array([s.text(scale) for s in changed]),
+        pa.array([s.text(scale) for s in own]), pa.array([s.text(scale) for s in changed]),
         pa.array([a.like(b) for a, b in zip(own, changed)], pa.float64()), pa.array([a.like(b) for a, b in zip(own, after)], pa.float64()),
         pa.array([b.inside(a) for a, b in zip(own, changed)], pa.float64())], names=[n for n, _ in _OUT])
 
