@@ -229,10 +229,15 @@ def seed_order(text: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     return seeds[order]
 
 
+def narrow(n: int) -> type:
+    """The smaller integer type that holds places up to ``n``."""
+    return np.int32 if n < 2**31 - 1 else np.int64
+
+
 def ascending(text: np.ndarray) -> np.ndarray:
     """Whether each suffix is smaller than the next one; the padding's end counts as descending."""
     step = np.sign(text[1:].astype(np.int16) - text[:-1].astype(np.int16))
-    place = np.where(step != 0, np.arange(len(step)), len(step))
+    place = np.where(step != 0, np.arange(len(step), dtype=narrow(len(text))), narrow(len(text))(len(step)))
     nearest = np.minimum.accumulate(place[::-1])[::-1]
     return np.append(np.append(step, -1)[nearest] > 0, False)
 
@@ -245,7 +250,9 @@ def suffix_runs(text: np.ndarray, limit: int = QUEUE_BYTES) -> Iterator[tuple[np
     n = len(text) - PAD
     up = ascending(text)
     length = np.diff(np.append(np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]])), len(text)))
-    run = np.minimum(np.repeat(np.cumsum(length), length) - np.arange(len(text)), DEPTH).astype(np.uint8)
+    kind = narrow(len(text))
+    run = np.repeat(np.cumsum(length).astype(kind), length) - np.arange(len(text), dtype=kind)
+    run = np.minimum(run, DEPTH).astype(np.uint8)
     seeds = np.flatnonzero(up[1:] & ~up[:-1]) + 1
     seeds = seeds[seeds < n]
     down = Queues(limit=limit)

@@ -21,13 +21,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickmart.llm.grouped import sorted_groups
-from tickmart.llm.induced_sort import DEPTH, PAD, QUEUE_BYTES, suffix_runs
+from tickmart.llm.induced_sort import DEPTH, PAD, QUEUE_BYTES, narrow, suffix_runs
 from tickmart.llm.packed import LEVEL
 from tickmart.llm.scratch import fresh_path
 from tickmart.llm.text_arrays import mix
 
 LENGTH = DEPTH
 GRAM = 32
+#: Shards for each of the session's shuffle partitions; a shard's suffix arrays take some 50 times its text in memory.
+SHARDS_PER_PARTITION = 2
 #: Bytes of text in one stored chunk; a longer text is a chunk of its own.
 CHUNK_BYTES = 4 << 20
 #: An anchor that occurs in more chunks than this is hot: its stretches are dealt one by one, by all their bytes.
@@ -313,8 +315,10 @@ def _shard_ranges(spans: list[tuple], queue_bytes: int) -> dict[int, list[np.nda
     size = length[kept] + 1
     starts = np.cumsum(size) - size
     joined = np.frombuffer(b"\0".join(body[at[k]:at[k] + length[k]] for k in kept.tolist()) + bytes(PAD + 1), np.uint8)
-    offset = np.arange(int(size.sum())) - np.repeat(starts, size)
-    is_start = offset < np.repeat(count[kept], size)
+    kind = narrow(len(joined))
+    offset = np.arange(int(size.sum()), dtype=kind) - np.repeat(starts.astype(kind), size)
+    is_start = offset < np.repeat(count[kept].astype(kind), size)
+    del body
     gone = repeated_starts(joined, is_start, queue_bytes)
     hit = np.flatnonzero(gone)
     found: dict[int, list[np.ndarray]] = {}
@@ -382,7 +386,7 @@ def _in_characters(data: np.ndarray, covered: np.ndarray) -> bytes:
 def _text_outcomes(docs: DataFrame, keep_text: bool, hot: int, queue_bytes: int) -> DataFrame:
     """``sha, first, removed, spans, kept_sha, kept`` per distinct text of ``LENGTH`` bytes or more."""
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = SHARDS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     chunks = _stored_chunks(spark, _folded(docs), parts)
     replies = (chunks.mapInArrow(_requests(parts), "part int, chunk bigint, blob binary").repartition(parts, "part")
                .sortWithinPartitions("part").mapInArrow(_replies(hot), "chunk bigint, part int, bits binary"))
