@@ -23,13 +23,17 @@ from pyspark.sql import functions as F
 from tickmart.llm.grouped import sorted_groups
 from tickmart.llm.induced_sort import DEPTH, PAD, QUEUE_BYTES, narrow, suffix_runs
 from tickmart.llm.packed import LEVEL
-from tickmart.llm.scratch import fresh_path
+from tickmart.llm.scratch import fresh_path, stored
 from tickmart.llm.text_arrays import mix
 
 LENGTH = DEPTH
 GRAM = 32
-#: Shards for each of the session's shuffle partitions; a shard's suffix arrays take some 50 times its text in memory.
+#: Fewest shards for each of the session's shuffle partitions.
 SHARDS_PER_PARTITION = 2
+#: Bytes of spans that a shard gets on average at most; its suffix arrays take some 50 times that in memory.
+SHARD_BYTES = 4 << 20
+#: Bytes of distinct text whose anchors are counted in one part; counting takes about twice that in memory.
+PART_BYTES = 64 << 20
 #: Bytes of text in one stored chunk; a longer text is a chunk of its own.
 CHUNK_BYTES = 4 << 20
 #: An anchor that occurs in more chunks than this is hot: its stretches are dealt one by one, by all their bytes.
@@ -176,15 +180,29 @@ class Chunk:
         return np.array([_LAST if f is None else f for f in self.firsts], np.int64)
 
 
+def distinct_spans(chunk: Chunk, first: np.ndarray, count: np.ndarray, times: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs and starts of each distinct anchor; spans that are equal inside the chunk count once, as they are sent once."""
+    new, seen = np.ones(len(first), bool), set()
+    many = np.flatnonzero(times[place] > 1)
+    for k, a, n in zip(many.tolist(), first[many].tolist(), count[many].tolist()):
+        span = chunk.bytes[a:a + n + LENGTH - 1]
+        new[k] = span not in seen
+        seen.add(span)
+    at = place[new]
+    return np.bincount(at, minlength=len(times)), np.bincount(at, count[new], len(times)).astype(np.int64)
+
+
 def _requests(parts: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 chunk = Chunk(batch.slice(i, 1).to_pylist()[0])
-                part, short, _, _ = asked(anchors(chunk.data, chunk.offsets)[2], parts)
+                first, count, hashes = anchors(chunk.data, chunk.offsets)
+                part, short, times, place = asked(hashes, parts)
+                sizes = [x.astype(np.uint32) for x in (times, *distinct_spans(chunk, first, count, times, place))]
                 cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])).tolist() if len(part) else []
-                blobs = [_packed(np.diff(short[a:b], prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.copy())
-                         for a, b in zip(cuts, [*cuts[1:], len(part)])]
+                blobs = [_packed(np.diff(short[a:b], prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.copy(),
+                                 *(x[a:b] for x in sizes)) for a, b in zip(cuts, [*cuts[1:], len(part)])]
                 yield pa.RecordBatch.from_arrays([pa.array(part[cuts].astype(np.int32) if cuts else [], pa.int32()),
                                                   pa.array([chunk.name] * len(cuts), pa.int64()), pa.array(blobs, pa.binary())],
                                                  names=["part", "chunk", "blob"])
@@ -193,33 +211,38 @@ def _requests(parts: int):
 
 
 def _replies(hot: int):
-    """Per part: which of each chunk's anchors occur in another chunk too, and which of them are hot, as bits."""
+    """Per part: which of each chunk's anchors occur in another chunk too, and which of them are hot, as bits; and the
+    bytes of the spans that the chunk will send for them."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (part,), group in sorted_groups(batches, 1):
-            sent = [np.cumsum(np.ascontiguousarray(_unpacked(b)[0].T).view(np.uint64).ravel(), dtype=np.uint64)
-                    for b in group.column("blob").to_pylist()]
+            blobs = [_unpacked(b) for b in group.column("blob").to_pylist()]
+            sent = [np.cumsum(np.ascontiguousarray(b[0].T).view(np.uint64).ravel(), dtype=np.uint64) for b in blobs]
             _, inverse, counts = np.unique(np.concatenate(sent), return_inverse=True, return_counts=True)
             times = counts[inverse]
+            inside, runs, starts = (np.concatenate([b[c] for b in blobs]).astype(np.int64) for c in (1, 2, 3))
+            bytes_ = np.where(times > hot, starts * LENGTH, starts + runs * (LENGTH - 1)) * ((times > 1) | (inside > 1))
             ends = np.cumsum([len(s) for s in sent])
-            bits = [_packed(np.packbits(times[e - len(s):e] > 1), np.packbits(times[e - len(s):e] > hot)) for s, e in zip(sent, ends)]
+            cuts = [(e - len(s), e) for s, e in zip(sent, ends)]
+            bits = [_packed(np.packbits(times[a:b] > 1), np.packbits(times[a:b] > hot)) for a, b in cuts]
             yield pa.RecordBatch.from_arrays([group.column("chunk").combine_chunks(), pa.array([part] * len(bits), pa.int32()),
-                                              pa.array(bits, pa.binary())], names=["chunk", "part", "bits"])
+                                              pa.array(bits, pa.binary()), pa.array([int(bytes_[a:b].sum()) for a, b in cuts], pa.int64())],
+                                             names=["chunk", "part", "bits", "bytes"])
 
     return rows
 
 
-def _segments(parts: int):
+def _segments(parts: int, shards: int):
     """Per chunk and shard: the spans of stretches that may be repeated; stretches repeated inside the chunk go along."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                yield _segment_rows(Chunk(row), row["replies"] or [], parts)
+                yield _segment_rows(Chunk(row), row["replies"] or [], parts, shards)
 
     return rows
 
 
-def _segment_rows(chunk: Chunk, replies: list[dict], parts: int) -> pa.RecordBatch:
+def _segment_rows(chunk: Chunk, replies: list[dict], parts: int, shards: int) -> pa.RecordBatch:
     first, count, hashes = anchors(chunk.data, chunk.offsets)
     part, _, times, place = asked(hashes, parts)
     again, hot = times > 1, np.zeros(len(part), bool)
@@ -236,7 +259,7 @@ def _segment_rows(chunk: Chunk, replies: list[dict], parts: int) -> pa.RecordBat
     lists: dict[int, list] = {}
     gone: list[tuple[int, int, int]] = []
     for k, t, r, a, n, is_hot, home in zip(pick.tolist(), text.tolist(), rank.tolist(), first[pick].tolist(), count[pick].tolist(),
-                                           hot[place[pick]].tolist(), part[place[pick]].tolist()):
+                                           hot[place[pick]].tolist(), (hashes[pick] % np.uint64(shards)).tolist()):
         for s, m in ((s, 1) for s in range(a, a + n)) if is_hot else ((a, n),):
             span = chunk.bytes[s:s + m + LENGTH - 1]
             begin = s - int(chunk.offsets[t])
@@ -244,12 +267,12 @@ def _segment_rows(chunk: Chunk, replies: list[dict], parts: int) -> pa.RecordBat
                 gone.append((t, begin, m))
             else:
                 seen.add(span)
-                lists.setdefault(zlib.crc32(span) % parts if is_hot else home, []).append((t, r, begin, m, span))
+                lists.setdefault(zlib.crc32(span) % shards if is_hot else home, []).append((t, r, begin, m, span))
     blobs = {p: _packed(*(np.array(c, np.int64) for c in list(zip(*x))[:4]), b"".join(s[4] for s in x)) for p, x in lists.items()}
     names = sorted(blobs)
     own = [_packed(np.array(gone, np.int64))] if gone else []
     return pa.RecordBatch.from_arrays([
-        pa.array([*names, *([chunk.name % parts] if gone else [])], pa.int32()), pa.array([chunk.name] * (len(names) + len(own)), pa.int64()),
+        pa.array([*names, *([chunk.name % shards] if gone else [])], pa.int32()), pa.array([chunk.name] * (len(names) + len(own)), pa.int64()),
         pa.array([blobs[p] for p in names] + [None] * len(own), pa.binary()), pa.array([None] * len(names) + own, pa.binary())],
         names=["part", "chunk", "blob", "gone"])
 
@@ -383,16 +406,26 @@ def _in_characters(data: np.ndarray, covered: np.ndarray) -> bytes:
     return data[~np.repeat(every, np.diff(np.append(head, len(data))))].tobytes()
 
 
-def _text_outcomes(docs: DataFrame, keep_text: bool, hot: int, queue_bytes: int) -> DataFrame:
-    """``sha, first, removed, spans, kept_sha, kept`` per distinct text of ``LENGTH`` bytes or more."""
+def _dealt(docs: DataFrame, hot: int) -> tuple[DataFrame, DataFrame, int]:
+    """Chunks, the spans they send to shards, and the number of shards, chosen by the bytes of all spans."""
     spark = docs.sparkSession
-    parts = SHARDS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chunks = _stored_chunks(spark, _folded(docs), parts)
-    replies = (chunks.mapInArrow(_requests(parts), "part int, chunk bigint, blob binary").repartition(parts, "part")
-               .sortWithinPartitions("part").mapInArrow(_replies(hot), "chunk bigint, part int, bits binary"))
+    least = SHARDS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chunks = _stored_chunks(spark, _folded(docs), least)
+    length = F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x)
+    parts = max(least, -(-(chunks.agg(F.sum(length)).first()[0] or 0) // PART_BYTES))
+    replies = stored(chunks.mapInArrow(_requests(parts), "part int, chunk bigint, blob binary").repartition(parts, "part")
+                     .sortWithinPartitions("part").mapInArrow(_replies(hot), "chunk bigint, part int, bits binary, bytes bigint"), "replies")
+    shards = max(least, -(-(replies.agg(F.sum("bytes")).first()[0] or 0) // SHARD_BYTES))
     answered = replies.groupBy("chunk").agg(F.collect_list(F.struct("part", "bits")).alias("replies"))
-    segments = chunks.join(answered.hint("merge"), "chunk", "left").mapInArrow(_segments(parts), "part int, chunk bigint, blob binary, gone binary")
-    ranges = (segments.repartition(parts, "part").sortWithinPartitions("part")
+    segments = chunks.join(answered.hint("merge"), "chunk", "left").mapInArrow(
+        _segments(parts, shards), "part int, chunk bigint, blob binary, gone binary")
+    return chunks, segments, shards
+
+
+def _text_outcomes(docs: DataFrame, keep_text: bool, hot: int, queue_bytes: int) -> DataFrame:
+    """``sha, first, removed, spans, kept_sha, kept`` per distinct text of ``LENGTH`` bytes or more."""
+    chunks, segments, shards = _dealt(docs, hot)
+    ranges = (segments.repartition(shards, "part").sortWithinPartitions("part")
               .mapInArrow(_shard(queue_bytes), "chunk bigint, ranges binary"))
     found = ranges.groupBy("chunk").agg(F.collect_list("ranges").alias("ranges"))
     return chunks.join(found.hint("merge"), "chunk", "left").mapInArrow(
@@ -422,7 +455,7 @@ def repeated_bytes(docs: DataFrame, hot: int = HOT_CHUNKS, queue_bytes: int = QU
     counts as the earliest. Texts that share a doc_id are ordered by where they are stored. Other columns are
     ignored. An empty table gives an empty result.
 
-    Work is sharded by anchor; an anchor in more than ``hot`` chunks is dealt out stretch by stretch, and equal
+    Work is sharded by anchor, in as many shards as the bytes of the spans ask for; an anchor in more than ``hot`` chunks is dealt out stretch by stretch, and equal
     spans are folded in every chunk first. Queues of the sort beyond ``queue_bytes`` go to disk.
     """
     rows = _judged(docs, ["doc_id"], False, hot, queue_bytes)
