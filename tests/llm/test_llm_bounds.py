@@ -26,8 +26,21 @@ def test_shards_follow_the_bytes_of_repeated_spans(make_docs, monkeypatch):
     rng = random.Random(21)
     base = [prose(rng, 350, 10**6) for _ in range(40)]
     rows = [(i, prose(rng, 10, 10**6) + base[i % 40]) for i in range(80)]
-    chunks, segments, shards = suffix_dedup._dealt(make_docs(rows), suffix_dedup.HOT_CHUNKS)
+    chunks, segments, shards = suffix_dedup._dealt(make_docs(rows), suffix_dedup.HOT_BYTES)
     held = shard_bytes(segments)
     assert sum(held.values()) > 400_000 and shards >= sum(held.values()) // 20_000
     assert max(held.values()) < 60_000
     assert outcome(suffix_dedup.repeated_bytes(make_docs(rows))) == brute_repeats(rows)
+
+
+def test_an_anchor_with_many_edges_is_dealt_by_stretches(make_docs, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 50_000)
+    rng = random.Random(22)
+    passage = prose(rng, 40, 10**6)
+    rows = [(i, prose(rng, 15, 10**6) + passage + prose(rng, 15, 10**6)) for i in range(300)]
+    whole = max(shard_bytes(suffix_dedup._dealt(make_docs(rows), suffix_dedup.HOT_BYTES)[1]).values())
+    chunks, segments, shards = suffix_dedup._dealt(make_docs(rows), 5000)
+    held = shard_bytes(segments)
+    assert sum(held.values()) <= 50_000 * shards
+    assert len(held) > 10 and max(held.values()) < 100_000 and whole < 512 << 10
+    assert outcome(suffix_dedup.repeated_bytes(make_docs(rows), 5000)) == brute_repeats(rows)

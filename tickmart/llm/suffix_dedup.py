@@ -36,8 +36,8 @@ SHARD_BYTES = 4 << 20
 PART_BYTES = 64 << 20
 #: Bytes of text in one stored chunk; a longer text is a chunk of its own.
 CHUNK_BYTES = 4 << 20
-#: An anchor that occurs in more chunks than this is hot: its stretches are dealt one by one, by all their bytes.
-HOT_CHUNKS = 5000
+#: An anchor whose spans have more bytes than this is hot: its stretches are dealt one by one, by all their bytes.
+HOT_BYTES = 512 << 10
 #: Starts handled together; with a stretch's length they must stay below 2**20 for the packed minimum.
 PIECE = 500_000
 
@@ -220,10 +220,12 @@ def _replies(hot: int):
             _, inverse, counts = np.unique(np.concatenate(sent), return_inverse=True, return_counts=True)
             times = counts[inverse]
             inside, runs, starts = (np.concatenate([b[c] for b in blobs]).astype(np.int64) for c in (1, 2, 3))
-            bytes_ = np.where(times > hot, starts * LENGTH, starts + runs * (LENGTH - 1)) * ((times > 1) | (inside > 1))
+            span = starts + runs * (LENGTH - 1)
+            many = np.bincount(inverse, span)[inverse] > hot
+            bytes_ = np.where(many, starts * LENGTH, span) * ((times > 1) | (inside > 1))
             ends = np.cumsum([len(s) for s in sent])
             cuts = [(e - len(s), e) for s, e in zip(sent, ends)]
-            bits = [_packed(np.packbits(times[a:b] > 1), np.packbits(times[a:b] > hot)) for a, b in cuts]
+            bits = [_packed(np.packbits(times[a:b] > 1), np.packbits(many[a:b])) for a, b in cuts]
             yield pa.RecordBatch.from_arrays([group.column("chunk").combine_chunks(), pa.array([part] * len(bits), pa.int32()),
                                               pa.array(bits, pa.binary()), pa.array([int(bytes_[a:b].sum()) for a, b in cuts], pa.int64())],
                                              names=["chunk", "part", "bits", "bytes"])
@@ -444,7 +446,7 @@ def _judged(docs: DataFrame, columns: list[str], keep_text: bool, hot: int, queu
         "_early", F.col("doc_id").eqNullSafe(F.col("_first")) & (F.col("_copy") == 1))
 
 
-def repeated_bytes(docs: DataFrame, hot: int = HOT_CHUNKS, queue_bytes: int = QUEUE_BYTES) -> DataFrame:
+def repeated_bytes(docs: DataFrame, hot: int = HOT_BYTES, queue_bytes: int = QUEUE_BYTES) -> DataFrame:
     """What exact deduplication removes: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``, one row per input row.
 
     A byte goes when a string of 100 bytes that covers it also begins earlier: in a document with a smaller doc_id, or
@@ -455,8 +457,9 @@ def repeated_bytes(docs: DataFrame, hot: int = HOT_CHUNKS, queue_bytes: int = QU
     counts as the earliest. Texts that share a doc_id are ordered by where they are stored. Other columns are
     ignored. An empty table gives an empty result.
 
-    Work is sharded by anchor, in as many shards as the bytes of the spans ask for; an anchor in more than ``hot`` chunks is dealt out stretch by stretch, and equal
-    spans are folded in every chunk first. Queues of the sort beyond ``queue_bytes`` go to disk.
+    Work is sharded by anchor, in as many shards as the bytes of the spans ask for; an anchor whose spans have more
+    than ``hot`` bytes is dealt out stretch by stretch. Equal spans are folded in every chunk first. Queues of the sort
+    beyond ``queue_bytes`` go to disk.
     """
     rows = _judged(docs, ["doc_id"], False, hot, queue_bytes)
     short, early = F.col("_bytes") < LENGTH, F.col("_early")
@@ -467,7 +470,7 @@ def repeated_bytes(docs: DataFrame, hot: int = HOT_CHUNKS, queue_bytes: int = QU
         choose(F.col("_sha"), F.col("_kept_sha"), F.lit(EMPTY_SHA)).alias("kept_sha256"))
 
 
-def without_repeats(docs: DataFrame, hot: int = HOT_CHUNKS, queue_bytes: int = QUEUE_BYTES) -> DataFrame:
+def without_repeats(docs: DataFrame, hot: int = HOT_BYTES, queue_bytes: int = QUEUE_BYTES) -> DataFrame:
     """The documents with what is left of their texts and all their columns; ``n_chars`` is counted anew.
 
     No row is dropped: a later copy keeps its row with an empty text. A character stays whole if one of its bytes is
