@@ -3,9 +3,12 @@
 import random
 from collections import Counter
 
-from tickmart.llm import suffix_dedup
+import numpy as np
+import pytest
 
-from test_llm_dedup import brute_repeats, prose
+from tickmart.llm import ngram_join, suffix_dedup
+
+from test_llm_dedup import brute_links, brute_repeats, prose, variant
 
 
 def shard_bytes(segments):
@@ -44,3 +47,22 @@ def test_an_anchor_with_many_edges_is_dealt_by_stretches(make_docs, monkeypatch)
     assert sum(held.values()) <= 50_000 * shards
     assert len(held) > 10 and max(held.values()) < 100_000 and whole < 512 << 10
     assert outcome(suffix_dedup.repeated_bytes(make_docs(rows), 5000)) == brute_repeats(rows)
+
+
+@pytest.mark.parametrize("block", [1024, 7])
+def test_long_near_copies_are_compared_range_by_range(make_docs, monkeypatch, block):
+    rng = random.Random(23)
+    hubs = [prose(rng, n, 10**6) for n in (900, 120)]
+    rows = [(i, variant(rng, hubs[i % 2], rng.randrange(12 if i % 2 == 0 else 4))) for i in range(50)]
+    rows += [(60, "one two"), (61, rows[0][1]), (62, None)]
+
+    def held(self, rows, add=ngram_join._Bucket.add):
+        assert sum(len(r["shingles"]) for r in rows) < 20_000
+        add(self, rows)
+
+    monkeypatch.setattr(ngram_join._Bucket, "add", held)
+    got = {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.near_duplicates(make_docs(rows), block=block, range_bytes=8000).collect()}
+    assert got == brute_links(rows)
+    whole = np.sort(np.random.default_rng(1).integers(0, 2**64, 1000, dtype=np.uint64))
+    assert [len(ngram_join.hash_ranges(whole, n)) for n in (1, 2, 64)] == [1, 2, 64]
+    assert (np.concatenate(ngram_join.hash_ranges(whole, 64)) == whole).all()

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tickmart.llm.components import components
 from tickmart.llm.packed import pack_texts, unpack_batches
 from tickmart.llm.scratch import stored
-from tickmart.llm.text_arrays import text_shingles
+from tickmart.llm.text_arrays import column_buffer, slices, text_shingles
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -31,6 +31,10 @@ HASHES = BANDS * ROWS
 STEP = 16
 #: Members of a bucket that one task compares with as many others; larger buckets are dealt out in pairs of blocks.
 BLOCK = 1024
+#: Bytes of shingles of a pair of blocks that a task holds at a time; larger pairs are compared in ranges of the hashes.
+RANGE_BYTES = 16 << 20
+#: Bytes of text that are signed together; a longer text is signed alone.
+SIGNED_BYTES = 4 << 20
 
 _rng = np.random.Generator(np.random.PCG64(5))
 _FLIP = _rng.integers(0, 2**32, HASHES, dtype=np.uint64).astype(np.uint32)
@@ -74,14 +78,28 @@ def minhashes(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _text_parts(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
+    """Runs of at most ``rows`` rows and about ``SIGNED_BYTES`` of the text in the second column."""
+    for at in range(0, batch.num_rows, rows):
+        part = batch.slice(at, rows)
+        for a, b in slices(column_buffer(part.column(1))[1], SIGNED_BYTES):
+            yield part.slice(a, b - a)
+
+
+def hash_ranges(shingles: np.ndarray, number: int) -> list[np.ndarray]:
+    """Sorted shingles cut at equal steps of the hashes; ``number`` is a power of two."""
+    step = np.uint64(65 - number.bit_length())
+    bounds = np.arange(1, number, dtype=np.uint64) << step if number > 1 else np.zeros(0, np.uint64)
+    return np.split(shingles, np.searchsorted(shingles, bounds))
+
+
 def signed(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``(doc_id, sid, n_shingles, sig)``: shingle set key and MinHash signature, null for texts without words."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for part in _text_parts(batch, 512):
                 sets = list(shingle_sets(part.column(1), width))
                 full = [s for s in sets if len(s)]
                 sigs = iter(minhashes(full) if full else ())
@@ -95,10 +113,10 @@ def signed(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def _bucket_keys(classes: DataFrame) -> DataFrame:
-    """``(band, key, sid)``, one row for each class and band."""
+    """``(band, key, sid, n_shingles)``, one row for each class and band."""
     part = F.substring("sig", F.col("band") * (4 * ROWS) + 1, F.lit(4 * ROWS))
-    return (classes.select("sid", "sig", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
-            .select("band", F.xxhash64("band", part).alias("key"), "sid"))
+    return (classes.select("sid", "sig", "n_shingles", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
+            .select("band", F.xxhash64("band", part).alias("key"), "sid", "n_shingles"))
 
 
 def _shared_buckets(keys: DataFrame) -> DataFrame:
@@ -106,30 +124,53 @@ def _shared_buckets(keys: DataFrame) -> DataFrame:
 
     Membership is compared by two order-free sums, so no bucket is gathered anywhere.
     """
-    size = F.count("*").alias("members")
+    size = F.count("*").alias("members"), F.sum(F.col("n_shingles").cast("long")).alias("volume")
     marks = (F.sum(F.xxhash64("sid").cast("decimal(20,0)")).alias("m1"), F.bit_xor(F.xxhash64(F.lit(7), "sid")).alias("m2"))
-    many = keys.groupBy("band", "key").agg(size, *marks).where("members > 1")
+    many = keys.groupBy("band", "key").agg(*size, *marks).where("members > 1")
     return (many.groupBy("members", "m1", "m2")
-            .agg(F.min("key").alias("key"), F.bit_or(F.expr("shiftleft(1L, band)")).alias("mask"))
-            .select("key", "mask", "members"))
+            .agg(F.min("key").alias("key"), F.bit_or(F.expr("shiftleft(1L, band)")).alias("mask"), F.max("volume").alias("volume"))
+            .select("key", "mask", "members", "volume"))
 
 
 class _Bucket:
-    """Members of one pair of blocks of one bucket."""
-
-    def __init__(self, rows: list[dict]):
-        self.rows = rows
-        self.sig = np.frombuffer(b"".join(r["sig"] for r in rows), np.uint32).reshape(-1, HASHES)
-        self.sets = [np.frombuffer(r["shingles"], np.uint64) for r in rows]
-        self.copies = np.array([r["copies"] for r in rows], np.int64)
-        self.size = np.array([len(s) for s in self.sets])
-        self.block = np.array([r["block"] for r in rows])
-        values, self.flat = np.unique(np.concatenate(self.sets), return_inverse=True)
-        self.mark = np.zeros(len(values), bool)
-        self.at = np.concatenate([[0], np.cumsum(self.size)])
-
-    def ids(self, i: int) -> np.ndarray:
-        return self.flat[self.at[i]:self.at[i + 1]]
+    """Members of one pair of blocks of one bucket, of whose shingle sets one range of hashes is held at a time."""
+
+    def __init__(self, rows: list[dict], threshold: float, fewest: dict[int, int]):
+        self.rows = [{k: v for k, v in r.items() if k != "shingles"} for r, new in zip(rows, _new_members(rows)) if new]
+        self.threshold = threshold
+        self.sig = np.frombuffer(b"".join(r["sig"] for r in self.rows), np.uint32).reshape(-1, HASHES)
+        self.copies = np.array([r["copies"] for r in self.rows], np.int64)
+        self.size = np.array([r["n_shingles"] for r in self.rows], np.int64)
+        self.block = np.array([r["block"] for r in self.rows])
+        self.partners = {}
+        for i, r in enumerate(self.rows):
+            if r["low"] == r["high"] or self.block[i] == r["low"]:
+                found = self.candidates(i, fewest)
+                if len(found):
+                    self.partners[i] = found.astype(np.int32)
+        self.shared = {i: np.zeros(len(p), np.int32) for i, p in self.partners.items()}
+
+    def add(self, rows: list[dict]) -> None:
+        """Count the shingles that candidates share in one range; rows come in the order of the members."""
+        if not self.partners:
+            return
+        held = np.array([len(r["shingles"]) // 8 for r in rows])
+        member = np.cumsum(_new_members(rows)) - 1
+        size = np.bincount(member, held, len(self.rows)).astype(np.int64)
+        values, flat = np.unique(np.frombuffer(b"".join(r["shingles"] for r in rows), np.uint64), return_inverse=True)
+        mark = np.zeros(len(values), bool)
+        at = np.concatenate([[0], np.cumsum(size)])
+        for i, partners in self.partners.items():
+            if not size[i]:
+                continue
+            full = np.flatnonzero(size[partners])
+            if not len(full):
+                continue
+            mark[flat[at[i]:at[i + 1]]] = True
+            sizes = size[partners[full]]
+            self.shared[i][full] += np.add.reduceat(mark[np.concatenate([flat[at[j]:at[j + 1]] for j in partners[full]])].astype(np.int32),
+                                                    np.cumsum(sizes) - sizes)
+            mark[flat[at[i]:at[i + 1]]] = False
 
     def candidates(self, i: int, fewest: dict[int, int]) -> np.ndarray:
         """Partners of member i that share their first band here and survive the pruning."""
@@ -146,7 +187,7 @@ class _Bucket:
             keep, matches = keep[alive], matches[alive]
         return others[keep]
 
-    def links(self, threshold: float, fewest: dict[int, int]) -> Iterator[tuple[bytes, int, bytes | None]]:
+    def links(self) -> Iterator[tuple[bytes, int, bytes | None]]:
         """For every member with links here: its links, and the root of the links' spanning stars."""
         n = len(self.rows)
         found, parent = np.zeros(n, np.int64), list(range(n))
@@ -157,17 +198,9 @@ class _Bucket:
                 x = parent[x]
             return x
 
-        for i in range(n):
-            if self.rows[i]["low"] != self.rows[i]["high"] and self.block[i] != self.rows[i]["low"]:
-                continue
-            partners = self.candidates(i, fewest)
-            if not len(partners):
-                continue
-            self.mark[self.ids(i)] = True
-            shared = np.add.reduceat(self.mark[np.concatenate([self.ids(j) for j in partners])].astype(np.int64),
-                                     np.cumsum(self.size[partners]) - self.size[partners])
-            self.mark[self.ids(i)] = False
-            linked = partners[shared / (self.size[i] + self.size[partners] - shared) >= threshold]
+        for i, partners in self.partners.items():
+            shared = self.shared[i]
+            linked = partners[shared / (self.size[i] + self.size[partners] - shared) >= self.threshold]
             found[i] += self.copies[linked].sum()
             found[linked] += self.copies[i]
             for j in linked:
@@ -179,16 +212,28 @@ class _Bucket:
             yield self.rows[i]["sid"], int(found[i]), self.rows[top]["sid"] if top != i else None
 
 
+def _new_members(rows: list[dict]) -> list[bool]:
+    """Where the next member begins; every member has all its pieces of the range, also empty ones."""
+    return [i == 0 or r["sid"] != rows[i - 1]["sid"] for i, r in enumerate(rows)]
+
+
 def _linked(threshold: float, tolerance: float):
     fewest = fewest_matches(threshold, tolerance)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
-        for group in _groups(batches):
-            out.extend(_Bucket(group).links(threshold, fewest))
+        name, bucket = None, None
+        for this, group in _groups(batches):
+            if this[:-1] != name:
+                if bucket:
+                    out.extend(bucket.links())
+                name, bucket = this[:-1], _Bucket(group, threshold, fewest)
+            bucket.add(group)
             if len(out) >= 10_000:
                 yield _link_batch(out)
                 out = []
+        if bucket:
+            out.extend(bucket.links())
         yield _link_batch(out)
 
     return rows
@@ -200,40 +245,41 @@ def _link_batch(out: list[tuple]) -> pa.RecordBatch:
                                       names=["sid", "links", "parent"])
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
-    """Rows of one pair of blocks at a time, from input sorted by it; at most two blocks are held."""
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[dict]]]:
+    """Name and rows of one range of one pair of blocks at a time, from input sorted by it."""
     group: list[dict] = []
     name = None
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             for row in batch.slice(at, 256).to_pylist():
-                this = (row["key"], row["mask"], row["low"], row["high"])
+                this = (row["key"], row["mask"], row["low"], row["high"], row["range"])
                 if this != name and group:
-                    yield group
+                    yield name, group
                     group = []
                 name = this
                 group.append(row)
     if group:
-        yield group
+        yield name, group
 
 
 def _wanted_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """``(sid, shingles)`` of the wanted ``(doc_id, sid)``; texts travel compressed."""
+    """``(sid, pieces, piece, shingles)`` of the wanted ``(doc_id, sid, pieces)``; texts travel compressed."""
     packed = pack_texts(docs.where("doc_id IS NOT NULL"))
+    kind = "sid binary, pieces int, piece int, shingles binary"
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, sids, texts in unpack_batches(batches, 2):
-            sets = list(shingle_sets(texts, width))
-            hit = [k for k, (s, sid) in enumerate(zip(sets, sids)) if set_key(s) == sid]
-            yield pa.RecordBatch.from_arrays([pa.array([sids[k] for k in hit], pa.binary()),
-                                              pa.array([sets[k].tobytes() for k in hit], pa.binary())], names=["sid", "shingles"])
+        for _, sids, pieces, texts in unpack_batches(batches, 3):
+            out = [(sid, n, p, part.tobytes()) for sid, n, s in zip(sids, pieces, shingle_sets(texts, width)) if set_key(s) == sid
+                   for p, part in enumerate(hash_ranges(s, n))]
+            columns = list(zip(*out)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.binary(), pa.int32(), pa.int32(), pa.binary()))],
+                                             names=["sid", "pieces", "piece", "shingles"])
 
-    return (packed.join(wanted.hint("merge"), "doc_id").select("doc_id", "sid", "packed")
-            .mapInArrow(rows, "sid binary, shingles binary"))
+    return packed.join(wanted.hint("merge"), "doc_id").select("doc_id", "sid", "pieces", "packed").mapInArrow(rows, kind)
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, tolerance: float = TOLERANCE,
-                    block: int = BLOCK) -> DataFrame:
+                    block: int = BLOCK, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Groups of documents whose Jaccard similarity of word shingles reaches ``threshold``.
 
     One row per input row: ``doc_id``; ``class_id``, the smallest doc_id of the group that links connect;
@@ -247,26 +293,32 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, width: int =
 
     128 hashes in 32 bands miss a pair at exactly 0.8 with probability 5e-8, the pruning at most about
     as rarely per look. Pairs are decided inside the tasks, and only counts and spanning stars leave them, so a
-    group of thousands of variants does not become millions of rows.
+    group of thousands of variants does not become millions of rows. A task compares two blocks of at most about
+    ``block`` members; where their sets have more than ``range_bytes``, range by range of the hashes.
     """
     base = stored(signed(docs, width), "signatures")
     classes = base.where("sid IS NOT NULL").groupBy("sid").agg(
-        F.count("*").alias("copies"), F.min("doc_id").alias("copy_of"), F.first("sig").alias("sig"))
+        F.count("*").alias("copies"), F.min("doc_id").alias("copy_of"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles"))
     classes = stored(classes, "classes")
     keys = _bucket_keys(classes)
-    members = stored(keys.drop("band").join(_shared_buckets(keys), "key"), "members")
+    blocks = F.ceil(F.col("members") / block).cast("int")
+    size = F.col("volume") * 8 * F.least(F.lit(2), "blocks") / F.col("blocks") / range_bytes
+    ranges = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(size, F.lit(1.0))))).cast("int")
+    shared = _shared_buckets(keys).withColumn("blocks", blocks).withColumn("ranges", ranges).drop("volume")
+    members = stored(keys.drop("band", "n_shingles").join(shared, "key"), "members")
 
-    wanted = classes.join(members.select("sid").distinct(), "sid").select(F.col("copy_of").alias("doc_id"), "sid")
-    sets = _wanted_sets(docs, wanted.where("doc_id IS NOT NULL"), width).dropDuplicates(["sid"])
-    facts = sets.join(classes.select("sid", "copies", "sig"), "sid")
+    finest = members.groupBy("sid").agg(F.max("ranges").alias("pieces"))
+    wanted = classes.join(finest, "sid").select(F.col("copy_of").alias("doc_id"), "sid", "pieces")
+    sets = _wanted_sets(docs, wanted.where("doc_id IS NOT NULL"), width).dropDuplicates(["sid", "piece"])
+    facts = sets.join(classes.select("sid", "copies", "sig", "n_shingles"), "sid")
 
-    blocks = F.ceil(F.col("members") / block).cast("int")
     mine = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
                         lambda o: F.struct(F.least(o, "block").alias("low"), F.greatest(o, "block").alias("high")))
-    dealt = (members.withColumn("blocks", blocks).withColumn("block", mine).select("key", "mask", "sid", "block", F.explode(pairs).alias("p"))
-             .select("key", "mask", "sid", "block", "p.low", "p.high").join(facts, "sid"))
-    links = stored(dealt.repartition("key", "mask", "low", "high").sortWithinPartitions("key", "mask", "low", "high")
+    dealt = (members.withColumn("block", mine).select("key", "mask", "sid", "ranges", "block", F.explode(pairs).alias("p"))
+             .select("key", "mask", "sid", "ranges", "block", "p.low", "p.high").join(facts, "sid")
+             .withColumn("range", F.expr("cast(piece div (pieces div ranges) as int)")).drop("ranges", "pieces"))
+    links = stored(dealt.repartition("key", "mask", "low", "high").sortWithinPartitions("key", "mask", "low", "high", "range", "sid", "piece")
                    .mapInArrow(_linked(threshold, tolerance), "sid binary, links bigint, parent binary"), "links")
 
     roots = components(links.where("parent IS NOT NULL").select(F.col("sid").alias("a"), F.col("parent").alias("b")))
