@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tickmart.llm import ngram_join, suffix_dedup
+from tickmart.llm import ngram_join, packing, suffix_dedup
 
 from test_llm_dedup import brute_links, brute_repeats, prose, variant
 
@@ -66,3 +66,12 @@ def test_long_near_copies_are_compared_range_by_range(make_docs, monkeypatch, bl
     whole = np.sort(np.random.default_rng(1).integers(0, 2**64, 1000, dtype=np.uint64))
     assert [len(ngram_join.hash_ranges(whole, n)) for n in (1, 2, 64)] == [1, 2, 64]
     assert (np.concatenate(ngram_join.hash_ranges(whole, 64)) == whole).all()
+
+
+def test_a_bucket_is_padded_to_its_longest_document(make_docs):
+    rows = [(i, "w " * n) for i, n in enumerate([0, 1, 3, 700, 1025, 1025, 2049, 5001])]
+    out = packing.packed_batches(make_docs(rows), buckets=3).collect()
+    longest = {}
+    for r in out:
+        longest[r.bucket] = max(longest.get(r.bucket, 1), r.length)
+    assert len(out) == len(rows) and all(b == n for b, n in longest.items())

@@ -11,8 +11,8 @@ from tickmart.llm.scratch import stored
 
 BUCKETS = 16
 TOKEN_BUDGET = 65_536
-#: Lengths are exact below 2**(1 + FINE_BITS) and then rounded up to that many leading bits, so the histogram has at
-#: most 2**FINE_BITS cells per doubling whatever the corpus holds.
+#: Lengths are exact below 2**(1 + FINE_BITS) and then share a cell by that many leading bits, so the histogram has at
+#: most 2**FINE_BITS cells per doubling whatever the corpus holds. A cell's longest document is its edge.
 FINE_BITS = 8
 #: Documents of a bucket that are numbered together; each such run may end with one batch that is not full.
 RUN = 8192
@@ -71,15 +71,15 @@ def packed_batches(docs: DataFrame, buckets: int = BUCKETS, token_budget: int =
     result.
     """
     sized = stored(docs.select("doc_id", word_count().alias("length")), "lengths")
-    cells = sized.withColumn("cell", cell_of("length")).groupBy("cell").agg(F.count("*").alias("n")).orderBy("cell").collect()
-    edges = best_edges(np.array([c.cell for c in cells], np.int64), np.array([c.n for c in cells], np.int64), buckets)
+    top = F.max(F.greatest("length", F.lit(1))).cast("long").alias("top")
+    cells = sized.withColumn("cell", cell_of("length")).groupBy("cell").agg(F.count("*").alias("n"), top).orderBy("cell").collect()
+    edges = best_edges(np.array([c.top for c in cells], np.int64), np.array([c.n for c in cells], np.int64), buckets)
     held = np.zeros(len(edges), np.int64)
     for c in cells:
-        held[int(np.searchsorted(edges, c.cell))] += c.n
+        held[int(np.searchsorted(edges, c.top))] += c.n
     known = [(e, int(-(-h // run)), max(1, token_budget // e)) for e, h in zip(edges, held)] or [(1, 1, 1)]
-    pick = lambda k: F.coalesce(*[F.when(F.col("cell") <= e[0], F.lit(e[k]).cast("long")) for e in known])
-    placed = (sized.withColumn("cell", cell_of("length"))
-              .select("doc_id", "length", pick(0).alias("bucket"), pick(1).alias("runs"), pick(2).alias("places"))
+    pick = lambda k: F.coalesce(*[F.when(F.col("length") <= e[0], F.lit(e[k]).cast("long")) for e in known])
+    placed = (sized.select("doc_id", "length", pick(0).alias("bucket"), pick(1).alias("runs"), pick(2).alias("places"))
               .withColumn("run", F.pmod(F.xxhash64("doc_id", "length"), F.col("runs"))))
     seat = F.row_number().over(Window.partitionBy("bucket", "run").orderBy("doc_id", "length")) - 1
     return placed.withColumn("seat", seat).select(
