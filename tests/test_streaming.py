@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from tickmart.operators.sentiment import latest_prices_1m, sentiment_1m
