@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickmart.llm import ann, chat, fingerprint, mixing, ngram_join, packing, suffix_dedup, toxicity, url_filter, warc
+from tickmart.llm import (ann, chat, divergence, fingerprint, lattice, mixing, ngram_join, packing, prefix_trie, suffix_dedup, toxicity, url_filter,
+                          warc)
 from tickmart.llm.scratch import fresh_path
 
 
@@ -70,6 +71,18 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.formatted(turns.withColumn("parts", chat.text_part(F.col("text")))))
 
 
+def op11_lattice_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.near_duplicates(table(spark, folder, "embeddings"))
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_nodes(table(spark, folder, "conversations"))
+
+
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_warc_archive": op2_warc_archive,
@@ -81,6 +94,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_source_mixing": op9_source_mixing,
     "op10_chat_format": op10_chat_format,
+    "op11_lattice_dedup": op11_lattice_dedup,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 _OP1 = r"""
@@ -143,10 +159,71 @@ SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, CAST(length(loss) AS BIG
        CAST(n AS BIGINT) AS formatted_chars FROM g
 """
 
+_OP11 = """
+WITH RECURSIVE e AS (SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+v AS (SELECT r, vec_id, label, list_transform(x, lambda c: c / sqrt(list_sum(list_transform(x, lambda d: d * d)))) AS u FROM e
+      WHERE label IS NOT NULL AND len(x) > 0 AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(x, lambda c: c <> 0)) > 0),
+links AS (SELECT a.r AS a, b.r AS b FROM v a JOIN v b ON a.label = b.label AND a.r <> b.r AND len(a.u) = len(b.u)
+          WHERE list_dot_product(a.u, b.u) >= 0.93),
+reach AS (SELECT r AS a, r AS b FROM e UNION SELECT x.a, l.b FROM reach x JOIN links l ON x.b = l.a),
+grp AS (SELECT reach.a AS r, min(e.vec_id) AS component_id FROM reach JOIN e ON e.r = reach.b GROUP BY reach.a),
+deg AS (SELECT a AS r, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(deg.n, 0) AS n_links, component_id, coalesce(vec_id = component_id, false) AS kept
+FROM e JOIN grp USING (r) LEFT JOIN deg USING (r)
+"""
+
+_OP12 = """
+WITH t AS (SELECT conv_id, turn, length(coalesce(text, '')) AS n,
+                  sha256(CAST(length(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '')) AS k
+           FROM conversations WHERE conv_id IS NOT NULL),
+w AS (SELECT conv_id, list(k ORDER BY turn NULLS FIRST, k) AS ks, list(n ORDER BY turn NULLS FIRST, k) AS ns,
+             list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(unicode(c) AS BIGINT)) AS letters FROM t GROUP BY conv_id),
+c AS (SELECT conv_id, ks, ns, conv_id - conv_id % 100 AS base, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, letters), lambda a, b:
+             list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END))) % 6 AS h FROM w),
+p AS (SELECT c.conv_id, coalesce(b.ks[1:h], []) || c.ks[h + 1:] AS ks, coalesce(b.ns[1:h], []) || c.ns[h + 1:] AS ns FROM c LEFT JOIN w b ON b.conv_id = c.base),
+m AS (SELECT conv_id, ks, ns, unnest(range(0, len(ks) + 1)) AS depth FROM p),
+g AS (SELECT array_to_string(ks[1:depth], ',') AS name, depth, min(conv_id) AS conv_id, count(*) AS n_convs, first(ks[1:depth]) AS pre,
+             coalesce(first(ns[depth]), 0) AS n, CASE WHEN depth > 0 THEN first(array_to_string(ks[1:depth - 1], ',')) END AS parent,
+             sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(ks) = depth), '')) AS ends_sha256
+      FROM m GROUP BY name, depth),
+k AS (SELECT parent AS name, count(*) AS n FROM g WHERE depth > 0 GROUP BY parent),
+a AS (SELECT unnest(list_transform(range(0, g.depth + 1), lambda i: array_to_string(pre[1:i], ','))) AS name,
+             CASE WHEN k.n IS NULL THEN 1 ELSE 0 END AS leaf, (n_convs - 1) * g.n AS gain FROM g LEFT JOIN k USING (name)),
+s AS (SELECT name, sum(leaf) AS n_leaves, sum(gain) AS saved FROM a GROUP BY name)
+SELECT g.conv_id, g.depth, up.conv_id AS parent_conv_id, g.n_convs, coalesce(k.n, 0) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, g.ends_sha256
+FROM g LEFT JOIN g up ON up.name = g.parent LEFT JOIN k ON k.name = g.name JOIN s ON s.name = g.name
+"""
+
+_OP13 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(translate(coalesce(text, ''),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+u AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS docs FROM u GROUP BY lang, source, term),
+k AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY lang, term HAVING sum(docs) >= 3),
+v AS (SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+s AS (SELECT lang, source, sum(c.n) AS n FROM c JOIN k USING (lang, term) GROUP BY lang, source),
+p AS (SELECT lang, source, term, coalesce(c.n, 0) AS n, CAST(1 + 1000000000 * (coalesce(c.n, 0) + 1) // (coalesce(s.n, 0) + v.v) AS BIGINT) AS p,
+             CAST(1 + 1000000000 * (k.n + 1) // (v.n + v.v) AS BIGINT) AS q
+      FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN s USING (lang, source) LEFT JOIN c USING (lang, source, term)),
+pairs AS (SELECT g.lang, g.source, o.source AS item, coalesce(x.value, 0) AS value FROM g JOIN g o ON g.lang = o.lang AND g.source <> o.source
+          LEFT JOIN (SELECT a.lang, a.source, b.source AS item, CAST(sum((a.p - b.p) * (a.p - b.p) // b.p) AS BIGINT) AS value
+                     FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source) x
+          ON x.lang = g.lang AND x.source = g.source AND x.item = o.source),
+both_parts AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs
+               UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM both_parts)
+SELECT * FROM r WHERE part = 'pair' OR rank <= 200
+"""
+
 ORACLE_SQL = {
     "op1_ngram_jaccard": _OP1,
     "op2_warc_archive": _OP2,
     "op3_url_filter": _OP3,
     "op9_source_mixing": _OP9,
     "op10_chat_format": _OP10,
+    "op11_lattice_dedup": _OP11,
+    "op12_prefix_trie": _OP12,
+    "op13_source_divergence": _OP13,
 }
