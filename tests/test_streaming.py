@@ -1,9 +1,11 @@
+import datetime as dt
 import json
 
 import pytest
 from frames import rows
 from pyspark.sql import functions as F
 
+from tickmart.operators import alerts, clean, rollup
 from tickmart.operators.sentiment import latest_prices_1m, sentiment_1m
 from tickmart.sinks.stores import DocumentStore
 from tickmart.sources import tick_tables as tt
@@ -201,3 +203,85 @@ def test_whale_output_needs_a_baseline(spark, tmp_path):
         run(spark, tmp_path / "in", tmp_path, sinks)
     run(spark, tmp_path / "in", tmp_path, sinks, baseline=spark.createDataFrame([("a", 100.0)], "coin_id string, normal_volume double"))
     assert rows(DocumentStore(spark, str(tmp_path / "store")).read(), "coin_id", "current_volume") == [("a", 500)]
+
+
+WHALE_COLUMNS = ["coin_id", "date", "current_volume", "normal_volume", "volume_spike_pct", "return_pct_day", "close_price"]
+
+
+def batch_whales(spark, messages):
+    batch = spark.createDataFrame([(json.dumps(m),) for m in messages], "value string")
+    ticks = clean.validate(stages.parse_ticks(batch)).withColumn("date", F.to_date("crawl_ts"))
+    return alerts.whale_detection(rollup.daily_metrics(ticks))
+
+
+def volumes(coin, days, **extra):
+    """One coin's ticks: (day of January, volume) pairs, two ticks a day of which the later one counts."""
+    for day, volume in days:
+        date = dt.date(2024, 1, 1) + dt.timedelta(days=day - 1)
+        yield message(coin, when=f"{date}T08:00:00", total_volume=7, **extra)
+        yield message(coin, when=f"{date}T20:00:00", total_volume=volume, **extra)
+
+
+def state_rows(spark, checkpoint, operator):
+    return spark.read.format("statestore").option("operatorId", operator).option("stateVarName", "volumes").load(checkpoint)
+
+
+def test_volume_state_over_restarts_equals_the_batch(spark, tmp_path):
+    """The feed comes in three runs of one checkpoint; days are judged as they close, from state of earlier runs."""
+    feed, out = tmp_path / "in", str(tmp_path / "out")
+    plan = [(d, 100 + d) for d in range(1, 10)] + [(10, 900), (11, 100), (14, 5000), (15, 3), (20, 90), (29, 1000), (30, 4000), (31, 1)]
+    messages = sorted([*volumes("a", plan), *volumes("b", [(d, 50 * (1 + (d % 9 == 0) * 8)) for d in range(1, 32)]),
+                       *volumes("c", [(3, 1), (4, 3), (30, 10), (31, 100)])], key=lambda m: m["crawl_time"])
+    for n, part in enumerate((messages[:50], messages[50:75], messages[75:])):
+        publish(feed, f"{n}.txt", part)
+        run(spark, feed, tmp_path, {"whale_days": feeds.json_sink(out)})
+    got = spark.read.schema("coin_id string, date date, current_volume bigint, normal_volume double, volume_spike_pct double, "
+                            "return_pct_day double, close_price double").json(out)
+    want = batch_whales(spark, messages).where("date < DATE'2024-01-31'")
+    assert want.count() > 5 and {r.coin_id for r in want.collect()} == {"a", "b", "c"}
+    assert rows(got, *WHALE_COLUMNS) == rows(want, *WHALE_COLUMNS)
+
+
+def test_idle_coins_leave_the_state(spark, tmp_path):
+    feed = tmp_path / "in"
+    publish(feed, "0.txt", [*volumes("idle", [(1, 5), (2, 5)]), *volumes("busy", [(d, 5) for d in range(1, 4)])])
+    sinks = {"whale_days": feeds.json_sink(str(tmp_path / "out"))}
+    run(spark, feed, tmp_path, sinks)
+    states = lambda: state_rows(spark, str(tmp_path / "cp" / "whale_days"), 0)
+    assert {r[0].coin_id for r in states().select("key").collect()} == {"idle", "busy"}
+    publish(feed, "1.txt", list(volumes("busy", [(d, 5) for d in range(4, 25)])))
+    run(spark, feed, tmp_path, sinks)
+    assert {r[0].coin_id for r in states().select("key").collect()} == {"busy"}
+    assert states().count() <= 8
+
+
+def test_repeated_messages_change_nothing(spark, tmp_path):
+    """The same file again under another name, in the same run and after a restart."""
+    feed, out = tmp_path / "in", str(tmp_path / "clean")
+    first = [message(when=f"2024-01-01T00:{m:02d}:00", h1=7.0) for m in range(10)]
+    sinks = {"clean": feeds.json_sink(out), "alerts": feeds.json_sink(str(tmp_path / "alerts"))}
+    publish(feed, "0.txt", first)
+    publish(feed, "1.txt", first)
+    run(spark, feed, tmp_path, sinks)
+    assert spark.read.json(out).count() == 10 and spark.read.json(str(tmp_path / "alerts")).count() == 10
+    publish(feed, "2.txt", [*first, message("eth"), message("noon", when=None), message("noon", when=None)])
+    run(spark, feed, tmp_path, sinks)
+    assert spark.read.json(out).count() == 13
+
+
+def test_repeats_state_stays_bounded(spark, tmp_path):
+    """Keys leave the state once the feed is past them; the progress report says how many are held."""
+    feed = tmp_path / "in"
+    for day in range(1, 9):
+        publish(feed, f"{day}.txt", [message(when=f"2024-01-{day:02d}T{h:02d}:00:00") for h in range(24)])
+    stream = stages.unique_ticks(stages.parse_ticks(feeds.file_feed(spark, str(feed), 1)), "2 hours")
+    query = memory_sink()(stream, "bounded", "append", str(tmp_path / "cp"), ONCE)
+    finish([query])
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert len(held) >= 8 and max(held) <= 48 and held[-1] <= 27
+    assert spark.table("bounded").count() == 8 * 24
+
+
+def test_unique_ticks_on_a_batch(spark):
+    data = [(json.dumps(m),) for m in (message(), message(price=2.0), message("eth"), message("x", when=None), message("x", when=None))]
+    assert stages.unique_ticks(stages.parse_ticks(spark.createDataFrame(data, "value string"))).count() == 4

@@ -14,6 +14,7 @@ from tickmart.schemas import ALERT_DDL
 from tickmart.session import pin_utc
 from tickmart.sources import payload, raw
 from tickmart.sources import tick_tables as tt
+from tickmart.streaming import replay, stages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -47,6 +48,12 @@ class Feed:
     def live(self) -> DataFrame:
         return tt.live_ticks(self.spark, self.folder)
 
+    @cached_property
+    def streamed(self) -> DataFrame:
+        """The live ticks as a stream of the table's files."""
+        events = replay.table_stream(self.spark, self.folder, "events")
+        return tt.event_ticks(events, truncate=False).withColumn("crawl_ts", F.col("crawl_ts").cast("timestamp"))
+
     @cached_property
     def spoiled(self) -> DataFrame:
         """The ticks with cells broken in every way that validation knows."""
@@ -427,6 +434,21 @@ def whale_detection(f: Feed) -> DataFrame:
     return rounded(alerts.whale_detection(f.daily), 6, "normal_volume", "volume_spike_pct")
 
 
+@query
+def stream_whale_days(f: Feed) -> DataFrame:
+    """The whole feed through the stream that keeps each coin's last week as state; days still open have no row."""
+    found = replay.replayed(stages.whale_day_stream(f.streamed), "whale-days")
+    return rounded(found, 6, "normal_volume", "volume_spike_pct")
+
+
+@query
+def stream_unique(f: Feed) -> DataFrame:
+    """Ticks per coin and day after the whole feed came twice."""
+    keys = ["coin_id", "crawl_ts"]
+    unique = replay.replayed(stages.unique_ticks(f.streamed.union(f.streamed), "60 days").select(*keys), "unique")
+    return unique.groupBy("coin_id", F.to_date("crawl_ts").alias("date")).agg(F.count("*").alias("ticks"))
+
+
 @query
 def pump_dump_batch(f: Feed) -> DataFrame:
     return rounded(alerts.pump_dump(f.daily), 6, "volume_change_pct")

@@ -381,6 +381,18 @@ SQL = {
     "alerts_recent_by_coin": """
         SELECT symbol, count(*) AS alerts FROM alert_store, clock
         WHERE alert_type = 'PUMP_1H' AND detected_at >= t - INTERVAL 1 HOUR GROUP BY symbol""",
+    "stream_whale_days": """
+        WITH d AS (SELECT coin_id, symbol, name, CAST(crawl_ts AS DATE) AS date, arg_min(current_price, crawl_ts) AS o,
+                          arg_max(current_price, crawl_ts) AS close_price, arg_max(total_volume, crawl_ts) AS current_volume
+                   FROM live WHERE current_price > 0 AND market_cap > 0 AND total_volume >= 0 GROUP BY ALL),
+        w AS (SELECT *, avg(current_volume) OVER (PARTITION BY coin_id ORDER BY date
+                        RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND INTERVAL 1 DAY PRECEDING) AS normal FROM d)
+        SELECT coin_id, symbol, name, date, current_volume, round(normal, 6) AS normal_volume,
+               round(current_volume / normal * 100, 6) AS volume_spike_pct,
+               CASE WHEN o <> 0 THEN (close_price - o) / o * 100 END AS return_pct_day, close_price
+        FROM w, clock WHERE current_volume / normal * 100 > 200 AND CAST(date AS TIMESTAMP) + INTERVAL 1441 MINUTES <= t""",
+    "stream_unique": """
+        SELECT coin_id, CAST(crawl_ts AS DATE) AS date, count(DISTINCT crawl_ts) AS ticks FROM live GROUP BY ALL""",
     "whale_detection": """
         SELECT coin_id, symbol, name, date, volume_sum_day AS current_volume, round(normal_volume, 6) AS normal_volume,
                round(spike, 6) AS volume_spike_pct, return_pct_day, close_price FROM whales""",

@@ -10,11 +10,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def ticks(spark: SparkSession, folder: str, truncate: bool = True) -> DataFrame:
-    """``events`` as raw ticks. With ``truncate`` the crawl time is cut to the hour, which yields
+def event_ticks(events: DataFrame, truncate: bool = True) -> DataFrame:
+    """Rows of ``events`` as raw ticks. With ``truncate`` the crawl time is cut to the hour, which yields
     several copies per coin and crawl time; without it every tick has its own time (live feed)."""
     crawl_ts = "CAST(date_trunc('hour', ts) AS TIMESTAMP_NTZ)" if truncate else "ts"
-    base = table(spark, folder, "events").selectExpr(
+    base = events.selectExpr(
         "event_id", "ts", "event_type", "value", "CAST(user_id % 20 AS INT) AS k",
         "CAST(regexp_extract(props, '[0-9]+', 0) AS INT) AS jk")
     return base.selectExpr(
@@ -29,6 +29,10 @@ def ticks(spark: SparkSession, folder: str, truncate: bool = True) -> DataFrame:
         "CAST((event_id * 53) % 551 - 250 AS DOUBLE) / 10 AS price_change_percentage_7d")
 
 
+def ticks(spark: SparkSession, folder: str, truncate: bool = True) -> DataFrame:
+    return event_ticks(table(spark, folder, "events"), truncate)
+
+
 def live_ticks(spark: SparkSession, folder: str) -> DataFrame:
     return ticks(spark, folder, truncate=False)
 

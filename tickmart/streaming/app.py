@@ -11,12 +11,13 @@ from tickmart.streaming.feeds import StreamSink, start
 
 #: Output name -> (transformation of the messages, output mode, key of the JSON form).
 OUTPUTS = {
-    "clean": (lambda m: stages.clean_messages(stages.parse_ticks(m)), "append", None),
+    "clean": (lambda m: stages.clean_messages(stages.unique_ticks(stages.parse_ticks(m))), "append", None),
     "rejects": (stages.rejected_messages, "append", None),
-    "alerts": (lambda m: stages.alert_stream(stages.parse_ticks(m)), "append", "coin_id"),
+    "alerts": (lambda m: stages.alert_stream(stages.unique_ticks(stages.parse_ticks(m))), "append", "coin_id"),
     "sentiment": (lambda m: stages.sentiment_stream(stages.parse_ticks(m)), "update", "window_start"),
     "latest_prices": (lambda m: stages.latest_price_stream(stages.parse_ticks(m)), "update", "coin_id"),
     "monitor": (lambda m: stages.monitor_rows(stages.parse_ticks(m)), "append", None),
+    "whale_days": (lambda m: stages.whale_day_stream(stages.parse_ticks(m)), "append", "coin_id"),
     "whale": (None, "append", "coin_id"),  # needs the stored baseline, see run_outputs
 }
 LANDING_TRIGGER = {"processingTime": "1 minute"}

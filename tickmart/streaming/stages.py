@@ -12,8 +12,11 @@ from tickmart.operators.alerts import as_keyed_json, valid_alerts, valid_sentime
 from tickmart.operators.sentiment import latest_prices_1m, sentiment_1m
 from tickmart.schemas import ALERT_DDL, SENTIMENT_DDL
 from tickmart.sources.raw import routed
+from tickmart.streaming import volume_state
 
 LATENESS = "1 minute"
+#: How far apart, in event time, copies of a message may come and still be told from a new one.
+REPEATS_WITHIN = "1 day"
 
 # Fields of the stream and their types.
 STREAM_COLUMNS = {
@@ -39,6 +42,20 @@ def watermarked(ticks: DataFrame) -> DataFrame:
     return ticks.withWatermark("crawl_ts", LATENESS)
 
 
+def unique_ticks(ticks: DataFrame, within: str = REPEATS_WITHIN) -> DataFrame:
+    """The first arrival of every coin and crawl time.
+
+    A key is remembered for ``within`` of event time after it was seen, so the state holds that much of the feed and
+    no more. A message that comes later than that behind the newest one is dropped as late; the landing folders
+    have it, and the batch jobs take it from there. Ticks without event time can't be told apart and all pass.
+    """
+    timed, untimed = ticks.where("crawl_ts IS NOT NULL"), ticks.where("crawl_ts IS NULL")
+    keys = ["coin_id", "crawl_ts"]
+    if not ticks.isStreaming:
+        return timed.dropDuplicates(keys).unionByName(untimed)
+    return timed.withWatermark("crawl_ts", within).dropDuplicatesWithinWatermark(keys).unionByName(untimed)
+
+
 def clean_messages(ticks: DataFrame) -> DataFrame:
     return as_keyed_json(clean.validate(ticks), "coin_id")
 
@@ -68,8 +85,13 @@ def latest_price_stream(ticks: DataFrame) -> DataFrame:
     return latest_prices_1m(watermarked(ticks))
 
 
+def whale_day_stream(ticks: DataFrame) -> DataFrame:
+    """Volume spikes of closed days, judged by the days before as the stream itself has seen them."""
+    return volume_state.whale_days(clean.validate(ticks), LATENESS)
+
+
 def whale_stream(ticks: DataFrame, baseline: DataFrame, ratio: float = WHALE_RATIO) -> DataFrame:
-    """Ticks whose volume exceeds ``ratio`` x the coin's usual volume.
+    """Ticks whose volume exceeds ``ratio`` x the coin's usual volume, at once and tick by tick.
 
     ``baseline`` is a stored table with one row per coin (``coin_id, normal_volume``).
     """
