@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tickmart import cli
 from tickmart.operators import clean, rollup, serving
 from tickmart.plans import jobs
+from tickmart.sinks import state
 from tickmart.sinks.state import load_mark, save_mark
 from tickmart.sinks.stores import DocumentStore, document_sink, parquet_sink
 from tickmart.sources import metric_tables
@@ -50,9 +51,26 @@ def clean_rows(spark, layout):
 def test_marks(spark, tmp_path):
     path = str(tmp_path / "m")
     assert load_mark(spark, path) is None
-    for v in ("a", "b", dt.date(2024, 1, 2)):
+    for v in ("a", "b", "", dt.date(2024, 1, 2)):
         save_mark(spark, path, v)
     assert load_mark(spark, path) == "2024-01-02"
+    assert len([f for f in (tmp_path / "m").iterdir() if not f.name.startswith(".")]) == 2
+    (tmp_path / "m" / "_unfinished").write_text("half")
+    assert load_mark(spark, path) == "2024-01-02"
+
+
+def test_small_state_tables_are_folded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(state, "FOLD_AT", 4)
+    path, ddl = str(tmp_path / "t"), "run bigint, day date, hour int"
+    assert state.read_rows(spark, path, ddl).count() == 0
+    for n in range(11):
+        state.append_rows(spark, path, [(n, dt.date(2024, 1, 1), None), (0, dt.date(2024, 1, 2), 3)], ddl)
+    names = sorted(f.name for f in (tmp_path / "t").iterdir() if f.name[0].isdigit())
+    assert len(names) <= 4 and names[0].endswith(".all")
+    want = [(0, dt.date(2024, 1, 2), 3), *((n, dt.date(2024, 1, 1), None) for n in range(11))]
+    assert sorted((tuple(r) for r in state.read_rows(spark, path, ddl).collect()), key=str) == sorted(want, key=str)
+    (tmp_path / "t" / "000000000000").write_text(json.dumps({"run": 99}))  # left by a fold that died before removing
+    assert state.read_rows(spark, path, ddl).where("run = 99").isEmpty()
 
 
 def test_half_written_hour_is_completed(spark, layout):
@@ -161,11 +179,11 @@ def serving_rows(spark, layout):
 @pytest.mark.parametrize("order", [(0, 1, 2), (2, 0, 1)])
 def test_any_arrival_order_equals_one_full_run(spark, tmp_path, order):
     """Over a month and year boundary, in three steps and at once; and running again changes nothing."""
-    ticks = days_of_ticks(dt.datetime(2024, 12, 25), 12)
+    ticks = days_of_ticks(dt.datetime(2024, 12, 29), 5)
     for i, t in enumerate(ticks):
         t["price_change_percentage_1h"], t["total_volume"] = (i % 5) * 3, 5 + 400 * (i % 17 == 0)
     split, whole = jobs.Layout(str(tmp_path / "split")), jobs.Layout(str(tmp_path / "whole"))
-    cuts = [(0, 21), (21, 45), (45, 72)]
+    cuts = [(0, 9), (9, 20), (20, 30)]
     for i in order:
         land(split, ticks[slice(*cuts[i])], f"p{i}")
         jobs.clean_job(spark, split)
@@ -173,8 +191,8 @@ def test_any_arrival_order_equals_one_full_run(spark, tmp_path, order):
         jobs.serve_job(spark, split)
     land(whole, ticks, "all")
     jobs.clean_job(spark, whole)
-    assert jobs.aggregate_job(spark, whole) == (dt.date(2024, 12, 25), dt.date(2025, 1, 5))
-    assert jobs.serve_job(spark, whole) == (dt.date(2024, 12, 25), dt.date(2025, 1, 5))
+    assert jobs.aggregate_job(spark, whole) == (dt.date(2024, 12, 29), dt.date(2025, 1, 2))
+    assert jobs.serve_job(spark, whole) == (dt.date(2024, 12, 29), dt.date(2025, 1, 2))
     assert tables(spark, split) == tables(spark, whole)
     assert serving_rows(spark, split) == serving_rows(spark, whole)
     direct = rollup.daily_metrics(spark.read.parquet(whole.clean))
@@ -186,6 +204,51 @@ def test_any_arrival_order_equals_one_full_run(spark, tmp_path, order):
     assert tables(spark, whole) == tables(spark, split)
 
 
+def test_a_late_tick_reads_its_hour_only(spark, layout, monkeypatch):
+    """Of the clean table just the late tick's hour is opened; the day follows from the states of its hours."""
+    land(layout, days_of_ticks(dt.datetime(2024, 1, 1), 3), "one")
+    jobs.clean_job(spark, layout)
+    jobs.aggregate_job(spark, layout)
+    land(layout, [tick("a", "2024-01-02T09:30:00", 99.0)], "late")
+    jobs.clean_job(spark, layout)
+    opened = []
+
+    def spy(spark, path, folders, schema, fmt, real=jobs.read_folders):
+        opened.append((path, list(folders)))
+        return real(spark, path, folders, schema, fmt)
+
+    monkeypatch.setattr(jobs, "read_folders", spy)
+    jobs.aggregate_job(spark, layout)
+    day = [f"date=2024-01-02/hour={h}" for h in (1, 9, 20)]
+    assert opened == [(layout.clean, day[1:2]), (layout.metrics("hour_states"), day)]
+    direct = rollup.daily_metrics(spark.read.parquet(layout.clean))
+    assert tables(spark, layout)["daily_metrics"] == rows(direct, *sorted(direct.columns))
+
+
+def test_states_are_made_up_for_days_without_any(spark, layout):
+    """An installation from before there were states: the first touched hour brings those of its day."""
+    land(layout, days_of_ticks(dt.datetime(2024, 1, 1), 2), "one")
+    jobs.clean_job(spark, layout)
+    jobs.aggregate_job(spark, layout)
+    jobs.remove_folder(spark, layout.metrics("hour_states"))
+    land(layout, [tick("a", "2024-01-01T09:30:00", 99.0)], "late")
+    jobs.clean_job(spark, layout)
+    jobs.aggregate_job(spark, layout)
+    direct = rollup.daily_metrics(spark.read.parquet(layout.clean))
+    assert tables(spark, layout)["daily_metrics"] == rows(direct, *sorted(direct.columns))
+
+
+def test_counters_come_with_the_one_write(spark, layout, monkeypatch):
+    """The increment is neither kept nor computed twice for its counters."""
+    land(layout, days_of_ticks(dt.datetime(2024, 1, 1), 2), "one")
+    collapsed, actions = [], []
+    monkeypatch.setattr(jobs.clean, "collapsed", lambda df, real=clean.collapsed: collapsed.append(1) or real(df))
+    monkeypatch.setattr(type(spark.range(1)), "persist", lambda *a, **k: actions.append("persist"))
+    got = jobs.clean_job(spark, layout, at("2024-01-02T12:00:00"))
+    assert got == {"raw": 10, "duplicates": 0, "invalid": 0, "clean": 10, "quality_pct": 100.0, "partitions": 5}
+    assert collapsed == [1] and actions == []
+
+
 def test_newest_period_reads_one_folder(spark, layout):
     land(layout, days_of_ticks(dt.datetime(2024, 9, 28), 14), "one")
     jobs.clean_job(spark, layout)

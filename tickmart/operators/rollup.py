@@ -41,6 +41,44 @@ def daily_ohlc(clean: DataFrame, order: str = "crawl_ts") -> DataFrame:
     )
 
 
+#: What a state keeps of each tick column: its value and time at the first and last tick that has one.
+STATE_ENDS = {"open": ("current_price", min), "close": ("current_price", max), "volume": ("total_volume", max),
+              "cap": ("market_cap", max), "rank": ("market_cap_rank", max)}
+
+
+def _end(value: str, order: str, side) -> Column:
+    return first_by(value, order) if side is min else last_by(value, order)
+
+
+def tick_states(clean: DataFrame, period: Sequence[str], order: str = "crawl_ts") -> DataFrame:
+    """Partial coin-period aggregates that ``merged_states`` can put together to longer periods.
+
+    Each first or last value goes with its time, all fixed-width, so this and every merge stay hash aggregates.
+    """
+    ends = []
+    for name, (value, side) in STATE_ENDS.items():
+        pick = "min" if side is min else "max"
+        ends += [F.expr(f"{pick}({order}) FILTER (WHERE {value} IS NOT NULL)").alias(f"{name}_at"), _end(value, order, side).alias(name)]
+    return clean.groupBy(*COIN, *period).agg(*ends, F.max("current_price").alias("high"), F.min("current_price").alias("low"),
+                                             F.count("*").alias("records"))
+
+
+def merged_states(states: DataFrame, period: Sequence[str]) -> DataFrame:
+    """States of a coarser period. In whatever order and grouping states are merged, the result is the same."""
+    ends = []
+    for name, (_, side) in STATE_ENDS.items():
+        ends += [(F.min if side is min else F.max)(f"{name}_at").alias(f"{name}_at"), _end(name, f"{name}_at", side).alias(name)]
+    return states.groupBy(*COIN, *period).agg(*ends, F.max("high").alias("high"), F.min("low").alias("low"), F.sum("records").alias("records"))
+
+
+def ohlc_of_states(states: DataFrame) -> DataFrame:
+    """The columns of ``daily_ohlc`` from states of coin-days."""
+    return states.select(
+        *COIN, "date", F.col("open").alias("open_price"), F.col("close").alias("close_price"), F.col("high").alias("high_price"),
+        F.col("low").alias("low_price"), F.col("volume").alias("volume_sum_day"), F.col("cap").alias("market_cap_close"),
+        F.col("rank").alias("market_cap_rank_close"), F.col("records").alias("record_count"))
+
+
 def with_ratios(df: DataFrame, suffix: str, tail: str = "") -> DataFrame:
     o, c, h, low = (F.col(f"{side}_price{tail}") for side in ("open", "close", "high", "low"))
     return df.withColumns({f"return_pct_{suffix}": percent_of(c - o, o),
@@ -62,9 +100,14 @@ def with_price_ranks(daily: DataFrame) -> DataFrame:
 
 
 def daily_metrics(clean: DataFrame, order: str = "crawl_ts") -> DataFrame:
+    return day_metrics(daily_ohlc(clean, order))
+
+
+def day_metrics(ohlc: DataFrame) -> DataFrame:
+    """Coin-days completed with ratios, ranks and calendar columns."""
     parts = calendar_parts("date")
     daily = with_price_ranks(
-        with_ratios(daily_ohlc(clean, order), "day")
+        with_ratios(ohlc, "day")
         .withColumn("price_range_day", F.col("high_price") - F.col("low_price")))
     daily = daily.withColumns({c: parts[c] for c in ("year", "month", "week_of_year", "day_of_week")})
     return daily.select(

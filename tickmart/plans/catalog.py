@@ -250,6 +250,14 @@ def daily_ohlc(f: Feed) -> DataFrame:
     return rollup.daily_ohlc(f.clean)
 
 
+@query
+def merged_states(f: Feed) -> DataFrame:
+    """Daily metrics from stored-form states: hours merged to half days, half days to days."""
+    hours = rollup.tick_states(f.clean, ["date", "hour"])
+    halves = rollup.merged_states(hours.withColumn("half", F.floor(F.col("hour") / 12)), ["date", "half"])
+    return rollup.day_metrics(rollup.ohlc_of_states(rollup.merged_states(halves, ["date"])))
+
+
 @query
 def daily_metrics(f: Feed) -> DataFrame:
     return f.daily

@@ -5,13 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickmart.operators import alerts, clean, export, rollup, serving
 from tickmart.plans import ranges
-from tickmart.schemas import clean_schema
+from tickmart.schemas import HOUR_STATE_DDL, clean_schema
 from tickmart.sinks.state import append_rows, load_mark, read_rows, save_mark
 from tickmart.sinks.stores import TableSink
 from tickmart.sinks.tables import overwrite_partitions
@@ -64,8 +64,8 @@ def from_micros(micros: int) -> dt.datetime:
 
 #: Which hours of event time each landing folder holds; at most one row per folder, hour and run.
 _LEDGER = "dt string, hour timestamp"
-#: Days whose clean ticks changed, by cleaning run.
-_TOUCHED = "run bigint, day date"
+#: Hours whose clean ticks changed, by cleaning run; without an hour the whole day did.
+_TOUCHED = "run bigint, day date, hour int"
 
 
 def _folders(hour: dt.datetime) -> list[str]:
@@ -130,23 +130,25 @@ def _rebuild_hours(spark: SparkSession, layout: Layout, hours: list[dt.datetime]
     folders = sorted({r.dt for r in ledger.join(wanted, "hour", "left_semi").select("dt").distinct().collect()})
     raw = clean.with_event_time(ticks_in_folders(spark, layout.raw, folders)).where("crawl_ts IS NOT NULL")
     raw = raw.withColumn("_hour", F.date_trunc("hour", "crawl_ts")).join(wanted, F.col("_hour") == F.col("hour"), "left_semi").drop("_hour")
+    beyond = Observation()
+    if limit is not None:
+        raw = raw.observe(beyond, F.max("crawl_ts").alias("newest"))
     held = raw if limit is None else raw.where(F.col("crawl_ts") <= F.lit(limit).cast("timestamp"))
-    # Collapsed once, then counted and written.
-    unique = clean.collapsed(held).persist(StorageLevel.DISK_ONLY)
-    try:
-        valid = F.coalesce(clean.is_valid(), F.lit(False))
-        counts = unique.agg(
-            F.sum("copies").alias("raw"), F.count("*").alias("unique"), F.count_if(valid).alias("clean"),
-            F.max(F.unix_micros("crawl_ts")).alias("newest"),
-            F.collect_set(F.when(valid, F.date_trunc("hour", "crawl_ts"))).alias("hours")).first()
-        overwrite_partitions(clean.clean_unique(unique.drop("copies")), layout.clean, ["date", "hour"])
-    finally:
-        unique.unpersist()
+    # One pass: the counters are observed on the rows on their way to the files. They are taken behind the last shuffle, where a task
+    # counts once even if an executor is lost; the newest raw time is a maximum, which a repeated task can't spoil.
+    unique, counted = clean.with_calendar(clean.collapsed(held)), Observation()
+    valid = F.coalesce(clean.is_valid(), F.lit(False))
+    dealt = unique.hint("rebalance", "date", "hour").observe(
+        counted, F.sum("copies").alias("raw"), F.count(F.lit(1)).alias("unique"), F.count_if(valid).alias("clean"),
+        F.max(F.unix_micros("crawl_ts")).alias("newest"),
+        F.collect_set(F.when(valid, F.date_trunc("hour", "crawl_ts"))).alias("hours"))
+    overwrite_partitions(clean.clean_unique(dealt.drop("copies")), layout.clean, ["date", "hour"], dealt=True)
+    counts = counted.get
     for hour in set(hours) - set(counts["hours"]):
         remove_partition(spark, layout.clean, _folders(hour))
-    append_touched(spark, layout, {h.date() for h in hours})
+    append_touched(spark, layout, [(h.date(), h.hour) for h in hours])
     raw_rows, clean_rows = counts["raw"] or 0, counts["clean"]
-    waits = limit is not None and not raw.where(F.col("crawl_ts") > F.lit(limit).cast("timestamp")).isEmpty()
+    waits = limit is not None and beyond.get["newest"] is not None and beyond.get["newest"].replace(tzinfo=None) > limit
     return {"raw": raw_rows, "duplicates": raw_rows - counts["unique"], "invalid": counts["unique"] - clean_rows, "clean": clean_rows,
             "quality_pct": round(clean_rows / raw_rows * 100, 2) if raw_rows else None,
             "partitions": len(counts["hours"])}, (counts["newest"], waits)
@@ -154,19 +156,27 @@ def _rebuild_hours(spark: SparkSession, layout: Layout, hours: list[dt.datetime]
 
 # --- touched days -----------------------------------------------------------------------------
 
-def append_touched(spark: SparkSession, layout: Layout, days: set[dt.date]) -> None:
-    """Note days for the jobs behind the clean table, each of which keeps its own mark."""
+def append_touched(spark: SparkSession, layout: Layout, hours: list[tuple[dt.date, int | None]]) -> None:
+    """Note hours for the jobs behind the clean table, each of which keeps its own mark."""
     last = read_rows(spark, layout.mark("touched"), _TOUCHED).agg(F.max("run")).first()[0]
     run = 0 if last is None else last + 1
-    append_rows(spark, layout.mark("touched"), [(run, d) for d in sorted(days)], _TOUCHED)
+    append_rows(spark, layout.mark("touched"), [(run, d, h) for d, h in sorted(set(hours), key=str)], _TOUCHED)
 
 
-def touched_days(spark: SparkSession, layout: Layout, job: str) -> tuple[list[dt.date], int | None]:
-    """Days touched since the job's last run, and the run to mark when they are done."""
+def touched_hours(spark: SparkSession, layout: Layout, job: str) -> tuple[dict[dt.date, set[int | None]], int | None]:
+    """Days and hours touched since the job's last run, and the run to mark when they are done; bounded by the calendar."""
     mark = load_mark(spark, layout.mark(job))
     rows = read_rows(spark, layout.mark("touched"), _TOUCHED).where(F.col("run") > (int(mark) if mark else -1))
-    found = rows.agg(F.collect_set("day").alias("days"), F.max("run").alias("run")).first()
-    return sorted(found["days"]), found["run"]
+    found = rows.groupBy("day", "hour").agg(F.max("run").alias("run")).collect()
+    days: dict[dt.date, set[int | None]] = {}
+    for r in found:
+        days.setdefault(r.day, set()).add(r.hour)
+    return days, max((r.run for r in found), default=None)
+
+
+def touched_days(spark: SparkSession, layout: Layout, job: str) -> tuple[list[dt.date], int | None]:
+    hours, run = touched_hours(spark, layout, job)
+    return sorted(hours), run
 
 
 # --- aggregation ------------------------------------------------------------------------------
@@ -188,17 +198,35 @@ def _rewrite(spark: SparkSession, df: DataFrame, path: str, keys: list[str], emp
         remove_partition(spark, path, [f"{k}={v}" for k, v in zip(keys, values)])
 
 
+def _refresh_states(spark: SparkSession, layout: Layout, touched: dict[dt.date, set[int | None]]) -> DataFrame:
+    """Hour states of the touched days, of which the touched hours are made anew from their clean ticks; other hours of a day
+    are read from the ticks only if they have no state yet."""
+    path, todo, gone, held = layout.metrics("hour_states"), [], [], []
+    for day, hours in sorted(touched.items()):
+        there = {int(h) for h in partition_values(spark, f"{layout.clean}/date={day}", "hour")}
+        known = {int(h) for h in partition_values(spark, f"{path}/date={day}", "hour")}
+        stale = there if None in hours else (there & hours) | (there - known)
+        todo += [f"date={day}/hour={h}" for h in sorted(stale)]
+        gone += [(day, h) for h in sorted(known - there)]
+        held += [f"date={day}/hour={h}" for h in sorted(there)]
+    ticks = read_folders(spark, layout.clean, todo, clean_schema(), "parquet")
+    _rewrite(spark, rollup.tick_states(ticks, ["date", "hour"]), path, ["date", "hour"], gone)
+    return read_folders(spark, path, held, T.StructType.fromDDL(HOUR_STATE_DDL), "parquet")
+
+
 def aggregate_job(spark: SparkSession, layout: Layout) -> tuple[dt.date, dt.date] | None:
-    """Rebuild the daily, weekly and monthly rows of the days touched since the last run; ``None`` without any.
+    """Bring the daily, weekly and monthly rows up to the hours touched since the last run; ``None`` without any.
 
-    Weeks and months are rebuilt from all of their daily rows, read back from the daily table. Returns the first and
-    last day.
+    Every hour has a stored state per coin. Only touched hours are read again from the clean table; days are
+    merged from the states of their hours, weeks and months from their daily rows. Returns the first and last day.
     """
-    touched, run = touched_days(spark, layout, "aggregate")
-    if not touched:
+    hours, run = touched_hours(spark, layout, "aggregate")
+    if not hours:
         return None
+    touched = sorted(hours)
     existing = {dt.date.fromisoformat(d) for d in partition_values(spark, layout.clean, "date")}
-    daily = rollup.daily_metrics(clean_days(spark, layout, touched)).withColumn("day", F.dayofmonth("date"))
+    states = rollup.merged_states(_refresh_states(spark, layout, hours), ["date"])
+    daily = rollup.day_metrics(rollup.ohlc_of_states(states)).withColumn("day", F.dayofmonth("date"))
     _rewrite(spark, daily, layout.metrics("daily_metrics"), ["year", "month", "day"],
              [(d.year, d.month, d.day) for d in touched if d not in existing])
 
@@ -314,4 +342,4 @@ def reset_job(spark: SparkSession, layout: Layout, date: dt.date = RESET_DATE) -
     """Make the jobs do everything from the given day again: cleaning by its ledger, the others by the clean table."""
     save_mark(spark, layout.mark("redo"), date)
     days = {dt.date.fromisoformat(d) for d in partition_values(spark, layout.clean, "date")}
-    append_touched(spark, layout, {d for d in days if d >= date})
+    append_touched(spark, layout, [(d, None) for d in days if d >= date])

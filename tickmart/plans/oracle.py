@@ -309,6 +309,7 @@ SQL = {
     # rollups
     "daily_ohlc": "SELECT * FROM ohlc",
     "daily_metrics": "SELECT * FROM daily",
+    "merged_states": "SELECT * FROM daily",
     "daily_ranks": """
         SELECT coin_id, date, open_price, close_price, rank_open, rank_close, rank_change FROM daily""",
     "day_sequence": """

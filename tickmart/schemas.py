@@ -91,6 +91,14 @@ DAILY_DDL = """
 """
 
 
+#: Partial aggregates of one coin and hour.
+HOUR_STATE_DDL = """
+    coin_id string, symbol string, name string, open_at timestamp, open double, close_at timestamp, close double,
+    volume_at timestamp, volume bigint, cap_at timestamp, cap bigint, rank_at timestamp, rank int,
+    high double, low double, records bigint, date date, hour int
+"""
+
+
 def period_ddl(suffix: str, part: str) -> str:
     prices = ", ".join(f"{side}_price_{suffix} double" for side in ("open", "close", "high", "low"))
     return f"""

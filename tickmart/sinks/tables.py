@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
-def overwrite_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> None:
+def overwrite_partitions(df: DataFrame, path: str, keys: Sequence[str], dealt: bool = False) -> None:
     """Replace exactly the partitions that occur in ``df``; the others stay as they are.
 
     The rebalance step gathers each partition's rows into few files, and splits a partition that is
-    much larger than the rest over several tasks.
+    much larger than the rest over several tasks. A frame that is ``dealt`` has had that step.
     """
-    (df.hint("rebalance", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    ((df if dealt else df.hint("rebalance", *keys)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*keys).parquet(path))

@@ -12,19 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """Hadoop file system of a path, and the path as that takes it."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, folder = _file_system(spark, path)
+    fs, folder = file_system(spark, path)
     return fs.exists(folder)
 
 
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """Values of the outermost partition column, read off the folder names."""
-    fs, folder = _file_system(spark, path)
+    fs, folder = file_system(spark, path)
     if not fs.exists(folder):
         return []
     names = (status.getPath().getName() for status in fs.listStatus(folder))
@@ -33,7 +34,7 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
 
 def remove_folder(spark: SparkSession, path: str) -> bool:
     """Remove one folder with its files; false where there is none."""
-    fs, folder = _file_system(spark, path)
+    fs, folder = file_system(spark, path)
     return fs.delete(folder, True)
 
 
