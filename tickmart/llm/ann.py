@@ -159,6 +159,18 @@ def fewest_copies(ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, n
     return ids[keep], x[keep]
 
 
+def _ranked(row: np.ndarray, col: np.ndarray, x: np.ndarray, q: np.ndarray, places: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Exact scores and places of the ``k`` best of each query's offered ``(row, col)`` pairs, ties to the smaller place."""
+    exact = np.concatenate([exact_scores(x[col[a:a + 65536]], q[row[a:a + 65536]]) for a in range(0, len(row), 65536)] or [np.zeros(0)])
+    order = np.lexsort((places[col], -exact, row))
+    row, col, exact = row[order], col[order], exact[order]
+    nth = np.arange(len(row)) - np.searchsorted(row, row)
+    score, place = np.full((len(q), k), -np.inf), np.full((len(q), k), np.iinfo(np.int64).max)
+    top = nth < k
+    score[row[top], nth[top]], place[row[top], nth[top]] = exact[top], places[col[top]]
+    return score, place
+
+
 def search_block(projection: Projection, ids: np.ndarray, x: np.ndarray, names: np.ndarray, q: np.ndarray, known: np.ndarray,
                  k: int, cut: float, leaf: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Best neighbours of the queries ``(names, q)`` among the rows ``(ids, x)``: names, ids and scores.
@@ -183,13 +195,15 @@ def search_block(projection: Projection, ids: np.ndarray, x: np.ndarray, names:
             rows, asking = tree.leaves[leaf_no], live[at == leaf_no]
             scores = q[asking] @ x[rows].T
             scores[names[asking][:, None] == ids[rows][None, :]] = -np.inf
-            better = scores.max(axis=1) >= np.maximum(best.score[asking, -1], known[asking]) - 1e-9
-            asking, scores = asking[better], scores[better]
+            # A matrix product may differ in its last bits from the sum that counts; both are far below this share of the norms.
+            slack = 1e-12 * projection.most * np.sqrt((q[asking] ** 2).sum(axis=1))
+            bound = np.maximum(best.score[asking, -1], known[asking]) - slack
+            better = scores.max(axis=1) >= bound
+            asking, scores, bound, slack = asking[better], scores[better], bound[better], slack[better]
             if len(asking):
-                wide = min(len(rows), 2 * k + 8)
-                top = np.argpartition(-scores, wide - 1, axis=1)[:, :wide]
-                # Equal vectors may differ in the last bits of a matrix product.
-                best.offer(asking, np.round(np.take_along_axis(scores, top, 1), 13), rows[top])
+                if len(rows) > k:
+                    bound = np.maximum(bound, np.partition(scores, -k, axis=1)[:, -k] - slack)
+                best.offer(asking, *_ranked(*np.nonzero((scores >= bound[:, None]) & (scores > -np.inf)), x[rows], q[asking], rows, k))
     row, col = np.nonzero(np.isfinite(best.score))
     place = best.place[row, col]
     return names[row], ids[place], exact_scores(x[place], q[row])

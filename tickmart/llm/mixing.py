@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickmart.llm.copies import numbered
 from tickmart.llm.scratch import stored
 
 WEIGHTS = (5, 2, 1)
@@ -62,14 +63,21 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     return places.withColumn("target", F.least(target, cap.cast("double"))).select("source", "source_size", "target", rate.alias("rate"))
 
 
-def draw(seed: int, key: str = "doc_id") -> Column:
-    """A number from 0 to 1 (excluded) that only the seed and the document's id decide."""
-    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit("")))), 1, 13)
+def row_key() -> Column:
+    """What a row's draw goes by: its id, source and text."""
+    parts = F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.md5("source"), F.lit("")), F.md5(F.coalesce("text", F.lit("")))
+    return F.md5(F.concat_ws(":", *parts))
+
+
+def draw(seed: int) -> Column:
+    """A number from 0 to 1 (excluded) that only the seed, the row's key and its number among equal rows decide."""
+    digits = F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), "key", F.col("copy").cast("string"))), 1, 13)
     return F.conv(digits, 16, 10).cast("long") / F.lit(float(2**52))
 
 
 def with_copies(rows: DataFrame, rates: DataFrame, seed: int, limit: int = BROADCAST_SOURCES) -> DataFrame:
-    """Rows with their source's columns and ``copies``: floor(rate), and one more with the fraction as probability.
+    """Rows ``(key, copy, source, ...)`` with their source's columns and ``copies``: floor(rate), and one more with the fraction as
+    probability.
 
     A large source is no hot key: its rates are broadcast while they are few, and else Spark splits the join.
     """
@@ -84,17 +92,21 @@ def mixture(docs: DataFrame, seed: int = 9, **settings) -> DataFrame:
     """What the mix takes of each document: ``doc_id, source, size, source_size, target, rate, copies, taken``.
 
     ``size`` is the document's words, ``taken`` its words times its copies. Null and blank texts have size 0. A null
-    source is a source of its own, placed last. Rows that share a doc_id share its draw. Other columns are ignored.
-    An empty table gives an empty result. The same rows and seed give the same mix.
+    source is a source of its own, placed last. A row draws by its id, source and text; rows alike in
+    these, and rows without id, draw one by one. Other columns are ignored. An empty table gives an empty result. The same rows and seed
+    give the same mix.
     """
-    sized = stored(docs.select("doc_id", "source", word_count().alias("size")), "sizes")
-    out = with_copies(sized, source_targets(sized, **settings), seed)
+    sized = stored(docs.select("doc_id", "source", word_count().alias("size"), row_key().alias("key")), "sizes")
+    out = with_copies(numbered(sized, "key"), source_targets(sized, **settings), seed)
     return out.select("doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mixed(docs: DataFrame, seed: int = 9, **settings) -> DataFrame:
-    """The mixed corpus itself: every row as often as its source's rate says, with the columns of ``docs``."""
+    """The mixed corpus itself: every row as often as its source's rate says, with the columns of ``docs``.
+
+    Of rows alike in id, source and text, their order in the input decides which gets a further copy.
+    """
     rates = source_targets(docs.select("source", word_count().alias("size")), **settings)
-    few = docs.select(F.struct(*docs.columns).alias("doc"), "source", "doc_id")
+    few = numbered(docs.select(F.struct(*docs.columns).alias("doc"), "source", row_key().alias("key")), "key")
     copied = with_copies(few, rates, seed).select("doc", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
     return copied.select("doc.*")

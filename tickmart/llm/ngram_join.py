@@ -11,11 +11,13 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickmart.llm.components import components
 from tickmart.llm.packed import pack_texts, unpack_batches
@@ -263,39 +265,41 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[dic
 
 
 def _wanted_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """``(sid, pieces, piece, shingles)`` of the wanted ``(doc_id, sid, pieces)``; texts travel compressed."""
+    """``(sid, pieces, piece, shingles)`` of the wanted ``(doc_id, sid, pieces)``; texts travel compressed.
+
+    A class none of whose rows has an id is found by the key of its set, among the rows without id.
+    """
     packed = pack_texts(docs.where("doc_id IS NOT NULL"))
     kind = "sid binary, pieces int, piece int, shingles binary"
 
+    def split(out: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*out)) or [()] * 4
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.binary(), pa.int32(), pa.int32(), pa.binary()))],
+                                          names=["sid", "pieces", "piece", "shingles"])
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, sids, pieces, texts in unpack_batches(batches, 3):
-            out = [(sid, n, p, part.tobytes()) for sid, n, s in zip(sids, pieces, shingle_sets(texts, width)) if set_key(s) == sid
-                   for p, part in enumerate(hash_ranges(s, n))]
-            columns = list(zip(*out)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.binary(), pa.int32(), pa.int32(), pa.binary()))],
-                                             names=["sid", "pieces", "piece", "shingles"])
+            yield split([(sid, n, p, part.tobytes()) for sid, n, s in zip(sids, pieces, shingle_sets(texts, width)) if set_key(s) == sid
+                         for p, part in enumerate(hash_ranges(s, n))])
 
-    return packed.join(wanted.hint("merge"), "doc_id").select("doc_id", "sid", "pieces", "packed").mapInArrow(rows, kind)
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for s in shingle_sets(batch.column(0), width):
+                yield split([(set_key(s), 1, 0, s.tobytes())] if len(s) else [])
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for sid, n, s in zip(*(c.to_pylist() for c in batch.columns)):
+                yield split([(sid, n, p, part.tobytes()) for p, part in enumerate(hash_ranges(np.frombuffer(s, np.uint64), n))])
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, tolerance: float = TOLERANCE,
-                    block: int = BLOCK, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """Groups of documents whose Jaccard similarity of word shingles reaches ``threshold``.
+    named = packed.join(wanted.where("doc_id IS NOT NULL").hint("merge"), "doc_id").select("doc_id", "sid", "pieces", "packed").mapInArrow(rows, kind)
+    loose = docs.where("doc_id IS NULL").select("text").mapInArrow(keyed, kind).select("sid", "shingles").dropDuplicates(["sid"])
+    loose = loose.join(wanted.where("doc_id IS NULL").select("sid", "pieces"), "sid").select("sid", "pieces", "shingles").mapInArrow(cut, kind)
+    return named.unionByName(loose)
 
-    One row per input row: ``doc_id``; ``class_id``, the smallest doc_id of the group that links connect;
-    ``copy_of``, the smallest doc_id with the same shingles; ``n_links``, the number of other documents at or
-    above the threshold, copies counted one by one; ``n_shingles``.
 
-    Words are split at ASCII blanks and compared as they are; a text of one to four words is one shingle.
-    Null and blank texts have no shingles and no links: class_id and copy_of are their own doc_id. Repeated
-    rows are copies of each other. Rows without doc_id keep null as their id and link like others where a
-    numbered copy exists, else not. Other columns are ignored. An empty table gives an empty result.
-
-    128 hashes in 32 bands miss a pair at exactly 0.8 with probability 5e-8, the pruning at most about
-    as rarely per look. Pairs are decided inside the tasks, and only counts and spanning stars leave them, so a
-    group of thousands of variants does not become millions of rows. A task compares two blocks of at most about
-    ``block`` members; where their sets have more than ``range_bytes``, range by range of the hashes.
-    """
+def _judged(docs: DataFrame, threshold: float, width: int, tolerance: float, block: int, range_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """Every row with the key of its shingle set, and every set's ``sid, copy_of, n_links, root``; groups share a root."""
     base = stored(signed(docs, width), "signatures")
     classes = base.where("sid IS NOT NULL").groupBy("sid").agg(
         F.count("*").alias("copies"), F.min("doc_id").alias("copy_of"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles"))
@@ -309,7 +313,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, width: int =
 
     finest = members.groupBy("sid").agg(F.max("ranges").alias("pieces"))
     wanted = classes.join(finest, "sid").select(F.col("copy_of").alias("doc_id"), "sid", "pieces")
-    sets = _wanted_sets(docs, wanted.where("doc_id IS NOT NULL"), width).dropDuplicates(["sid", "piece"])
+    sets = _wanted_sets(docs, wanted, width).dropDuplicates(["sid", "piece"])
     facts = sets.join(classes.select("sid", "copies", "sig", "n_shingles"), "sid")
 
     mine = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
@@ -327,6 +331,28 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, width: int =
             .join(roots.withColumnRenamed("node", "sid"), "sid", "left")
             .select("sid", "copy_of", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
                     F.coalesce("root", "sid").alias("root")))
+    return base, each
+
+
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, tolerance: float = TOLERANCE,
+                    block: int = BLOCK, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Groups of documents whose Jaccard similarity of word shingles reaches ``threshold``.
+
+    One row per input row: ``doc_id``; ``class_id``, the smallest doc_id of the group that links connect;
+    ``copy_of``, the smallest doc_id with the same shingles; ``n_links``, the number of other documents at or
+    above the threshold, copies counted one by one; ``n_shingles``.
+
+    Words are split at ASCII blanks and compared as they are; a text of one to four words is one shingle.
+    Null and blank texts have no shingles and no links: class_id and copy_of are their own doc_id. Repeated
+    rows are copies of each other. Rows without doc_id keep null as their id and link like others; a group none of
+    whose rows has an id has none either. Other columns are ignored. An empty table gives an empty result.
+
+    128 hashes in 32 bands miss a pair at exactly 0.8 with probability 5e-8, the pruning at most about
+    as rarely per look. Pairs are decided inside the tasks, and only counts and spanning stars leave them, so a
+    group of thousands of variants does not become millions of rows. A task compares two blocks of at most about
+    ``block`` members; where their sets have more than ``range_bytes``, range by range of the hashes.
+    """
+    base, each = _judged(docs, threshold, width, tolerance, block, range_bytes)
     tops = each.groupBy("root").agg(F.min("copy_of").alias("class_id"))
     named = each.join(tops, "root").drop("root")
     return (base.drop("sig").join(named, "sid", "left")
@@ -334,17 +360,48 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, width: int =
                     F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "n_shingles"))
 
 
-def one_of_each_group(docs: DataFrame, **settings) -> DataFrame:
-    """The documents with one of each near-duplicate group, the one with the smallest doc_id.
+def _set_keys(rows: DataFrame, width: int) -> DataFrame:
+    """``row`` and ``sid`` of ``(row, text)``; no key for a text without words."""
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [set_key(s) if len(s) else b"" for s in shingle_sets(batch.column(1), width)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary())], names=["row", "sid"])
+
+    schema = T.StructType([rows.schema["row"], T.StructField("sid", T.BinaryType())])
+    return rows.mapInArrow(keyed, schema)
+
+
+def one_of_each_group(docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, tolerance: float = TOLERANCE,
+                      block: int = BLOCK, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """The documents with one row of each near-duplicate group, of the smallest doc_id, and all columns.
 
-    All columns stay. Of rows that share the chosen doc_id one stays, the one with the smallest text. Rows without
-    doc_id stay. The other columns must have an order.
+    Rows are judged by their own texts: of two texts that share a doc_id each stays or goes with its group, and if one
+    group has both, the one with the smaller shingle key counts. Of rows alike in doc_id and shingles the one with the smallest
+    text stays (of equal texts, that with the smallest JSON form of the other columns). A group without any id keeps one row
+    too. Texts without words have no group: they stay, one of each doc_id, and all of those without doc_id. An
+    empty table stays empty.
     """
-    judged = near_duplicates(docs, **settings).select("doc_id", "class_id")
-    keep = judged.where("doc_id = class_id").select("doc_id").distinct()
-    named = docs.join(keep, "doc_id", "left_semi")
-    rest = [c for c in docs.columns if c != "doc_id"]
-    picked = named.groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in rest if c != "text"])).alias("row"))
-    single = picked.select("doc_id", *[F.col("row")[c].alias(c) for c in rest]).select(*docs.columns)
-    lost = docs.where("doc_id IS NULL")
-    return single.unionByName(lost)
+    base, each = _judged(docs, threshold, width, tolerance, block, range_bytes)
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    order = F.struct(F.coalesce("row.text", F.lit("")), F.to_json(F.struct(F.lit(0), *[F.col("row")[c] for c in rest])))
+
+    def one(rows: DataFrame, *by: str) -> DataFrame:
+        return rows.groupBy(*by).agg(F.min_by("row", order).alias("row")).select("row.*")
+
+    first = F.min(F.struct(F.col("copy_of").isNull().alias("loose"), F.col("copy_of").alias("doc_id"), "sid"))
+    groups = each.groupBy("root").agg(first.alias("first")).select("first.doc_id", "first.sid")
+    blank = base.where("sid IS NULL").select("doc_id", F.lit(b"").alias("sid"))
+    chosen = stored(groups.unionByName(blank).distinct(), "chosen")
+    sid = F.coalesce("sid", F.lit(b""))
+    several = base.where("doc_id IS NOT NULL").groupBy("doc_id").agg((F.min(sid) != F.max(sid)).alias("several")).where("several").select("doc_id")
+    several = stored(several, "several")
+
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    numbered = rows.where("doc_id IS NOT NULL").drop("text")
+    plain = numbered.join(chosen.select("doc_id").distinct(), "doc_id", "left_semi").join(several, "doc_id", "left_anti")
+    apart = _set_keys(rows.join(several, "doc_id", "left_semi").select("row", "text"), width).withColumn("doc_id", F.col("row.doc_id"))
+    loose = _set_keys(rows.where("doc_id IS NULL").select("row", "text"), width)
+    unnamed = chosen.where("doc_id IS NULL AND sid <> X''").select("sid")
+    kept = [one(plain, "doc_id"), one(apart.join(chosen, ["doc_id", "sid"], "left_semi"), "doc_id", "sid"),
+            one(loose.join(unnamed, "sid", "left_semi"), "sid"), loose.where("sid = X''").select("row.*")]
+    return reduce(DataFrame.unionByName, kept).select(*docs.columns)

@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickmart.llm.copies import numbered
 from tickmart.llm.mixing import word_count
 from tickmart.llm.scratch import stored
 
@@ -64,13 +65,15 @@ def packed_batches(docs: DataFrame, buckets: int = BUCKETS, token_budget: int =
     histogram of all documents places the edges with the least padding. A batch holds documents of one bucket, as
     many as fit the token budget at that length; a document longer than the budget has a batch of its own. Documents
     of a bucket are dealt by hash into runs of about ``run``, and each run is cut into batches, so no bucket is
-    gathered in one task. ``slot`` counts from 0 inside a batch.
+    gathered in one task; rows alike in id and length are dealt by their number among these. ``slot`` counts from 0 inside a batch.
 
     Null and blank texts have length 0 and take a place in the smallest bucket they fit. Repeated rows are packed one
     by one. Rows without doc_id are packed like others. Other columns are ignored. An empty table gives an empty
     result.
     """
-    sized = stored(docs.select("doc_id", word_count().alias("length")), "lengths")
+    known_as = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("length").cast("string"))
+    sized = docs.select("doc_id", word_count().alias("length")).withColumn("key", known_as)
+    sized = stored(numbered(stored(sized, "lengths"), "key").drop("key"), "numbered-lengths")
     top = F.max(F.greatest("length", F.lit(1))).cast("long").alias("top")
     cells = sized.withColumn("cell", cell_of("length")).groupBy("cell").agg(F.count("*").alias("n"), top).orderBy("cell").collect()
     edges = best_edges(np.array([c.top for c in cells], np.int64), np.array([c.n for c in cells], np.int64), buckets)
@@ -79,9 +82,9 @@ def packed_batches(docs: DataFrame, buckets: int = BUCKETS, token_budget: int =
         held[int(np.searchsorted(edges, c.top))] += c.n
     known = [(e, int(-(-h // run)), max(1, token_budget // e)) for e, h in zip(edges, held)] or [(1, 1, 1)]
     pick = lambda k: F.coalesce(*[F.when(F.col("length") <= e[0], F.lit(e[k]).cast("long")) for e in known])
-    placed = (sized.select("doc_id", "length", pick(0).alias("bucket"), pick(1).alias("runs"), pick(2).alias("places"))
-              .withColumn("run", F.pmod(F.xxhash64("doc_id", "length"), F.col("runs"))))
-    seat = F.row_number().over(Window.partitionBy("bucket", "run").orderBy("doc_id", "length")) - 1
+    placed = (sized.select("doc_id", "length", "copy", pick(0).alias("bucket"), pick(1).alias("runs"), pick(2).alias("places"))
+              .withColumn("run", F.pmod(F.xxhash64("doc_id", "length", "copy"), F.col("runs"))))
+    seat = F.row_number().over(Window.partitionBy("bucket", "run").orderBy("doc_id", "length", "copy")) - 1
     return placed.withColumn("seat", seat).select(
         "doc_id", "length", "bucket",
         F.concat_ws("-", "bucket", "run", F.floor(F.col("seat") / F.col("places"))).alias("batch_id"),

@@ -134,7 +134,9 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u L
 """
 
 _OP9 = r"""
-WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+                  md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(md5(source), '') || ':' || md5(coalesce(text, ''))) AS key,
+                  row_number() OVER (PARTITION BY doc_id, source, md5(coalesce(text, ''))) - 1 AS copy FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
              [5, 2, 1][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INTEGER)] AS w FROM d GROUP BY source),
 o AS (SELECT *, 2 * source_size AS cap, 1.5::DOUBLE * sum(source_size) OVER () AS b, sum(w) OVER () AS wall,
@@ -144,7 +146,7 @@ f AS (SELECT *, cap * (wall - w_before) <= w * (b - capped_before) AS is_full FR
 l AS (SELECT max(b) - coalesce(CAST(sum(cap) FILTER (is_full) AS DOUBLE), 0) AS rest, CAST(sum(w) FILTER (NOT is_full) AS DOUBLE) AS free FROM f),
 t AS (SELECT source, source_size, CASE WHEN is_full THEN CAST(cap AS DOUBLE) ELSE w * rest / free END AS target FROM f, l),
 r AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM t),
-c AS (SELECT d.*, source_size, target, rate, CAST(floor(rate) AS BIGINT) + CASE WHEN CAST('0x' || substr(md5('9:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT)
+c AS (SELECT d.*, source_size, target, rate, CAST(floor(rate) AS BIGINT) + CASE WHEN CAST('0x' || substr(md5('9:' || key || ':' || CAST(copy AS VARCHAR)), 1, 13) AS BIGINT)
              / 4503599627370496.0::DOUBLE < rate - floor(rate) THEN 1 ELSE 0 END AS copies FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source)
 SELECT doc_id, source, size, source_size, target, rate, CAST(copies AS BIGINT) AS copies, CAST(copies * size AS BIGINT) AS taken FROM c
 """

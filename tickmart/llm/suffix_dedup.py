@@ -477,7 +477,8 @@ def without_repeats(docs: DataFrame, hot: int = HOT_BYTES, queue_bytes: int = QU
     left.
     """
     rest = [c for c in docs.columns if c not in ("text", "doc_id")]
-    rows = _judged(docs, ["doc_id", *rest], True, hot, queue_bytes)
+    whole = docs.select("doc_id", "text", F.struct(*(rest or [F.lit(0)])).alias("rest"))
+    rows = _judged(whole, ["doc_id", "rest"], True, hot, queue_bytes)
 
     def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spread = zstandard.ZstdDecompressor().decompress
@@ -486,12 +487,13 @@ def without_repeats(docs: DataFrame, hot: int = HOT_BYTES, queue_bytes: int = QU
             texts = [None if b is None else spread(b) for b in batch.column(last).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:last], pa.array(texts, pa.binary()).cast(pa.string())], names=names)
 
-    names = ["doc_id", *rest, "text"]
-    kinds = docs.withColumn("doc_id", F.col("doc_id").cast("long")).select(*names).schema
+    names = ["doc_id", "rest", "text"]
+    kinds = whole.withColumn("doc_id", F.col("doc_id").cast("long")).select(*names).schema
     changed = rows.where(F.col("_bytes") >= LENGTH).select(
-        "doc_id", *rest, F.when(F.col("_early"), F.col("_kept")).alias("_kept")).mapInArrow(unpacked, kinds)
-    short = docs.where(F.octet_length(F.coalesce("text", F.lit(""))) < LENGTH).select(*names)
+        "doc_id", "rest", F.when(F.col("_early"), F.col("_kept")).alias("_kept")).mapInArrow(unpacked, kinds)
+    short = whole.where(F.octet_length(F.coalesce("text", F.lit(""))) < LENGTH).select(*names)
     out = changed.withColumn("text", F.coalesce("text", F.lit(""))).unionByName(short)
+    out = out.select("doc_id", "text", *[F.col("rest")[c].alias(c) for c in rest])
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
