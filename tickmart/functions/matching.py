@@ -1,4 +1,4 @@
-"""Keyword matching without an index: edit distance per word, computed inside the scan."""
+"""Keyword matching: edit distance per word inside the scan, and deletion variants that make it an equi-join."""
 
 from __future__ import annotations
 
@@ -30,3 +30,26 @@ def word_distance(text: Column, keyword: str) -> Column:
     if not best:
         return F.lit(None).cast("int")
     return best[0] if len(best) == 1 else F.least(*best)
+
+
+def edits_for(word: Column) -> Column:
+    """``allowed_edits`` of a column of words."""
+    return F.when(F.length(word) <= 2, 0).when(F.length(word) <= 5, 1).otherwise(2)
+
+
+def _shorter(word: Column) -> Column:
+    """Every string that is the word without one character."""
+    cut = F.transform(F.sequence(F.lit(1), F.greatest(F.length(word), F.lit(1))),
+                      lambda i: F.concat(F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, F.length(word))))
+    return F.when(F.length(word) > 0, cut).otherwise(F.array().cast("array<string>"))
+
+
+def deletion_variants(word: Column, edits: Column) -> Column:
+    """The word and every string that dropping up to ``edits`` (two at most) of its characters leaves.
+
+    Two words within that many edits of each other have a variant in common.
+    """
+    none = F.array().cast("array<string>")
+    one = F.when(edits >= 1, _shorter(word)).otherwise(none)
+    two = F.when(edits >= 2, F.flatten(F.transform(one, _shorter))).otherwise(none)
+    return F.array_distinct(F.concat(F.array(word), one, two))

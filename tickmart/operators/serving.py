@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -233,8 +235,9 @@ def chart_top_volume(metrics: DataFrame, timeframe: str = "daily", limit: int =
         .select(*COIN, c["return"], c["volume"])
 
 
-def summary_cards(metrics: DataFrame, timeframe: str = "daily") -> DataFrame:
-    """Best, worst, most volatile and most traded coin of a period and the number of coins."""
+def summary_cards(metrics: DataFrame, timeframe: str = "daily", by: Sequence[str] = ()) -> DataFrame:
+    """Best, worst, most volatile and most traded coin and the number of coins, over all rows or one row of cards for each
+    period that the ``by`` columns name."""
     c = timeframes.columns(timeframe)
 
     def extreme(column: str, best: bool) -> Column:
@@ -244,12 +247,12 @@ def summary_cards(metrics: DataFrame, timeframe: str = "daily") -> DataFrame:
         return F.min_by(F.struct("symbol", value.alias("v")), F.when(value.isNotNull(), order))
 
     present = F.col(c["return"]).isNotNull()
-    cards = metrics.where(present).agg(
+    cards = metrics.where(present).groupBy(*by).agg(
         extreme(c["return"], True).alias("g"), extreme(c["return"], False).alias("l"),
         extreme(c["volatility"], True).alias("v"), extreme(c["volume"], True).alias("q"),
         F.count("*").alias("coins"))
     return cards.select(
-        F.col("g.symbol").alias("top_gainer"), F.col("g.v").alias("top_gainer_change"),
+        *by, F.col("g.symbol").alias("top_gainer"), F.col("g.v").alias("top_gainer_change"),
         F.col("l.symbol").alias("top_loser"), F.col("l.v").alias("top_loser_change"),
         F.col("v.symbol").alias("most_volatile"), F.col("v.v").alias("most_volatile_value"),
         F.col("q.symbol").alias("highest_volume"), F.col("q.v").alias("highest_volume_value"),

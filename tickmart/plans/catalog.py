@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickmart.functions.calendar import calendar_parts, instant
-from tickmart.operators import alerts, clean, export, market, merge, panels, rollup, sentiment, serving
+from tickmart.operators import alerts, clean, export, fuzzy, market, merge, panels, rollup, sentiment, serving, topk
 from tickmart.schemas import ALERT_DDL
 from tickmart.session import pin_utc
 from tickmart.sources import payload, raw
@@ -399,6 +399,14 @@ def alerts_by_type(f: Feed) -> DataFrame:
     return alerts.alerts_by(f.alert_store, "alert_type", f.as_of, size=20)
 
 
+@query
+def sketch_top_symbols(f: Feed) -> DataFrame:
+    """The range's most alerted symbols from daily sketches."""
+    sketches = topk.daily_sketches(f.alert_store, "symbol", "detected_at")
+    recent = sketches.where(F.col("day") >= F.date_sub(F.to_date(f.as_of), 7))
+    return topk.most_frequent(recent, 10).select(F.col("item").alias("symbol"), F.col("count").alias("alerts"))
+
+
 @query
 def alerts_by_severity(f: Feed) -> DataFrame:
     return alerts.alerts_by(f.alert_store, "severity", f.as_of, size=10)
@@ -619,6 +627,17 @@ def search_coin(f: Feed) -> DataFrame:
     return found.select("p_partkey", "p_name", "p_brand", "distance")
 
 
+@query
+def fuzzy_keywords(f: Feed) -> DataFrame:
+    """Every part's first word, misspelt at some letter, against the words of all parts, and how many parts say them."""
+    parts = f.table("part").withColumn("w", F.lower(F.element_at(F.split("p_name", " "), 1)))
+    at = (F.col("p_partkey") % F.length("w")).cast("int") + 1
+    typed = F.concat(F.substring("w", F.lit(1), at - 1), F.when(F.col("p_partkey") % 2 == 0, "q").otherwise(""),
+                     F.substring("w", at + 1, F.length("w")))
+    found = fuzzy.fuzzy_rows(parts, parts.select(typed.alias("keyword")), "p_partkey", "p_name")
+    return found.groupBy("keyword", "distance").agg(F.count("*").alias("parts"))
+
+
 @query
 def rolling_range(f: Feed) -> DataFrame:
     return panels.rolling_range(f.daily, f.as_of, days=7).select("coin_id", "date", "close_price")
@@ -664,8 +683,8 @@ def movers_gainers(f: Feed) -> DataFrame:
 
 @query
 def summary_cards(f: Feed) -> DataFrame:
-    """Cards of one week, which is a year and a number."""
-    return serving.summary_cards(f.weekly.where("year = 2024 AND week_of_year = 3"), "weekly")
+    """A row of cards for every week, which is a year and a number."""
+    return serving.summary_cards(f.weekly, "weekly", ["year", "week_of_year"])
 
 
 @query

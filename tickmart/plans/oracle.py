@@ -219,6 +219,21 @@ def cards_sql(source: str, s: str) -> str:
              (SELECT * FROM {source} ORDER BY volume_sum_{s} DESC, coin_id LIMIT 1) q"""
 
 
+def weekly_cards_sql() -> str:
+    best = lambda column, value, order: f"arg_min({column}, ({order}, coin_id)) FILTER ({value} IS NOT NULL)"
+    return f"""
+        SELECT *, CASE WHEN highest_volume_value >= 1e9 THEN printf('%.2fB', highest_volume_value / 1e9)
+                       WHEN highest_volume_value >= 1e6 THEN printf('%.2fM', highest_volume_value / 1e6)
+                       WHEN highest_volume_value >= 1e3 THEN printf('%.2fK', highest_volume_value / 1e3)
+                       ELSE printf('%.2f', CAST(highest_volume_value AS DOUBLE)) END AS highest_volume_label
+        FROM (SELECT year, week_of_year, {best('symbol', 'return_pct_week', '-return_pct_week')} AS top_gainer, max(return_pct_week) AS top_gainer_change,
+                     {best('symbol', 'return_pct_week', 'return_pct_week')} AS top_loser, min(return_pct_week) AS top_loser_change,
+                     {best('symbol', 'volatility_week', '-volatility_week')} AS most_volatile, max(volatility_week) AS most_volatile_value,
+                     {best('symbol', 'volume_sum_week', '-volume_sum_week')} AS highest_volume, max(volume_sum_week) AS highest_volume_value,
+                     count(*) AS coins
+              FROM weekly WHERE return_pct_week IS NOT NULL GROUP BY year, week_of_year)"""
+
+
 KQL_WHERE = {
     "cap_above": "market_cap_close > 5000000", "volume_above": "volume_sum_day > 500000", "volatility_above": "volatility_day > 1000",
     "return_above": "return_pct_day > 10", "return_below": "return_pct_day < -10",
@@ -366,6 +381,8 @@ SQL = {
     "alerts_total": "SELECT count(*) AS total_count FROM recent_store",
     "alerts_by_type": """
         SELECT alert_type, count(*) AS alerts FROM recent_store GROUP BY 1 ORDER BY alerts DESC, 1 LIMIT 20""",
+    "sketch_top_symbols": """
+        SELECT symbol, count(*) AS alerts FROM recent_store WHERE symbol IS NOT NULL GROUP BY 1 ORDER BY alerts DESC, 1 LIMIT 10""",
     "alerts_by_severity": """
         SELECT severity, count(*) AS alerts FROM recent_store WHERE severity IS NOT NULL
         GROUP BY 1 ORDER BY alerts DESC, 1 LIMIT 10""",
@@ -493,6 +510,14 @@ SQL = {
                                            lambda x: x <= 1)) AS dist FROM part)
         WHERE dist IS NOT NULL OR lower(p_name) LIKE '%gizmp%' OR p_brand LIKE '%GIZMP%'
         ORDER BY dist NULLS LAST, p_retailprice DESC, p_partkey LIMIT 20""",
+    "fuzzy_keywords": """
+        WITH p AS (SELECT p_partkey, lower(split_part(p_name, ' ', 1)) AS w, list_distinct(regexp_split_to_array(lower(p_name), '[^a-z0-9]+')) AS words FROM part),
+        k AS (SELECT DISTINCT substr(w, 1, CAST(p_partkey % length(w) AS INT)) || CASE WHEN p_partkey % 2 = 0 THEN 'q' ELSE '' END
+                     || substr(w, CAST(p_partkey % length(w) AS INT) + 2) AS keyword FROM p),
+        m AS (SELECT keyword, p_partkey, min(levenshtein(keyword, x.word)) AS distance FROM (SELECT p_partkey, unnest(words) AS word FROM p) x, k
+              WHERE length(keyword) > 0 AND levenshtein(keyword, x.word) <= CASE WHEN length(keyword) <= 2 THEN 0 WHEN length(keyword) <= 5 THEN 1 ELSE 2 END
+              GROUP BY ALL)
+        SELECT keyword, CAST(distance AS INT) AS distance, count(*) AS parts FROM m GROUP BY ALL""",
     "rolling_range": "SELECT coin_id, date, close_price FROM daily, clock WHERE date BETWEEN d - 7 AND d",
     "kql_filters": """
         SELECT symbol, date, market_cap_close, volume_sum_day, volatility_day, return_pct_day FROM daily
@@ -513,7 +538,7 @@ SQL = {
                name, open_price, close_price, high_price, low_price, return_pct_day, volatility_day, volume_sum_day,
                'positive' AS direction
         FROM daily, clock WHERE date = d - 1 AND return_pct_day > 0 ORDER BY return_pct_day DESC, coin_id LIMIT 20""",
-    "summary_cards": cards_sql("week3", "week"),
+    "summary_cards": weekly_cards_sql(),
     "summary_cards_daily": cards_sql("daily", "day"),
     "chart_top_volume": """
         SELECT coin_id, symbol, name, return_pct_month, volume_sum_month FROM monthly

@@ -15,3 +15,13 @@ def overwrite_partitions(df: DataFrame, path: str, keys: Sequence[str], dealt: b
     """
     ((df if dealt else df.hint("rebalance", *keys)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*keys).parquet(path))
+
+
+def save_bucketed(df: DataFrame, table: str, key: str, order: Sequence[str], buckets: int) -> None:
+    """A catalog table in buckets of ``key``, one sorted file each: work per key on it needs no shuffle.
+
+    Windows and aggregates partitioned by the key, and joins with tables bucketed alike, read the buckets as they lie. Choose
+    ``buckets`` for the size of the table; one key is one bucket's rows, so it is meant for tables with a row per key and day.
+    """
+    (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key, *order).format("parquet")
+     .saveAsTable(table))
