@@ -313,21 +313,35 @@ def batch(spark, store, n, *docs, writer="direct"):
     return store.upsert(spark.createDataFrame(docs, "doc_id string, v int"), n, writer)
 
 
-def test_document_store_batches_repeats_and_compaction(spark, tmp_path):
-    store = DocumentStore(spark, str(tmp_path / "d"), buckets=4)
+def test_document_store_versions(spark, tmp_path):
+    store = DocumentStore(spark, str(tmp_path / "d"))
     with pytest.raises(ValueError):
         store.read()
     batch(spark, store, 0, ("a", 1), ("b", 1))
-    batch(spark, store, 1, ("b", 2), ("c", 2))
-    batch(spark, store, 1, ("b", 2), ("c", 2))
-    assert rows(store.read()) == [("a", 1), ("b", 2), ("c", 2)]
-    assert store.compact(5) == 0 and store.compact() == 2
+    assert batch(spark, store, 1, ("b", 2), ("c", 2)) == {"accepted": 2, "rejected": 0}
+    assert batch(spark, store, 1, ("b", 9), ("z", 2)) == {"accepted": 0, "rejected": 0}  # a repeat
     assert rows(store.read()) == [("a", 1), ("b", 2), ("c", 2)]
+    held = store.read()
     batch(spark, store, 2, ("a", 3))
+    assert rows(held) == [("a", 1), ("b", 2), ("c", 2)]  # a reader of the version before
     assert rows(store.read()) == [("a", 3), ("b", 2), ("c", 2)]
-    assert store.compact() == 1 and store.compact() == 0
-    assert rows(store.read()) == [("a", 3), ("b", 2), ("c", 2)]
-    assert len(list((tmp_path / "d" / "log").glob("batch=*"))) == 1  # folded ones go with the next compaction
+    assert sorted(p.name for p in (tmp_path / "d").glob("version=*")) == ["version=1", "version=2"]
+
+
+def test_a_killed_write_leaves_the_old_version(spark, tmp_path, monkeypatch):
+    store = DocumentStore(spark, str(tmp_path / "d"))
+    batch(spark, store, 0, ("a", 1))
+
+    def die(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr("tickmart.sinks.stores.save_mark", die)
+        with pytest.raises(RuntimeError):
+            batch(spark, store, 1, ("a", 2), ("b", 2))
+    assert rows(store.read()) == [("a", 1)]
+    batch(spark, store, 1, ("a", 2), ("b", 2))
+    assert rows(store.read()) == [("a", 2), ("b", 2)]
 
 
 def test_document_store_keeps_batches_of_other_writers(spark, tmp_path):
@@ -336,13 +350,10 @@ def test_document_store_keeps_batches_of_other_writers(spark, tmp_path):
     batch(spark, store, 0, ("a", 1), writer="first")
     batch(spark, store, 1, ("b", 1), writer="first")
     batch(spark, store, 0, ("c", 1), ("b", 2), writer="second")
+    batch(spark, store, 1, ("b", 1), writer="first")  # repeated after a newer writer
     assert rows(store.read()) == [("a", 1), ("b", 2), ("c", 1)]
-    store.compact()
-    batch(spark, store, 0, ("d", 1), ("a", 5), writer="third")
-    assert rows(store.read()) == [("a", 5), ("b", 2), ("c", 1), ("d", 1)]
-    batch(spark, store, 1, ("b", 1), writer="first")  # repeated after a newer writer, and after being folded
-    store.compact()
-    assert {r[0] for r in rows(store.read())} == {"a", "b", "c", "d"}
+    store.upsert(spark.createDataFrame([("d", "new column")], "doc_id string, w string"), 0, "third")
+    assert {r.doc_id: (r.v, r.w) for r in store.read().collect()}["d"] == (None, "new column")
 
 
 def test_document_store_counts_rejects(spark, tmp_path):

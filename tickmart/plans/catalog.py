@@ -788,7 +788,9 @@ def upsert_by_id(f: Feed) -> DataFrame:
         return export.documents(daily, "daily_metrics").select(
             "doc_id", "close_price", "volume_sum_day", F.lit(version).alias("version"))
 
-    recent = live_daily(f).where(F.col("date") >= F.date_sub(F.to_date(f.as_of), 3))
+    # The bare time column is compared, so that row groups of older ticks can be skipped.
+    since = F.date_sub(F.to_date(f.as_of), 3).cast("timestamp_ntz")
+    recent = rollup.daily_metrics(clean.clean_ticks(f.live.where(F.col("crawl_ts") >= since)))
     return merge.upsert_by_id(docs(f.daily, 0), docs(recent, 1))
 
 

@@ -3,17 +3,15 @@
 from __future__ import annotations
 
 import json
-import time
 import uuid
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickmart.operators.merge import newest_by_id
 from tickmart.sinks.state import append_rows, load_mark, read_rows, save_mark
-from tickmart.sources.partitions import exists, partition_values, remove_folder
+from tickmart.sources.partitions import remove_folder
 
 TableSink = Callable[[DataFrame, str], None]
 
@@ -36,101 +34,54 @@ def parquet_sink(root: str) -> TableSink:
     return write
 
 
-BUCKETS = 64
-
-
 class DocumentStore:
-    """Documents keyed by id: a base table in buckets of the id, and a log of upsert batches after it.
+    """Documents keyed by id, as one Parquet table in whole versions.
 
-    A batch is one folder, named after its writer and the writer's number: writing it again replaces just that
-    folder, and writers never meet. Every row carries the time at which its batch was first written; readers take the
-    latest row per id. ``compact`` folds the finished batches into the buckets they touch; folded batches are skipped
-    by readers and removed by the next compaction, so that a read under way is not disturbed.
+    A batch is one Spark job: the current version and the batch go into the next one, of each id the row written last. A mark then
+    names the new version and the last batch of every writer, so a reader never sees half a version, a write that dies leaves
+    the old one readable, and a batch that is repeated changes nothing. The version before the current one stays for readers
+    that have it open. Every batch rewrites the store: it is for tables of serving size, with a trigger that is not too short.
     """
 
-    def __init__(self, spark: SparkSession, root: str, key: str = "doc_id", buckets: int = BUCKETS):
-        self.spark, self.root, self.key, self.buckets = spark, root.rstrip("/"), key, buckets
+    def __init__(self, spark: SparkSession, root: str, key: str = "doc_id"):
+        self.spark, self.root, self.key = spark, root.rstrip("/"), key
+
+    def _state(self) -> dict:
+        mark = load_mark(self.spark, f"{self.root}/state")
+        return json.loads(mark) if mark else {"version": None, "done": {}}
 
-    # batches ----------------------------------------------------------------------------------
+    def _version(self, number: int) -> str:
+        return f"{self.root}/version={number}"
 
     def upsert(self, df: DataFrame, batch_id: int, writer: str = "direct") -> dict[str, int]:
-        """Write one batch; counts of accepted and rejected rows. Rows without an id go to ``rejected``.
-
-        The rebalance step keeps small batches from leaving many small files.
-        """
-        name = f"{writer}-{int(batch_id)}"
-        path = f"{self.root}/log/batch={name}"
-        again = self.spark.read.parquet(path).agg(F.min("_order")).first()[0] if self._finished(name) else None
-        order = again if again is not None else time.time_ns() // 1000
-        usable = F.length(F.col(self.key).cast("string")) > 0
-        marked = df.withColumn("_order", F.lit(order).cast("bigint"))
-        marked.where(usable).hint("rebalance").write.mode("overwrite").parquet(path)
-        bad = df.where(~F.coalesce(usable, F.lit(False)))
-        counts = {"accepted": self.spark.read.parquet(path).count(), "rejected": bad.count()}
+        """Write one batch; counts of accepted and rejected rows. Rows without an id go to ``rejected``."""
+        state, name = self._state(), f"{writer}-{int(batch_id)}"
+        if int(batch_id) <= state["done"].get(writer, -1):
+            return {"accepted": 0, "rejected": 0}
+        usable = F.coalesce(F.length(F.col(self.key).cast("string")) > 0, F.lit(False))
+        counts = df.agg(F.count_if(usable).alias("accepted"), F.count_if(~usable).alias("rejected")).first().asDict()
         if counts["rejected"]:
-            bad.write.mode("overwrite").parquet(f"{self.root}/rejected/batch={name}")
+            df.where(~usable).write.mode("overwrite").parquet(f"{self.root}/rejected/batch={name}")
+        before = state["version"]
+        number = 0 if before is None else before + 1
+        rows = df.where(usable).withColumn("_order", F.lit(number).cast("bigint"))
+        if before is not None:
+            rows = self.spark.read.parquet(self._version(before)).unionByName(rows, allowMissingColumns=True)
+        newest_by_id(rows, self.key, "_order").hint("rebalance").write.mode("overwrite").parquet(self._version(number))
         append_rows(self.spark, f"{self.root}/counts", [(name, counts["accepted"], counts["rejected"])], _COUNTS)
+        save_mark(self.spark, f"{self.root}/state", json.dumps({"version": number, "done": {**state["done"], writer: int(batch_id)}}))
+        remove_folder(self.spark, self._version(number - 2))
         return counts
 
     def counts(self) -> DataFrame:
-        """Accepted and rejected rows of every written batch; a repeated batch has a row per attempt."""
+        """Accepted and rejected rows of every written batch."""
         return read_rows(self.spark, f"{self.root}/counts", _COUNTS)
 
-    def _finished(self, name: str) -> bool:
-        """One that is still being written has no success marker yet."""
-        return exists(self.spark, f"{self.root}/log/batch={name}/_SUCCESS")
-
-    # state ------------------------------------------------------------------------------------
-
-    def _manifest(self) -> dict:
-        """Which version of each bucket counts, and the batches that are folded but not removed yet."""
-        mark = load_mark(self.spark, f"{self.root}/state")
-        return json.loads(mark) if mark else {"version": 0, "buckets": {}, "folded": []}
-
-    def _open_batches(self, manifest: dict) -> list[str]:
-        folded = set(manifest["folded"])
-        return [b for b in partition_values(self.spark, f"{self.root}/log", "batch") if b not in folded and self._finished(b)]
-
-    def _base(self, manifest: dict, buckets: list[int] | None = None) -> DataFrame | None:
-        paths = [f"{self.root}/base/version={v}/bucket={b}" for b, v in manifest["buckets"].items() if buckets is None or int(b) in buckets]
-        return self.spark.read.option("mergeSchema", True).parquet(*paths) if paths else None
-
-    def _log(self, batches: list[str]) -> DataFrame | None:
-        paths = [f"{self.root}/log/batch={b}" for b in batches]
-        return self.spark.read.option("mergeSchema", True).parquet(*paths) if paths else None
-
-    def _newest(self, *parts: DataFrame | None) -> DataFrame | None:
-        there = [p for p in parts if p is not None]
-        if not there:
-            return None
-        return newest_by_id(reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), there), self.key, "_order")
-
     def read(self) -> DataFrame:
-        manifest = self._manifest()
-        rows = self._newest(self._base(manifest), self._log(self._open_batches(manifest)))
-        if rows is None:
+        version = self._state()["version"]
+        if version is None:
             raise ValueError(f"nothing was written to {self.root} yet")
-        return rows.drop("_order")
-
-    def compact(self, at_least: int = 1) -> int:
-        """Fold the finished batches if there are ``at_least`` so many; returns how many were folded."""
-        manifest = self._manifest()
-        batches = self._open_batches(manifest)
-        if not batches or len(batches) < at_least:
-            return 0
-        bucket = F.pmod(F.xxhash64(F.col(self.key).cast("string")), F.lit(self.buckets)).cast("int")
-        new = self._log(batches)
-        touched = [r[0] for r in new.select(bucket).distinct().collect()]  # at most one per bucket
-        version = manifest["version"] + 1
-        merged = self._newest(self._base(manifest, touched), new).withColumn("bucket", bucket)
-        merged.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/base/version={version}")
-        current = {**manifest["buckets"], **{str(b): version for b in touched}}
-        save_mark(self.spark, f"{self.root}/state", json.dumps({"version": version, "buckets": current, "folded": batches}))
-        for name in manifest["folded"]:
-            remove_folder(self.spark, f"{self.root}/log/batch={name}")
-        for old in {v for v in manifest["buckets"].values()} - set(current.values()) - {manifest["version"]}:
-            remove_folder(self.spark, f"{self.root}/base/version={old}")
-        return len(batches)
+        return self.spark.read.parquet(self._version(version)).drop("_order")
 
 
 _COUNTS = "batch string, accepted bigint, rejected bigint"

@@ -81,21 +81,16 @@ def writer_of(spark: SparkSession, checkpoint: str) -> str:
     return name
 
 
-def upsert_sink(root: str, compact_every: int = 100) -> StreamSink:
-    """Upsert every micro-batch into a document store; a repeated batch replaces itself.
-
-    Once ``compact_every`` batches have gathered they are folded, so readers never open more than about that many.
-    """
+def upsert_sink(root: str) -> StreamSink:
+    """Upsert every micro-batch into a document store; a repeated batch changes nothing."""
     def run(df, name, mode, checkpoint, trigger):
         writer = writer_of(df.sparkSession, checkpoint)
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            store = DocumentStore(batch.sparkSession, root)
             have = set(batch.columns)
             ids = batch.withColumns({c: F.lit(None).cast("string")
                                      for c in ("coin_id", "window_start", "alert_time", "crawl_time") if c not in have})
-            store.upsert(ids.withColumn("doc_id", realtime_doc_id()).select("doc_id", *batch.columns), batch_id, writer)
-            store.compact(compact_every)
+            DocumentStore(batch.sparkSession, root).upsert(ids.withColumn("doc_id", realtime_doc_id()).select("doc_id", *batch.columns), batch_id, writer)
 
         return start(df, name, mode, checkpoint, trigger, lambda w: w.foreachBatch(write))
 
