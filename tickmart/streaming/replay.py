@@ -2,27 +2,16 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tickmart.session import shared_dir
 
-_local: list[str] = []
-
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder all executors reach; a temporary one only on a local master without the cluster's setting."""
-    fallback = None
-    if spark.sparkContext.master.startswith("local"):
-        if not _local:
-            _local.append(tempfile.mkdtemp(prefix="tickmart-"))
-            atexit.register(shutil.rmtree, _local[0], ignore_errors=True)
-        fallback = _local[0]
-    return shared_dir(spark, f"replay/{name}-{uuid.uuid4().hex}", fallback)
+    """A fresh folder all executors reach, below the cluster's shared folder or, where none is set, below the warehouse."""
+    return shared_dir(spark, f"replay/{name}-{uuid.uuid4().hex}", spark.conf.get("spark.sql.warehouse.dir"))
 
 
 def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
