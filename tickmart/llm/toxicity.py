@@ -1,7 +1,7 @@
 """Toxicity scores by a bidirectional gated recurrent network with attention pooling, trained here in numpy.
 
-A word enters with an embedding of its own, with the mean embedding of its letter groups, and with the evidence that
-the training rows give the word and its most telling letter group. Windows of words overlap by half and cover the whole text; a document's
+A word enters with an embedding of its own, with a convolution over the sequence of its letters, and with the evidence
+that the training rows give the word and its most telling letter group. Windows of words overlap by half and cover the whole text; a document's
 score is that of its most toxic window.
 """
 
@@ -19,8 +19,13 @@ from tickmart.llm.text_arrays import column_buffer, slices, word_bounds, word_ha
 
 WINDOW, STRIDE = 32, 16
 WORD_DIM, CHAR_DIM, HIDDEN, ATTEND = 7, 8, 8, 8
-#: Letter groups are five bytes long, the one before the word's first counting as a mark; hashed to so many places.
-GROUP, GROUPS, GROUP_VECTORS = 5, 1 << 17, 4096
+#: Letter groups and the convolution's filters are five bytes long, the one before the word's first counting as a mark;
+#: for evidence, groups are hashed to so many places.
+GROUP, GROUPS = 5, 1 << 17
+#: Marks before a word's first byte and behind its last.
+BEGIN, END = 1, 2
+#: Places of the letter sequences that are convolved in one step.
+LETTER_STEP = 1 << 18
 #: Training rows fall into so many parts; evidence on a row comes from the other parts.
 PARTS = 4
 #: At most so many labelled rows, of texts up to so many characters, are used for training.
@@ -62,10 +67,21 @@ def letter_groups(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tupl
     out = np.zeros(len(at), np.int64)
     for k in range(-1, GROUP - 1):
         byte = low[np.clip(at + k, 0, max(len(low) - 1, 0))].astype(np.int64)
-        out = out * 1000003 + np.where(place + k < 0, 1, np.where(place + k >= size, 2, byte))
+        out = out * 1000003 + np.where(place + k < 0, BEGIN, np.where(place + k >= size, END, byte))
     return (out ^ (out >> 23)) % GROUPS, heads
 
 
+def letter_sequences(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words' bytes with marks around each, and for every byte of a word the place where its filter begins."""
+    lengths = ends - starts
+    heads, nth = np.cumsum(lengths) - lengths, np.arange(len(lengths))
+    at = np.arange(int(lengths.sum())) + np.repeat((GROUP - 1) * nth, lengths)
+    letters = np.full(len(at) + (GROUP - 1) * len(lengths), END, np.uint8)
+    letters[heads + (GROUP - 1) * nth] = BEGIN
+    letters[at + 1] = low[np.arange(len(at)) + np.repeat(starts - heads, lengths)]
+    return letters, at
+
+
 def windows(first: np.ndarray, pad: int) -> tuple[np.ndarray, np.ndarray]:
     """Word positions of all windows of all rows (``pad`` behind a short row's end), and the row of each window."""
     counts = np.diff(first)
@@ -87,7 +103,7 @@ def new_weights(vocabulary: int, seed: int) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
     width = WORD_DIM + CHAR_DIM + 2
     scaled = lambda *shape: (rng.standard_normal(shape) / np.sqrt(shape[0])).astype(np.float32)
-    w = {"word": 0.1 * scaled(vocabulary + 1, WORD_DIM), "group": 0.1 * scaled(GROUP_VECTORS, CHAR_DIM) * np.float32(np.sqrt(GROUP_VECTORS))}
+    w = {"word": 0.1 * scaled(vocabulary + 1, WORD_DIM), "char": scaled(GROUP, 256, CHAR_DIM), "char_c": np.zeros(CHAR_DIM, np.float32)}
     w["word"][0] = 0
     for side in ("f", "b"):
         w |= {f"x{side}": scaled(width, 3 * HIDDEN), f"h{side}": scaled(HIDDEN, 3 * HIDDEN), f"c{side}": np.zeros(3 * HIDDEN, np.float32)}
@@ -95,14 +111,42 @@ def new_weights(vocabulary: int, seed: int) -> dict[str, np.ndarray]:
                 "out": scaled(2 * HIDDEN, 1)[:, 0], "out_c": np.zeros(1, np.float32)}
 
 
-def word_inputs(w: dict, ids: np.ndarray, evidence: np.ndarray, group_evidence: np.ndarray, groups: np.ndarray,
+def convolved(w: dict, letters: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Filter outputs at the given places; a filter has one weight for every byte at each of its positions."""
+    return np.tanh(sum((w["char"][k][letters[at + k]] for k in range(GROUP)), w["char_c"]))
+
+
+def letter_inputs(w: dict, letters: np.ndarray, at: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Each filter's greatest output over a word, ``LETTER_STEP`` places at a time however long a word is."""
+    out = np.full((len(heads), CHAR_DIM), -1, np.float32)
+    for a in range(0, len(at), LETTER_STEP):
+        b = min(a + LETTER_STEP, len(at))
+        first, last = np.searchsorted(heads, [a, b - 1], side="right") - 1
+        begin = np.maximum(heads[first:last + 1] - a, 0)
+        here = np.maximum.reduceat(convolved(w, letters, at[a:b]), begin, axis=0)
+        out[first:last + 1] = np.maximum(out[first:last + 1], here)
+    return out
+
+
+def letter_gradients(w: dict, letters: np.ndarray, at: np.ndarray, heads: np.ndarray, dinputs: np.ndarray) -> dict:
+    """Gradients of the filters from those of ``letter_inputs``; places that tie for the greatest output share."""
+    out = convolved(w, letters, at)
+    word = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(at))))
+    top = out == np.maximum.reduceat(out, heads, axis=0)[word]
+    share = dinputs / np.add.reduceat(top, heads, axis=0, dtype=np.int64)
+    place, dim = np.nonzero(top)
+    part = share[word[place], dim] * (1 - out[place, dim]**2)
+    filters = [np.bincount(letters[at[place] + k] * np.int64(CHAR_DIM) + dim, weights=part, minlength=256 * CHAR_DIM) for k in range(GROUP)]
+    return {"char": np.reshape(filters, w["char"].shape), "char_c": np.bincount(dim, weights=part, minlength=CHAR_DIM)}
+
+
+def word_inputs(w: dict, ids: np.ndarray, evidence: np.ndarray, group_evidence: np.ndarray, letters: np.ndarray, spots: np.ndarray,
                 heads: np.ndarray) -> np.ndarray:
     """One input row per distinct word, and a row of zeros at the end for padding."""
     out = np.zeros((len(ids) + 1, WORD_DIM + CHAR_DIM + 2), np.float32)
     if len(ids):
-        size = np.diff(np.append(heads, len(groups)))
         out[:-1, :WORD_DIM] = w["word"][ids]
-        out[:-1, WORD_DIM:-2] = np.add.reduceat(w["group"][groups % GROUP_VECTORS], heads, axis=0) / size[:, None]
+        out[:-1, WORD_DIM:-2] = letter_inputs(w, letters, spots, heads)
         out[:-1, -2] = evidence
         out[:-1, -1] = group_evidence
     return out
@@ -239,6 +283,7 @@ def train(texts: pa.Array, toxic: np.ndarray, seed: int = 8, steps: int = 480, b
     ids = np.where(own, np.cumsum(own), 0)
     evidence = np.where(own, _evidence(found, docs, rate), 0)
     groups, heads = letter_groups(low, starts[where], ends[where])
+    letters, spots = letter_sequences(low, starts[where], ends[where])
     size = np.diff(np.append(heads, len(groups)))
     pairs = np.unique(row * np.int64(n) + inverse)
     word, owner = pairs % n, pairs // n
@@ -254,7 +299,7 @@ def train(texts: pa.Array, toxic: np.ndarray, seed: int = 8, steps: int = 480, b
         out = np.empty(len(at), np.float32)
         for k in range(1, PARTS + 1):
             mine = side == k
-            out[mine] = logits(w, word_inputs(w, ids, evidence[k], group_evidence[k], groups, heads), at[mine])
+            out[mine] = logits(w, word_inputs(w, ids, evidence[k], group_evidence[k], letters, spots, heads), at[mine])
         return out
 
     both = np.concatenate([evidence + group_evidence, np.zeros((PARTS + 1, 1), np.float32)], axis=1)
@@ -275,22 +320,22 @@ def train(texts: pa.Array, toxic: np.ndarray, seed: int = 8, steps: int = 480, b
             used = used[used < (PARTS + 1) * n]
             local = local.reshape(len(pick), WINDOW)
             k, u = used // n, used % n
-            flat = np.concatenate([groups[heads[x]:heads[x] + size[x]] for x in u]) % GROUP_VECTORS
             begin = np.cumsum(size[u]) - size[u]
+            flat = spots[np.arange(int(size[u].sum())) + np.repeat(heads[u] - begin, size[u])]
             shown = np.where(rng.random(len(u)) < 0.5, ids[u], 0)
-            inputs = word_inputs(w, shown, evidence[k, u], group_evidence[k, u], flat, begin)
+            inputs = word_inputs(w, shown, evidence[k, u], group_evidence[k, u], letters, flat, begin)
             if local.max() < len(u):
                 inputs = inputs[:-1]
             g, dinputs = gradients(w, inputs, local, label[pick].astype(np.float32))
             dinputs = dinputs[:len(u)]
-            g["word"], g["group"] = np.zeros_like(w["word"]), np.zeros_like(w["group"])
+            g |= letter_gradients(w, letters, flat, begin, dinputs[:, WORD_DIM:-2])
+            g["word"] = np.zeros_like(w["word"])
             np.add.at(g["word"], shown, dinputs[:, :WORD_DIM])
             g["word"][0] = 0
-            np.add.at(g["group"], flat, np.repeat(dinputs[:, WORD_DIM:-2] / size[u][:, None], size[u], axis=0))
             step += 1
             for key, v in w.items():
                 m, s = moment[key]
-                grad = g[key] + np.float32(1e-4) * v
+                grad = (g[key] + 1e-4 * v).astype(np.float32)
                 m += 0.1 * (grad - m)
                 s += 0.001 * (grad**2 - s)
                 v -= (0.01 * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
@@ -330,7 +375,7 @@ def text_scores(model: dict, column: pa.Array) -> np.ndarray:
         evidence = np.where(hit, model["evidence"][slot], 0) if len(known) else np.zeros(len(distinct), np.float32)
         groups, heads = letter_groups(low, starts[where], ends[where])
         told = np.maximum.reduceat(model["groups"][groups], heads) if len(groups) else np.zeros(0, np.float32)
-        inputs = word_inputs(w, ids, evidence, told, groups, heads)
+        inputs = word_inputs(w, ids, evidence, told, *letter_sequences(low, starts[where], ends[where]), heads)
         spot = np.append(inverse, len(distinct))
         tops = np.full(b - a, -np.inf)
         for rows in _row_ranges(first):
