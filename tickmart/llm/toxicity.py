@@ -26,8 +26,11 @@ GROUP, GROUPS = 5, 1 << 17
 BEGIN, END = 1, 2
 #: Places of the letter sequences that are convolved in one step.
 LETTER_STEP = 1 << 18
-#: Training rows fall into so many parts; evidence on a row comes from the other parts.
-PARTS = 4
+#: Training rows fall into so many parts; evidence on a row comes from the other parts. Scoring has the evidence of all
+#: rows, so the more parts, the closer training comes to it.
+PARTS = 16
+#: The weights are averaged over this last share of the steps.
+AVERAGED = 0.4
 #: At most so many labelled rows, of texts up to so many characters, are used for training.
 SAMPLE_ROWS, SAMPLE_CHARS = 4000, 20_000
 #: Words in fewer training documents have no embedding of their own.
@@ -264,6 +267,7 @@ def train(texts: pa.Array, toxic: np.ndarray, seed: int = 8, steps: int = 480, b
     A toxic document need not be toxic everywhere: each round learns from the windows of toxic documents that look
     worst so far (by evidence at first, then by the network) and from the worst and random windows of the others.
     Evidence on a row never includes the row itself, so that rare words mislead here as little as in new texts.
+    The weights kept are the average over the last steps, which vary less with the seed and the order of the rows.
     The output is shifted so that 0 is the logit that separates the training documents best.
     """
     rng = np.random.default_rng(seed)
@@ -297,9 +301,11 @@ def train(texts: pa.Array, toxic: np.ndarray, seed: int = 8, steps: int = 480, b
 
     def rated() -> np.ndarray:
         out = np.empty(len(at), np.float32)
+        inputs = word_inputs(w, ids, evidence[0], group_evidence[0], letters, spots, heads)
         for k in range(1, PARTS + 1):
             mine = side == k
-            out[mine] = logits(w, word_inputs(w, ids, evidence[k], group_evidence[k], letters, spots, heads), at[mine])
+            inputs[:-1, -2], inputs[:-1, -1] = evidence[k], group_evidence[k]
+            out[mine] = logits(w, inputs, at[mine])
         return out
 
     both = np.concatenate([evidence + group_evidence, np.zeros((PARTS + 1, 1), np.float32)], axis=1)
@@ -307,8 +313,12 @@ def train(texts: pa.Array, toxic: np.ndarray, seed: int = 8, steps: int = 480, b
     for k in range(1, PARTS + 1):
         rating[side == k] = both[k][at[side == k]].max(axis=1)
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in w.items()}
-    step = 0
-    for _ in range(rounds):
+    step, last = 0, steps // rounds * rounds
+    averaged = max(int(AVERAGED * last), 1)
+    mean = {k: np.zeros(v.shape) for k, v in w.items()}
+    for nth_round in range(rounds):
+        if nth_round:
+            rating = rated()
         order = np.lexsort((-rating, owner_of))
         nth = np.arange(len(order)) - np.searchsorted(owner_of[order], owner_of[order])
         worst = order[nth < 2]
@@ -339,7 +349,10 @@ def train(texts: pa.Array, toxic: np.ndarray, seed: int = 8, steps: int = 480, b
                 m += 0.1 * (grad - m)
                 s += 0.001 * (grad**2 - s)
                 v -= (0.01 * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
-        rating = rated()
+                if step > last - averaged:
+                    mean[key] += (v - mean[key]) / (step - last + averaged)
+    w = {k: v.astype(np.float32) for k, v in mean.items()}
+    rating = rated()
     tops = np.full(len(texts), -np.inf)
     np.maximum.at(tops, owner_of, rating)
     w["out_c"] = w["out_c"] - np.float32(best_cut(tops, toxic))
