@@ -110,3 +110,26 @@ def test_filter_gradients_match_differences():
         down = loss()
         w[key][spot] = before
         assert abs((up - down) / 2e-6 - g[key][spot]) < 1e-6
+
+
+def by_marked_words(n, toxic, seed):
+    """Long texts of random words; toxic ones hold four of ten marked words."""
+    rng, rows = np.random.default_rng(seed), []
+    marked = [word(np.random.default_rng(1000 + k), 6) for k in range(10)]
+    for i in range(n):
+        words = [word(rng, int(rng.integers(3, 9))) for _ in range(60)]
+        if i < toxic:
+            for at, w in zip(rng.choice(60, 4, replace=False), rng.choice(marked, 4, replace=False)):
+                words[at] = w
+        rows.append((" ".join(words), int(i < toxic)))
+    return rows
+
+
+@pytest.mark.parametrize("seed", [8, 9])
+def test_few_toxic_rows_are_enough_for_marked_words(seed):
+    model = fitted(by_marked_words(240, 30, seed=1), seed=seed)
+    new = by_marked_words(200, 100, seed=2)
+    predicted = toxicity.text_scores(model, pa.array([t for t, _ in new])) >= 0.5
+    y = np.array([y for _, y in new]) == 1
+    assert predicted[y].mean() >= 0.95
+    assert predicted[~y].mean() <= 0.03
