@@ -1,12 +1,18 @@
 import datetime as dt
 import json
+import os
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from frames import rows
+from oracle_check import database
 from pyspark.sql import functions as F
 
 from tickmart.operators import alerts, clean, rollup
 from tickmart.operators.sentiment import latest_prices_1m, sentiment_1m
+from tickmart.plans import oracle
 from tickmart.sinks.stores import DocumentStore
 from tickmart.sources import tick_tables as tt
 from tickmart.sources.raw import raw_ticks
@@ -285,3 +291,26 @@ def test_repeats_state_stays_bounded(spark, tmp_path):
 def test_unique_ticks_on_a_batch(spark):
     data = [(json.dumps(m),) for m in (message(), message(price=2.0), message("eth"), message("x", when=None), message("x", when=None))]
     assert stages.unique_ticks(stages.parse_ticks(spark.createDataFrame(data, "value string"))).count() == 4
+
+
+PLAIN_SESSION = """
+import sys
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", 2) \\
+    .config("spark.sql.warehouse.dir", sys.argv[1]).getOrCreate()
+sys.path.insert(0, sys.argv[2])
+import __spark_entry__ as entry
+print("rows", entry.queries()["stream_whale_days"](spark, sys.argv[3]).count())
+"""
+
+
+def test_whale_days_where_workers_lack_the_package(tmp_path, small):
+    """A session that somebody else built, with Spark's default state store, in a folder without the package."""
+    script = tmp_path / "plain.py"
+    script.write_text(PLAIN_SESSION)
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH" and not k.startswith("PYSPARK_GATEWAY")}
+    done = subprocess.run([sys.executable, str(script), str(tmp_path / "warehouse"), str(Path(__file__).resolve().parents[1]), small],
+                          cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    want = database(small).execute(f"SELECT count(*) FROM ({oracle.statements()['stream_whale_days']})").fetchone()[0]
+    assert want > 0 and f"rows {want}" in done.stdout

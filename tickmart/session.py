@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
 # Timestamps in the raw feed carry no zone and mean UTC; every calendar column depends on this.
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    STATE_STORE: "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -34,6 +35,13 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def pin_state_store(spark: SparkSession) -> SparkSession:
+    """The same for the state store: ``transformWithState`` runs on RocksDB only. Queries that resume keep the store of their checkpoint."""
+    if not spark.conf.get(STATE_STORE).endswith("RocksDBStateStoreProvider"):
+        spark.conf.set(STATE_STORE, SESSION_DEFAULTS[STATE_STORE])
+    return spark
+
+
 def shared_dir(spark: SparkSession, name: str, fallback: str | None = None) -> str:
     """A folder every executor can reach, below the cluster's ``spark.checkpoint.dir``.
 

@@ -7,14 +7,20 @@ coin and day however often a coin ticks. That state is kept by ``transformWithSt
 from __future__ import annotations
 
 import datetime as dt
+import sys
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tickmart.functions.classify import WHALE_RATIO
 from tickmart.operators.rollup import COIN, first_by, last_by, percent_of
+from tickmart.session import pin_state_store
+
+# The processor travels by value, so the workers need no copy of this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: The columns of ``alerts.whale_detection``.
 WHALE_DAY = ("coin_id string, symbol string, name string, date date, current_volume bigint, normal_volume double, "
@@ -85,5 +91,6 @@ def whale_days(ticks: DataFrame, lateness: str, ratio: float = WHALE_RATIO, days
     themselves; the day still open has no row yet. Append mode. Rows of a coin wait in one task as one row a day, and
     its state is at most ``days + 1`` small entries.
     """
+    pin_state_store(ticks.sparkSession)
     return closed_days(ticks, lateness).groupBy("coin_id").transformWithState(
         RollingVolume(ratio, days), WHALE_DAY, "Append", "eventTime")
