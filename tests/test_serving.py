@@ -33,6 +33,15 @@ def test_human_number(spark, n, text):
     assert value(spark, human_number(F.lit(n))) == text
 
 
+def test_human_number_rounds_the_binary_value(spark):
+    """998.505 and 999.045 lie below the half as doubles, 999.985 above it; a true half goes to the even digit."""
+    numbers = [998_505, 999_045, 999_985, 999_995, 1_000_125, 1_000_375, 1_005_000, 1_015_000, *range(1_005, 1_000_000, 970)]
+    df = spark.createDataFrame([(n,) for n in numbers], "n bigint")
+    got = {r.n: r.t for r in df.select("n", human_number(F.col("n"), "", "BMK").alias("t")).collect()}
+    assert got == {n: "%.2fM" % (n / 1e6) if n >= 1e6 else "%.2fK" % (n / 1e3) for n in numbers}
+    assert value(spark, human_number(F.lit(-0.125))) == "$-0.12" and value(spark, human_number(F.lit(1.005))) == "$1.00"
+
+
 def test_short_number_has_no_trillions(spark):
     assert value(spark, human_number(F.lit(2e12), "", "BMK")) == "2000.00B"
 
