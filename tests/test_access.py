@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tickmart.functions.matching import word_distance
 from tickmart.operators import fuzzy, market, topk
+from tickmart.plans.catalog import QUERIES
 from tickmart.sinks.tables import save_bucketed
 from tickmart.sources import cells
 
@@ -117,3 +118,23 @@ def test_bucketed_tables_need_no_shuffle(spark, history):
         assert "Exchange" not in plan(stored.groupBy("coin_id").agg(F.avg("rank_close")))
     finally:
         spark.sql("DROP TABLE IF EXISTS bucketed_daily")
+
+
+def joins(node):
+    """The columns of every join below a logical plan node."""
+    found = [node.output().mkString(",")] if node.nodeName() == "Join" else []
+    return found + [j for i in range(node.children().size()) for j in joins(node.children().apply(i))]
+
+
+def test_counting_fuzzy_matches_joins_sets_of_words_and_not_rows(spark, small):
+    found = joins(QUERIES["fuzzy_keywords"](spark, small)._jdf.queryExecution().optimizedPlan())
+    assert len(found) == 2 and not [j for j in found if "p_partkey" in j]
+
+
+def test_fuzzy_counts_merge_rows_of_a_key(spark):
+    names = [(1, "red ring"), (1, "Rad bolt"), (1, "red ring"), (2, "ring, red red"), (3, None), (4, ""), (5, "rod"), (None, "red"), (None, "x ring")]
+    coins = spark.createDataFrame(names, "id int, name string")
+    asked = spark.createDataFrame([("red",), ("red",), ("rring",), ("",), ("no",)], "keyword string")
+    assert rows(fuzzy.fuzzy_rows(coins, asked, "id", "name"), "keyword", "id", "distance") == sorted(
+        [("red", 1, 0), ("red", 2, 0), ("red", 5, 1), ("red", None, 0), ("rring", 1, 1), ("rring", 2, 1), ("rring", None, 1)], key=repr)
+    assert rows(fuzzy.fuzzy_counts(coins, asked, "id", "name", "n"), "keyword", "distance", "n") == [("red", 0, 3), ("red", 1, 1), ("rring", 1, 3)]

@@ -634,8 +634,7 @@ def fuzzy_keywords(f: Feed) -> DataFrame:
     at = (F.col("p_partkey") % F.length("w")).cast("int") + 1
     typed = F.concat(F.substring("w", F.lit(1), at - 1), F.when(F.col("p_partkey") % 2 == 0, "q").otherwise(""),
                      F.substring("w", at + 1, F.length("w")))
-    found = fuzzy.fuzzy_rows(parts, parts.select(typed.alias("keyword")), "p_partkey", "p_name")
-    return found.groupBy("keyword", "distance").agg(F.count("*").alias("parts"))
+    return fuzzy.fuzzy_counts(parts, parts.select(typed.alias("keyword")), "p_partkey", "p_name", "parts")
 
 
 @query
